@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import bpe, packing, simhash, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,25 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digest=True)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.count(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
