@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, packing, pii, simhash, topk, toxicity, urls, wordpiece
+from . import ann, bpe, packing, pii, secret_scan, simhash, topk, toxicity, urls, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secret_scan.train(secret_scan.labelled_findings(spark))
+    return secret_scan.scan(table(spark, sf_dir, "documents"), forest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -163,6 +163,25 @@ def features(texts: list[str], lexicon: Lexicon, memo: dict) -> np.ndarray:
     return out
 
 
+def _keep(batches, model, threshold: float):
+    import pyarrow as pa
+
+    learned, (w0, w1, w2) = model
+    lexicon, memo = Lexicon(learned), {}
+    for batch in batches:
+        texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+        for a, b in slices(texts):
+            x = features(texts[a:b], lexicon, memo)
+            score = 1 / (1 + np.exp(-(w0 + w1 * x[:, 0] + w2 * x[:, 1])))
+            yield batch.slice(a, b - a).filter(pa.array(score < threshold))
+
+
+def keep(docs: DataFrame, model: tuple[dict[str, float], tuple[float, ...]], threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns, without a join."""
+    ensure_importable(docs.sparkSession)
+    return docs.mapInArrow(partial(_keep, model=model, threshold=threshold), docs.schema)
+
+
 def _features(batches, learned: dict[str, float]):
     import pyarrow as pa
 
