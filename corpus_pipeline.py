@@ -29,8 +29,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     # Documents that aren't their class's first go; of rows that share a doc_id one stays.
     gone = near.where("doc_id is not null and doc_id != component_id").select("doc_id").distinct()
     twice = near.where("doc_id = component_id").groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
-    left = docs.join(written(gone, "gone"), "doc_id", "left_anti")
+    left = docs.join(written(gone, "gone"), "doc_id", "left_anti").select(*COLUMNS)
     twice = written(twice, "twice")
+    if twice.isEmpty():
+        return left
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     again = left.join(twice, "doc_id", "left_semi").withColumn("_n", first).where("_n = 1").drop("_n")
     return left.join(twice, "doc_id", "left_anti").unionByName(again).select(*COLUMNS)
