@@ -66,7 +66,7 @@ def model_proto(tokens: list[bytes]) -> bytes:
 
 
 class ByteBpe:
-    def __init__(self, path: str, pattern: str, limit: int = 500_000):
+    def __init__(self, path: str, pattern: str, limit: int = 250_000):
         import regex
         import sentencepiece
 
@@ -122,9 +122,8 @@ def _encode(batches, path: str, pattern: str, digest: bool):
 
     own = model(path, pattern)
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for a, b in slices(texts):
-            some = own.encode(texts[a:b])
+        for a, b, texts in slices(batch.column(1)):
+            some = own.encode(texts)
             n = pa.array([len(x) for x in some], pa.int64())
             if digest:
                 sums = [hashlib.sha256(x.tobytes()).hexdigest() for x in some]

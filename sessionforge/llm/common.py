@@ -52,20 +52,22 @@ def ensure_importable(spark: SparkSession) -> None:
     sc._sessionforge_shipped = True
 
 
-#: Characters of text that a worker encodes at once.
-SLICE = 32_000_000
-
-
-def slices(texts: list[str], limit: int = SLICE):
-    """Ranges of ``texts`` with about ``limit`` characters each, so that a worker's memory follows neither rows nor text."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+#: Bytes of text that a worker encodes at once.
+SLICE = 12_000_000
+
+
+def slices(column, limit: int = SLICE):
+    """(a, b, texts): the rows of a text column a few megabytes at a time, so that a worker's memory follows neither rows nor batches."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(column):
+        b = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, "right")), a + 1)
+        yield a, b, column.slice(a, b - a).to_pylist()
+        a = b
+    pa.default_memory_pool().release_unused()
 
 
 def coded(texts: list[str], mark: str):

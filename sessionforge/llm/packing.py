@@ -47,10 +47,9 @@ def _tokens(batches, path: str, end_id: int):
     last = np.array([end_id], own.dtype)
     for batch in batches:
         ids, queues = batch.column(0), batch.column(1).to_pylist()
-        texts = batch.column(2).to_pylist()
-        for a, b in slices(texts):
+        for a, b, texts in slices(batch.column(2)):
             at, n, data = [], [], []
-            for q, x in zip(queues[a:b], own.encode(texts[a:b]), strict=True):
+            for q, x in zip(queues[a:b], own.encode(texts), strict=True):
                 at.append(sent.get(q, 0))
                 n.append(len(x) + 1)
                 sent[q] = at[-1] + n[-1]

@@ -138,7 +138,7 @@ class Lexicon:
         out = self.known.get(chunk)
         if out is None:
             out = np.array([self.symbol(t) for t in _TOKEN.findall(chunk)], "<u2").tobytes()
-            if len(self.known) < 400_000:
+            if len(self.known) < 150_000:
                 self.known[chunk] = out
         return out
 
@@ -169,9 +169,8 @@ def _keep(batches, model, threshold: float):
     learned, (w0, w1, w2) = model
     lexicon, memo = Lexicon(learned), {}
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-        for a, b in slices(texts):
-            x = features(texts[a:b], lexicon, memo)
+        for a, b, texts in slices(batch.column(batch.schema.get_field_index("text")).fill_null("")):
+            x = features(texts, lexicon, memo)
             score = 1 / (1 + np.exp(-(w0 + w1 * x[:, 0] + w2 * x[:, 1])))
             yield batch.slice(a, b - a).filter(pa.array(score < threshold))
 
@@ -187,9 +186,8 @@ def _features(batches, learned: dict[str, float]):
 
     lexicon, memo = Lexicon(learned), {}
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for a, b in slices(texts):
-            got = features(texts[a:b], lexicon, memo)
+        for a, b, texts in slices(batch.column(1)):
+            got = features(texts, lexicon, memo)
             yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in (batch.column(0), *batch.columns[2:])), pa.array(got[:, 0]), pa.array(got[:, 1])], names=["doc_id", *batch.schema.names[2:], "heaviest", "together"])
 
 

@@ -94,7 +94,7 @@ class Automaton:
 
 
 class Counter:
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 250_000):
         import regex
 
         self.automaton = Automaton(read_pieces(path))
@@ -124,9 +124,8 @@ def _count(batches, path: str):
 
     own = _counters.get(path) or _counters.setdefault(path, Counter(path))
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for a, b in slices(texts):
-            got = own.count(texts[a:b])
+        for a, b, texts in slices(batch.column(1)):
+            got = own.count(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(got[:, i]) for i in range(3))], names=["doc_id", "n_words", "n_pieces", "n_unknown"])
 
 
