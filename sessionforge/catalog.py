@@ -230,30 +230,50 @@ def _(spark, d):
     return partitions.top_k_share(clicks(spark, d), 50)
 
 
-@_query("partition_crc32")
+#: The six-way partition of each user by CRC-32 (``cp``) and by murmur2 (``mp``), from the bytes of the key.
+_PLACED = f"""with {CLICKS_SQL}, counts as (select user_id, count(*) as events from clicks group by user_id),
+keyed as (select user_id, events, octet_length(encode(user_id)) as n, list_transform(range(octet_length(encode(user_id))), lambda i: ('0x' || substr(hex(user_id), 2 * i + 1, 2))::bigint) as b from counts),
+worded as (select *, list_transform(range((n + 3) // 4), lambda i: list_sum(list_transform(range(4), lambda j: coalesce(b[4 * i + j + 1], 0) * (1 << (8 * j))))::bigint) as w,
+  xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(b, lambda x: [x, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end), 4294967295) as crc from keyed),
+body as (select *, list_reduce(list_concat([xor(2538058380::bigint, n)], w[1 : n // 4]),
+  lambda h, k: xor((h * 1540483477) & 4294967295, (xor((k * 1540483477) & 4294967295, ((k * 1540483477) & 4294967295) >> 24) * 1540483477) & 4294967295)) as h from worded),
+tail as (select *, case when n % 4 = 0 then h else (xor(h, w[n // 4 + 1]) * 1540483477) & 4294967295 end as t from body),
+mixed as (select *, (xor(t, t >> 13) * 1540483477) & 4294967295 as z from tail),
+placed as (select user_id, events, (crc % 6)::int as cp, ((xor(z, z >> 15) & 2147483647) % 6)::int as mp from mixed)"""
+
+
+def _loads_sql(by: str) -> str:
+    return f"select p::int as partition, coalesce(sum(events), 0)::bigint as events, count(user_id) as users from range(6) r(p) left join placed on placed.{by} = p group by p"
+
+
+@_query("partition_crc32", f"{_PLACED} {_loads_sql('cp')}")
 def _(spark, d):
     return partitions.partition_loads(clicks(spark, d), 6, crc32_partition)
 
 
-@_query("partition_murmur2")
+@_query("partition_murmur2", f"{_PLACED} {_loads_sql('mp')}")
 def _(spark, d):
     return partitions.partition_loads(clicks(spark, d), 6, murmur2_partition)
 
 
-@_query("partition_skew")
+@_query("partition_skew", f"{_PLACED}, loads as ({_loads_sql('cp')}) select round(max(events) / (sum(events) / 6), 4) as busiest, round(min(events) / (sum(events) / 6), 4) as quietest from loads")
 def _(spark, d):
     return partitions.partition_skew(clicks(spark, d))
 
 
-@_query("partition_divergence")
+@_query("partition_divergence", f"{_PLACED} select count(*) as keys, count(*) filter (cp != mp) as differ, round(count(*) filter (cp != mp) / count(*), 4) as rate, 0.8333::double as expected from placed")
 def _(spark, d):
     return partitions.divergence(clicks(spark, d))
 
 
-@_query("partition_disagreements")
+@_query("partition_disagreements", f"""{_PLACED}, off as (select * from placed where cp != mp order by user_id limit 5)
+select count(*) as keys, count(*) filter (cp != mp) as disagree, count(distinct mp) as partitions_seen, count(distinct cp) as partitions_modelled, count(*) filter (cp != mp) = 0 as agrees,
+  coalesce((select string_agg(concat_ws(':', user_id, mp, cp), ' ' order by user_id) from off), '') as examples from placed""")
 def _(spark, d):
     seen = clicks(spark, d).select("user_id", murmur2_partition(F.col("user_id"), 6).alias("partition")).distinct()
-    return partitions.disagreements(seen)
+    named = F.transform("examples", lambda x: F.concat_ws(":", x["user_id"], x["seen"].cast("string"), x["model"].cast("string")))
+    return partitions.disagreements(seen).withColumn("examples", F.array_join(named, " "))
 
 
 @_query("session_shape", f"""with {CLICKS_SQL}, e as (select session_hint, count(*) as n, max(case when event_type = 'purchase' then 1 else 0 end) as won from clicks group by 1),
