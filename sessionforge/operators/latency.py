@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionforge.functions.durations import seconds
@@ -10,27 +12,71 @@ from sessionforge.operators.scoring import attach
 from sessionforge.schema import micros
 
 QUANTILES = (0.5, 0.95, 0.99)
+#: Values are binned by 2**22 microseconds: a bin holds at most so many different values and a year has 7.5 million bins,
+#: so no task of the quantiles grows with the number of rows.
+BIN_BITS = 22
 
 
-def quantiles(rows: DataFrame, us: Column, qs=QUANTILES) -> DataFrame:
-    """rows and exact interpolated quantiles in seconds of a column of whole microseconds; an empty frame gives rows = 0 and nulls."""
+def histogram(rows: DataFrame, us: Column) -> DataFrame:
+    """v, c: how often each value occurs, null included; counted before the shuffle, so a frequent value moves as one row a task."""
+    return rows.groupBy(us.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+
+
+def quantiles_of(counts: DataFrame, qs=QUANTILES) -> DataFrame:
+    """rows and exact interpolated quantiles in seconds of a histogram of whole microseconds; an empty one gives rows = 0 and nulls.
+
+    The bins that hold the wanted ranks are found first, at most two a quantile; only their values are then put in order.
+    """
     if not qs:
         raise ValueError("no quantiles asked for")
-    got = rows.agg(F.count(us).alias("rows"), F.percentile(us, F.array(*map(F.lit, qs))).alias("p"))
-    return got.select("rows", *[F.round(F.col("p")[i] / 1e6, 4).alias(f"p{round(q * 100)}_s") for i, q in enumerate(qs)])
+    known = counts.where("v is not null").withColumn("bin", F.shiftright("v", BIN_BITS))
+    every = Window.orderBy("bin")
+    bins = known.groupBy("bin").agg(F.sum("c").alias("held")).select(
+        "bin", (F.sum("held").over(every) - F.col("held")).alias("before"), "held",
+        F.sum("held").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"),
+    )
+    place = [(F.col("n") - 1) * F.lit(float(q)) for q in qs]
+    ranks = [edge(x) for x in place for edge in (F.floor, F.ceil)]
+    holds = reduce(lambda x, y: x | y, [(r >= F.col("before")) & (r < F.col("before") + F.col("held")) for r in ranks])
+    wanted = F.broadcast(bins.where(holds).select("bin", "before", "n"))
+    upto = F.col("before") + F.sum("c").over(Window.partitionBy("bin").orderBy("v"))
+    at = known.join(wanted, "bin").select("v", "c", "n", upto.alias("upto"))
+    value = lambda r: F.min(F.when((r < F.col("upto")) & (r >= F.col("upto") - F.col("c")), F.col("v")))
+    each = []
+    for i, x in enumerate(place):
+        each += [value(F.floor(x)).alias(f"low{i}"), value(F.ceil(x)).alias(f"high{i}"), F.max(x - F.floor(x)).alias(f"part{i}")]
+    got = at.agg(F.coalesce(F.max("n"), F.lit(0)).alias("rows"), *each)
+    return got.select("rows", *[F.round((F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * F.col(f"part{i}")) / 1e6, 4).alias(f"p{round(q * 100)}_s") for i, q in enumerate(qs)])
+
+
+def quantiles(rows: DataFrame, us: Column, qs=QUANTILES) -> DataFrame:
+    """rows and exact interpolated quantiles in seconds of a column of whole microseconds."""
+    return quantiles_of(histogram(rows, us), qs)
+
+
+def _counted(fits: Column) -> Column:
+    """Rows of a histogram for which ``fits`` holds."""
+    return F.coalesce(F.sum(F.when(fits, F.col("c"))), F.lit(0))
+
+
+def _share(fits: Column) -> Column:
+    return F.round(F.try_divide(_counted(fits), F.sum("c")), 4)
+
+
+def _ingest(events: DataFrame) -> DataFrame:
+    return histogram(events, micros(F.col("ingest_ts")) - micros(F.col("event_ts"))).where("v is not null")
 
 
 def ingest_lag(events: DataFrame) -> DataFrame:
-    lag = (micros(F.col("ingest_ts")) - micros(F.col("event_ts"))).alias("lag")
-    rows = events.select(lag).where("lag is not null")
-    more = rows.agg(F.round(F.max("lag") / 1e6, 4).alias("max_s"), F.count_if(F.col("lag") > 0).alias("late"), F.round(F.try_divide(F.count_if(F.col("lag") > 0), F.count(F.lit(1))), 4).alias("late_share"))
-    return quantiles(rows, F.col("lag")).crossJoin(more)  # two single rows
+    lags = _ingest(events)
+    more = lags.agg(F.round(F.max("v") / 1e6, 4).alias("max_s"), _counted(F.col("v") > 0).alias("late"), _share(F.col("v") > 0).alias("late_share"))
+    return quantiles_of(lags).crossJoin(more)  # two single rows
 
 
 def emission_lag(events: DataFrame, sessions: DataFrame, watermark: str = "2 minutes") -> DataFrame:
     """From an event to the earliest time its session can leave; events without a session are counted, not averaged."""
-    joined = attach(events, sessions).select((micros(F.col("session_end")) + int(seconds(watermark) * 1e6) - micros(F.col("event_ts"))).alias("lag"))
-    return quantiles(joined, F.col("lag")).crossJoin(joined.agg(F.count_if(F.col("lag").isNull()).alias("unmatched")))
+    lags = histogram(attach(events, sessions), micros(F.col("session_end")) + int(seconds(watermark) * 1e6) - micros(F.col("event_ts")))
+    return quantiles_of(lags).crossJoin(lags.agg(_counted(F.col("v").isNull()).alias("unmatched")))
 
 
 def session_span(sessions: DataFrame) -> DataFrame:
@@ -62,7 +108,5 @@ def end_to_end(events: DataFrame, sessions: DataFrame, watermark: str = "2 minut
 
 
 def lateness_profile(events: DataFrame) -> DataFrame:
-    lag = F.col("lag")
-    rows = events.select((micros(F.col("ingest_ts")) - micros(F.col("event_ts"))).alias("lag")).where("lag > 0")
-    share = lambda us: F.round(F.try_divide(F.count_if(lag > us), F.count(F.lit(1))), 4)
-    return quantiles(rows, lag).crossJoin(rows.agg(F.round(F.max(lag) / 1e6, 4).alias("max_s"), share(60_000_000).alias("over_60_s"), share(300_000_000).alias("over_300_s")))
+    late = _ingest(events).where("v > 0")
+    return quantiles_of(late).crossJoin(late.agg(F.round(F.max("v") / 1e6, 4).alias("max_s"), _share(F.col("v") > 60_000_000).alias("over_60_s"), _share(F.col("v") > 300_000_000).alias("over_300_s")))

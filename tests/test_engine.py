@@ -86,6 +86,21 @@ def test_latency(spark):
         latency.quantiles(rows, F.lit(1), ())
 
 
+def test_quantiles_are_exact(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    # Many bins, few bins, ties, negative values, one value.
+    for values in (rng.integers(-(10**9), 10**11, 501), rng.integers(0, 1000, 400), np.repeat([7_000_000, -3_000_000], 50), np.array([5])):
+        rows = spark.createDataFrame([(int(v),) for v in values] + [(None,)], "x long")
+        r = latency.quantiles(rows, F.col("x"), (0.01, 0.5, 0.99, 1.0)).first()
+        assert r.rows == len(values)
+        assert [r.p1_s, r.p50_s, r.p99_s, r.p100_s] == pytest.approx((np.quantile(values, (0.01, 0.5, 0.99, 1.0)) / 1e6).tolist(), abs=2e-4)
+    plan = latency.quantiles(rows, F.col("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan  # no task holds all values
+    assert latency.emission_lag(clicks(spark, []), sessions.sessions(clicks(spark, []))).first().asDict() == {"rows": 0, "p50_s": None, "p95_s": None, "p99_s": None, "unmatched": 0}
+
+
 def test_durations():
     assert durations.seconds("30 minutes") == 1800 and durations.emission_floor("30 minutes", "2 minutes") == 1920
     for bad in ("30", "", "30minutes", "3 fortnights"):
