@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sessionforge.llm import packing, secret_scan, simhash, toxicity
+from sessionforge.llm import near_copies, packing, secret_scan, toxicity
 from sessionforge.llm.common import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,9 +23,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the one with the smallest doc_id."""
+    """One document of each class of near copies (five words, similarity 0.8): the one with the smallest doc_id."""
     docs = docs.select(*COLUMNS)
-    near = simhash.near_duplicates(docs)
+    near = written(near_copies.near_copies(docs), "near")
     # Documents that aren't their class's first go; of rows that share a doc_id one stays.
     gone = near.where("doc_id is not null and doc_id != component_id").select("doc_id").distinct()
     twice = near.where("doc_id = component_id").groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")

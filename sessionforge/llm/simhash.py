@@ -31,22 +31,22 @@ SEED = 42
 _WEIGHTS = 1 << np.arange(63, -1, -1, dtype=np.uint64)
 
 
+def shingles(text: bytes, words: int) -> list[bytes]:
+    parts = text.lower().split()  # of bytes: only A-Z are lowered, only ASCII white space cuts
+    if len(parts) < words:
+        return [b" ".join(parts)] if parts else []
+    line = b" ".join(parts)
+    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    return [line[a:b] for a, b in zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)]
+
+
 def fingerprint(text: bytes, words: int = 3) -> int:
     """The fingerprint as a signed 64-bit number."""
     import xxhash
 
-    parts = text.lower().split()  # of bytes: only A-Z are lowered, only ASCII white space cuts
-    if not parts:
-        return 0
-    if len(parts) < words:
-        shingles = [b" ".join(parts)]
-    else:
-        line = b" ".join(parts)
-        ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        shingles = [line[a:b] for a, b in zip(starts[: len(parts) - words + 1].tolist(), ends[words - 1 :].tolist(), strict=True)]
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(s, SEED) for s in shingles], ">u8")
+    h = np.array([digest(s, SEED) for s in shingles(text, words)], ">u8")
     sums = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 16):
         sums += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sessionforge.llm import ann, bpe, packing, pii, queries, secret_scan, simhash, topk, toxicity, urls, wordpiece
+from sessionforge.llm import ann, bpe, near_copies, packing, pii, queries, secret_scan, simhash, topk, toxicity, urls, wordpiece
 from sessionforge.llm.components import components
 
 ODD = ["", " ", "a  b", "\n\n x", "Don't STOP \t it's 3 4\xa0x y é É İstanbul ΣΑΣ \x1c z", "<|endoftext|> hi", "日本語 テキスト", "é á", "trail  ", "ẞ ǅ ½ x²", "a\x00b  c", "x\n \ny", "a" * 3000, "word " * 4000, "x., 5. a.b"]
@@ -279,6 +279,47 @@ def test_simhash_links_lose_none(spark, bits, cell):
     assert {i: least[root(f)] for i, f in enumerate(fps)} == classes(list(enumerate(fps)), bits)
 
 
+@pytest.mark.parametrize("small", [0, 4, 32, 10_000])
+def test_near_copies_forest_loses_no_link(small):
+    rng = np.random.default_rng(small)
+    run = np.sort(rng.integers(0, 9, 500))
+    base = rng.integers(0, 1 << 63, (12, 4), dtype=np.uint64)
+    fp = base[rng.integers(0, 12, 500)]
+    for _ in range(30):
+        fp[np.arange(500), rng.integers(0, 4, 500)] ^= np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)
+
+    def components_of(pairs):
+        up = list(range(500))
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in pairs:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+        return [root(i) for i in range(500)]
+
+    close = [(i, j) for i in range(500) for j in range(i) if run[i] == run[j] and np.bitwise_count(fp[i] ^ fp[j]).sum() <= 48]
+    a, b = near_copies.forest(run, fp, 48, small, step=700)
+    found = list(zip(a.tolist(), b.tolist(), strict=True))
+    assert all(run[i] == run[j] and np.bitwise_count(fp[i] ^ fp[j]).sum() <= 48 for i, j in found)
+    assert components_of(found) == components_of(close) and len(set(components_of(close))) > 100
+
+
+def test_near_copies_cells_in_blocks(spark, odd):
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 6)))
+    first = [word() for _ in range(200)]
+    texts = [" ".join(w if k != i else "other" for k, w in enumerate(first)) for i in range(5, 195, 5)] + [" ".join(word() for _ in range(120)) for _ in range(40)]
+    d = docs(spark, enumerate(texts))
+    for rows in (1 << 16, 3):
+        got = {r.doc_id: r.component_id for r in near_copies.near_copies(d, cell_rows=rows, groups=8).collect()}
+        assert got == {i: 0 if i < 38 else i for i in range(78)}
+    assert near_copies.near_copies(odd[0]).count() == odd[0].count()
+    assert near_copies.near_copies(odd[0].limit(0)).count() == 0
+
+
 @pytest.fixture(scope="module")
 def forest(spark):
     return secret_scan.train(secret_scan.labelled_findings(spark))
@@ -314,8 +355,14 @@ def test_pipeline_stages(spark, sf):
     model = toxicity.learn(seen[0], spark.read.parquet(f"{sf}/labels.parquet"))
     fine = {r.doc_id for r in toxicity.score(seen[0], model).where("score < 0.5").collect()}
     assert {r.doc_id for r in seen[1].collect()} == fine
-    alone = classes([(r.doc_id, brute_fp(r.text)) for r in seen[1].collect()], 3)
-    assert {r.doc_id for r in seen[2].collect()} == {d for d, c in alone.items() if d == c}
+    sets = {r.doc_id: frozenset(simhash.shingles((r.text or "").encode(), 5)) for r in seen[1].collect()}
+    left = {r.doc_id for r in seen[2].collect()}
+    alike = lambda a, b: 1.0 if a == b else len(a & b) / len(a | b)
+    partner = {i: max((alike(x, y), j) for j, y in sets.items() if j != i) for i, x in sets.items()}
+    assert all(partner[i][0] >= 0.45 for i in sets.keys() - left)  # only copies go
+    assert len({sets[i] for i in left}) == len(left)  # of exact copies one stays
+    near = [(i, j) for i in sets for j in sets if i < j and 0.8 <= alike(sets[i], sets[j]) < 1]
+    assert sum(i in left and j in left for i, j in near) <= 0.15 * len(near)
     assert seen[3].count() == seen[2].count() and seen[3].where(r"text rlike 'AKIA[0-9A-Z]{16}|password=[0-9a-f]{18}'").count() == 0
     assert seen[4].select("doc_id").distinct().count() == seen[3].count()
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" in corpus_pipeline.queries()
