@@ -1,52 +1,157 @@
-"""SimHash near-duplicates at a similarity of 0.8: wide fingerprints in overlapping grids of segment popcounts, exact verification.
+"""SimHash near-duplicates at a similarity of 0.8: wide fingerprints find links fast, a complete join finds the rest, whole shingle sets decide.
 
-Three bits of 64 find copies with next to no edits. Sets of five-word shingles with a similarity (Jaccard) of 0.8 differ in about 15 %
-of their SimHash bits, so this form takes 256 bits and links those that differ in ``max_bits`` or fewer: similarity 0.8 lies at
-39 +- 6 bits, 0.7 at 49 +- 6, 0.5 at 69 +- 7, unrelated texts at 128 +- 8. The bits are 128 segments of two; a grid's coordinates are the bit counts of ``segments``
-of them, chosen by a seed for each of ``groups`` grids. Fingerprints that share a cell of some grid (Manhattan distance zero over its
-segments) are verified by all their differing bits. A pair at 0.8 shares a cell in 94 of 100 cases, closer ones nearly always.
-With many more than 10^8 documents take more segments, so that cells stay small, and more groups with them.
+Two documents are linked if the Jaccard similarity of their sets of five-word shingles (as 64-bit hashes) is ``similarity`` or more; all
+such pairs end in one class and no other pair is linked. Documents with equal sets are one node from the start. Then
 
-Equal fingerprints are one node from the start. Within a cell links are found as a spanning forest: what hangs on a node already is
-not compared again, and the triangle inequality spares most of the rest. Cells with more than ``cell_rows`` rows are cut
+1. 256-bit SimHashes, 128 segments of two bits. The coordinates of a grid are the bit counts of ``segments`` of them, chosen by a seed for each of
+   ``groups`` grids. Within a cell a spanning forest of the pairs with ``max_bits`` or fewer differing bits is found (0.8 lies at 39 +- 6 bits). This
+   gives few pairs for large groups of copies, but neither all links nor links only, so each is verified on the sets.
+2. A prefix join that loses no pair: with the shingles of all sets in one order, two sets of the wanted similarity share a shingle among the
+   first ``n - ceil(similarity * n) + 1`` of each. Pairs that meet there, could still be similar by their places in the order and
+   don't hang together by step 1 are verified on the sets as well. Any order is right; frequent shingles (by a sample of
+   documents) stand last, so that common passages bring few pairs together.
+
+Large groups of documents that share most of their shingles and still stay below ``similarity`` are compared pair by pair: time grows with
+the square of such a group; memory doesn't, as joins spill.
+
+Within a cell of step 1 what hangs on a node already is not compared again, and the triangle inequality spares most of the rest. Cells with more than ``cell_rows`` rows are cut
 into blocks that meet pairwise.
 
-Defined cases: as for ``simhash``; wordless texts have fingerprint zero and are alike.
+Defined cases: as for ``simhash``; wordless texts are alike. Distinct shingles with one hash (2^-64 a pair) are taken as equal.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import partial
+from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ensure_importable, written
+from .common import ensure_importable, slices, written
 from .components import components
-from .simhash import SEED, _forest, segment_counts, shingles
+from .simhash import SEED, _forest, segment_counts
 
 BITS = 256
+#: Documents in which frequent shingles are counted, and how many of these are known to all workers.
+SAMPLE, FREQUENT = 1 << 15, 1 << 17
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= 1 << 16:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word, SEED)
+        return h
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def shingle_sets(texts: list[bytes], words: int, known: _WordHashes) -> list[np.ndarray]:
+    """The set of shingles of each text, as sorted 64-bit hashes."""
+    factor = np.random.default_rng(SEED).integers(0, 1 << 63, words + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    parts = [t.lower().split() for t in texts]  # of bytes: only A-Z are lowered, only ASCII white space cuts
+    size = list(map(len, parts))
+    flat, out, at = np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.uint64, sum(size)), [], 0
+    for n in size:
+        own, w = flat[at : at + n], min(n, words)
+        sums = np.full(max(n - w + 1, 0) if n else 0, np.uint64(w)) * factor[words]
+        for j in range(w if n else 0):
+            sums += own[j : j + len(sums)] * factor[j]
+        out.append(np.unique(_mixed(sums).view(np.int64)))
+        at += n
+    return out
 
 
-def wide_fingerprint(text: bytes, words: int = 5) -> bytes:
+def wide_fingerprint(shingles: np.ndarray) -> bytes:
     """A bit is 1 if set in over half of the shingles' 256-bit hashes."""
-    import xxhash
+    sums, salt = np.zeros(BITS, np.int64), np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(0, len(shingles), 1 << 12):
+        h = _mixed(shingles[i : i + (1 << 12), None].view(np.uint64) + salt)
+        sums += np.unpackbits(h.view(np.uint8).reshape(-1, BITS // 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(sums * 2 > len(shingles)).tobytes()
+
+
+def _lists(parts: list[np.ndarray]):
+    import pyarrow as pa
 
-    digest, sums = xxhash.xxh3_128_digest, np.zeros(BITS, np.int64)
-    parts = shingles(text, words)
-    for i in range(0, len(parts), 1 << 14):
-        h = np.frombuffer(b"".join([digest(s, SEED + j) for s in parts[i : i + (1 << 14)] for j in (0, 1)]), np.uint8)
-        sums += np.unpackbits(h).reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    return np.packbits(sums * 2 > len(parts)).tobytes() if parts else bytes(BITS // 8)
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
 
 
 def _wide(batches, words: int):
+    """A set is given once a task: later rows of the same node have none."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import xxhash
+
+    known, seen = _WordHashes(), set()
+    for batch in batches:
+        for a, b, texts in slices(batch.column(2).cast(pa.binary()), 2_000_000):
+            sets = shingle_sets(texts, words, known)
+            node = [int(np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).view(np.int64)) for s in sets]
+            first = []
+            for x in node:
+                first.append(x not in seen)
+                seen.add(x)
+            prints = [wide_fingerprint(s) for s in sets]
+            lists = pc.if_else(pa.array(first), _lists(sets), pa.scalar(None, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(node, pa.int64()), pa.array(prints, pa.binary()), lists], names=["doc_id", "text_key", "node", "fp", "shingles"])
+
+
+def _prefixes(batches, frequent: np.ndarray, rank: np.ndarray, share: Fraction):
+    """(shingle, node, at, size) of the shingles that a similar set has to share one of; ``frequent`` is sorted."""
     import pyarrow as pa
 
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([wide_fingerprint(t.as_py(), words) for t in texts], pa.binary())], names=["doc_id", "fp"])
+        for k in range(0, batch.num_rows, 500):
+            some = batch.slice(k, 500)
+            node, sets = some.column(0).to_numpy(), some.column(1)
+            size = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, doc = sets.flatten().to_numpy(), np.repeat(np.arange(len(size)), size)
+            place = np.minimum(np.searchsorted(frequent, flat), max(len(frequent) - 1, 0))
+            late = np.where(frequent[place] == flat, rank[place], 0) if len(frequent) else np.zeros(len(flat), np.int64)
+            order = np.lexsort((flat, late, doc))
+            at = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            keep = at < (size + -size * share.numerator // share.denominator + 1)[doc]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[order][keep]), pa.array(node[doc][keep]), pa.array(at[keep].astype(np.int32)), pa.array(size[doc][keep].astype(np.int32))], names=["shingle", "node", "at", "size"])
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets are similar."""
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "pairs")
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    own = written(sets.join(needed, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    both = pairs.join(own.toDF("a", "left"), "a").join(own.toDF("b", "right"), "b")
+    common = F.size(F.array_intersect("left", "right")).cast("long")
+    p, q = share.numerator, share.denominator
+    return both.where(common * F.lit(p + q) >= (F.size("left") + F.size("right")) * F.lit(p)).select("a", "b")
+
+
+def _meeting(sets: DataFrame, roots: DataFrame, share: Fraction) -> DataFrame:
+    """The pairs (a, b) of nodes that hang on different roots and could be similar; no similar pair is missing."""
+    step = max(1, sets.count() // SAMPLE)
+    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(step)) == 0).select(F.explode("shingles").alias("shingle"))
+    counts = sample.groupBy("shingle").count().where("count > 2").orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
+    frequent, rank = np.array([x.shingle for x in counts], np.int64), np.arange(len(counts), 0, -1)
+    order = np.argsort(frequent)
+    cells = sets.mapInArrow(partial(_prefixes, frequent=frequent[order], rank=rank[order], share=share), "shingle long, node long, at int, size int")
+    least, most = (f("node").over(Window.partitionBy("shingle")) for f in (F.min, F.max))
+    shared = written(cells.select("*", least.alias("least"), most.alias("most")).where("least != most").select("shingle", "node", "at", "size").distinct(), "shared")
+    x = written(shared.join(roots, "node", "left").select("shingle", "node", "at", "size", F.coalesce("root", "node").alias("root")), "cells")
+    y = x.toDF("shingle", "node2", "at2", "size2", "root2")
+    # At the first shingle that two sets share, all others they share come later.
+    common = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2")).cast("long")
+    could = common * F.lit(share.numerator + share.denominator) >= (F.col("size") + F.col("size2")) * F.lit(share.numerator)
+    return x.join(y, "shingle").where((F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & could).select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
 
 def _matrix(column) -> np.ndarray:
@@ -156,20 +261,29 @@ def _linked(batches, max_bits: int):
         yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
 
-def near_copies(docs: DataFrame, *, words: int = 5, max_bits: int = 48, segments: int = 10, groups: int = 64, cell_rows: int = 1 << 16) -> DataFrame:
-    """doc_id and component_id (the smallest doc_id reachable over links) of every row."""
+def marked_rows(docs: DataFrame, *, words: int = 5, max_bits: int = 48, segments: int = 10, groups: int = 64, cell_rows: int = 1 << 16, similarity: float = 0.8) -> DataFrame:
+    """doc_id, text_key (a hash of the text), node, root (the same for all nodes of a class) and component_id of every row."""
     ensure_importable(docs.sparkSession)
-    ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    marked = written(ready.mapInArrow(partial(_wide, words=words), "doc_id long, fp binary").select("doc_id", "fp", F.xxhash64("fp").alias("node")), "wide")
+    share = Fraction(str(similarity))
+    ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    marked = written(ready.mapInArrow(partial(_wide, words=words), "doc_id long, text_key long, node long, fp binary, shingles array<long>"), "wide")
     nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "nodes")
+    sets = marked.where("shingles is not null").select("node", "shingles")
     grid = nodes.select("node", "fp").mapInArrow(partial(_grid, segments=segments, groups=groups), "grp int, cell long, node long, fp binary")
     full = written(grid.groupBy("grp", "cell").count().where(F.col("count") > cell_rows).select("grp", "cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks")), "full")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     block = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(own, F.col("blocks") - 1)))
     dealt = grid.join(full, ["grp", "cell"], "left").select("grp", "cell", block.alias("block"), "node", "fp")
     links = dealt.repartition("grp", "cell", "block").sortWithinPartitions("grp", "cell", "block").mapInArrow(partial(_linked, max_bits=max_bits), "a long, b long")
-    roots = components(links)
+    near = components(_similar(links, sets, share))
+    rest = _similar(_meeting(sets, near, share), sets, share)
+    roots = components(near.toDF("a", "b").union(rest))
     hung = nodes.join(roots, "node", "left").select("node", "least", "n", F.coalesce("root", "node").alias("root"))
     class_of = hung.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("rows"))
-    named = written(hung.join(class_of.where("rows > 1"), "root").select("node", "component_id"), "classes")
-    return marked.join(named, "node", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = written(hung.join(class_of.where("rows > 1"), "root").select("node", "root", "component_id"), "classes")
+    return marked.join(named, "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_copies(docs: DataFrame, **how) -> DataFrame:
+    """doc_id and component_id (the smallest doc_id reachable over links) of every row; ``how`` as for ``marked_rows``."""
+    return marked_rows(docs, **how).select("doc_id", "component_id")

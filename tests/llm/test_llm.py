@@ -320,6 +320,42 @@ def test_near_copies_cells_in_blocks(spark, odd):
     assert near_copies.near_copies(odd[0].limit(0)).count() == 0
 
 
+def jaccard_classes(sets):
+    """The least number of each set's class, with links at a Jaccard similarity of 0.8 or more."""
+    up = list(range(len(sets)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x == y or 5 * len(x & y) >= 4 * len(x | y):
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    return {i: root(i) for i in range(len(sets))}
+
+
+@pytest.mark.parametrize("seed, groups", [(5, 64), (6, 1)])
+def test_near_copies_are_the_pairs_of_brute_force(spark, seed, groups):
+    rng = np.random.default_rng(seed)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 5)))
+    common, texts = [word() for _ in range(30)], ["", " ", "One two", "one  TWO", "two one", "one two three", "a a a a a a a", "a a a a a"]
+    for n in rng.integers(5, 260, 60).tolist():
+        base = [word() for _ in range(n)] + common * int(rng.integers(2))
+        texts.append(" ".join(base))
+        for _ in range(4):  # similarities on both sides of 0.8
+            text = list(base)
+            for k in rng.choice(len(text), int(rng.integers(0, max(2, len(text) // 25) + 1)), replace=False):
+                text[k] = word()
+            texts.append(" ".join(text[: len(text) - int(rng.integers(0, 1 + len(text) // 8))]))
+    sets = [set(simhash.shingles(t.encode(), 5)) for t in texts]
+    want = jaccard_classes(sets)
+    assert sum(i != r for i, r in want.items()) > 50 and len(set(want.values())) > 80
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs(spark, enumerate(texts)), groups=groups).collect()}
+    assert got == want
+
+
 @pytest.fixture(scope="module")
 def forest(spark):
     return secret_scan.train(secret_scan.labelled_findings(spark))
