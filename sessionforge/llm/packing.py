@@ -7,8 +7,12 @@ totals, in which rounds its own tokens leave, without waiting for the partitions
 without a gap and are cut into windows, so no window holds padding; what is left at the end is cut into
 windows whose lengths are powers of two.
 
-Steps: (1) token ids by partition, written once; (2) totals by (partition, source), a few rows; (3) pieces, partition by
-partition. The ids are never shuffled while the totals fit a broadcast join.
+Sources beyond ``max_queues`` share one queue. There each sends bursts of ``BURST`` tokens at even distances in proportion to its
+tokens, the first at a distance given by a hash of its name, so at any point of the queue a source is about a burst or less off its share.
+
+Steps: (1) token ids by partition, written once; (2) totals by (partition, source), a few rows; (3) the places of the bursts of
+sources that share a queue, by a sort in buckets; (4) pieces, partition by partition. The ids are never shuffled while the totals fit a
+broadcast join, but for documents of sources that share a queue.
 
 Defined cases: a null text counts as empty and an empty text as its end id alone; rows with null or repeated doc_id are packed
 like any other; a null source is a queue of its own; an empty table gives no rows; other columns are ignored.
@@ -29,6 +33,11 @@ from .word_tokens import WordTokens
 TOKENS = "doc_id long, queue string, part int, at long, n long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
+#: Tokens that a queue with a small share, or a source in the shared queue, sends at once.
+BURST = 64
+#: Bursts of the shared queue that are put in order by one task at a time, about.
+BUCKET = 50_000
+
 _tokenizers: dict[str, WordTokens] = {}
 
 
@@ -63,7 +72,7 @@ def _tokens(batches, path: str, end_id: int):
 class Rounds:
     """How many tokens each queue has sent after r rounds, until all are empty."""
 
-    def __init__(self, totals, weights, window: int, burst: int = 64):
+    def __init__(self, totals, weights, window: int, burst: int = BURST):
         self.totals = np.asarray(totals, np.int64)
         left, weights = self.totals.astype(float), np.asarray(weights, float)
         base, at, phases = np.zeros(len(left)), 0.0, []
@@ -146,6 +155,19 @@ def cut(position, length, total: int, window: int):
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5
 
 
+def _segments(q, first, n, bursts):
+    """(row, start, place, length): rows of own queues as they are, rows of the shared queue cut into their bursts."""
+    valid = bursts.is_valid().to_numpy(zero_copy_only=False)
+    alone, many = np.flatnonzero(~valid), np.flatnonzero(valid)
+    flat = bursts.drop_null().flatten()
+    row = np.repeat(many, bursts.drop_null().value_lengths().to_numpy(zero_copy_only=False))
+    begin, place = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+    begin = begin.astype(np.int64) * BURST
+    lo, hi = np.maximum(begin, first[row]), np.minimum(begin + BURST, first[row] + n[row])
+    parts = (alone, row), (np.zeros(len(alone), np.int64), lo - first[row]), (first[alone], place + lo - begin), (n[alone], hi - lo)
+    return [np.concatenate(x) for x in parts]
+
+
 def _pieces(batches, rounds: Rounds, number: dict[str, int], window: int, size: int, with_ids: bool):
     import pyarrow as pa
 
@@ -155,14 +177,15 @@ def _pieces(batches, rounds: Rounds, number: dict[str, int], window: int, size:
             some = batch.slice(a, 2000)
             col = {name: some.column(i) for i, name in enumerate(some.schema.names)}
             q = np.array([number.get(x, rest) for x in col["queue"].to_pylist()], np.int64)
-            first = col["at"].to_numpy() + col["before"].to_numpy()
-            doc, r, lo, hi = placed(rounds, q, first, col["n"].to_numpy(), window)
+            row, begin, first, n = _segments(q, col["first"].to_numpy(), col["n"].to_numpy(), col["bursts"])
+            q = q[row]
+            doc, r, lo, hi = placed(rounds, q, first, n, window)
             some_rounds, at = np.unique(r, return_inverse=True)
             sent = rounds.all_sent(some_rounds)
             take = rounds.all_sent(some_rounds + 1) - sent
             position = sent.sum(axis=1)[at] + (np.cumsum(take, axis=1) - take)[at, q[doc]] + lo - sent[at, q[doc]]
             k, shift, length, sequence, offset = cut(position, hi - lo, total, window)
-            doc, start = doc[k], (lo - first[doc])[k] + shift
+            doc, start = row[doc[k]], (lo - first[doc] + begin[doc])[k] + shift
             data = [memoryview(np.frombuffer(x.as_py(), f"<u{size}").astype("<u4").tobytes()) for x in col["ids"]]
             crc = [zlib.crc32(data[d][4 * s : 4 * (s + m)]) for d, s, m in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
             out = [col["doc_id"].take(pa.array(doc)), start, length, np.array(crc, np.int64), col["n"].to_numpy()[doc], sequence, offset]
@@ -173,18 +196,33 @@ def _pieces(batches, rounds: Rounds, number: dict[str, int], window: int, size:
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for x in out], names=names)
 
 
+def _bursts(sums: DataFrame) -> DataFrame:
+    """(queue, burst, place): where each burst of the sources in ``sums`` (queue, n) begins in the queue they share."""
+    each = sums.groupBy("queue").agg(F.sum("n").alias("total")).select("queue", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(total - 1) div {BURST}"))).alias("burst"))
+    length = F.least(F.lit(BURST), F.col("total") - F.col("burst") * BURST)
+    phase = F.pmod(F.xxhash64("queue"), F.lit(1 << 20)) / F.lit(1 << 20)
+    timed = each.select("queue", "burst", length.alias("length"), ((F.col("burst") * BURST + phase * length) / F.col("total")).alias("time"))
+    buckets = max(1, each.count() // BUCKET)
+    timed = written(timed.withColumn("bucket", F.floor(F.col("time") * buckets).cast("int")), "bursts")
+    until = lambda w: F.coalesce(F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = timed.groupBy("bucket").agg(F.sum("length").alias("length")).select("bucket", until(Window.orderBy("bucket")).alias("before"))
+    inside = until(Window.partitionBy("bucket").orderBy("time", "queue", "burst"))
+    return timed.select("queue", "burst", "bucket", inside.alias("inside")).join(F.broadcast(before), "bucket").select("queue", "burst", (F.col("before") + F.col("inside")).alias("place"))
+
+
 def pack(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, end_id: int = 2, targets: dict[str, float] | None = None, max_queues: int = 1024, with_ids: bool = False) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text, source) in sequences of ``window`` tokens.
 
-    ``targets`` gives sources their share of every window; by default each has its share of all tokens. Sources beyond the
-    ``max_queues`` with the most tokens share one queue, in which each keeps its natural share.
+    ``targets`` gives sources their share of every window; by default each has its share of all tokens. Sources named in ``targets``
+    have their own queues, then those with the most tokens up to ``max_queues``; all others share one queue, in which each keeps its natural share.
     """
     ensure_importable(docs.sparkSession)
     queue = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), queue.alias("queue"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     tokens = written(ready.mapInArrow(partial(_tokens, path=tokenizer_path, end_id=end_id), TOKENS), "tokens")
     sums = written(tokens.groupBy("part", "queue").agg(F.sum("n").alias("n")), "sums")
-    top = sums.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "queue").limit(max_queues).collect()
+    named = [f"={x}" for x in targets or {}]
+    top = sums.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc(F.col("queue").isin(named)), F.desc("n"), "queue").limit(max(max_queues, len(named))).collect()
     number = {x.queue: i for i, x in enumerate(top)}
     total = sums.agg(F.sum("n")).first()[0] or 0
     totals = [x.n for x in top]
@@ -194,14 +232,19 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, end_id: in
     else:
         weights = [targets.get(x.queue[1:], 0.0) if x.queue != "null" else 0.0 for x in top] + [0.0]
     rounds = Rounds(totals, weights, window)
-    known = F.create_map(*[F.lit(y) for k, v in number.items() for y in (k, v)])[F.col("queue")] if number else F.lit(None).cast("int")
-    lane = F.coalesce(known, F.lit(len(number))).alias("lane")
-    within = Window.partitionBy("part", "lane").orderBy("queue").rowsBetween(Window.unboundedPreceding, -1)
-    by_part = sums.select("part", "queue", "n", lane).withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    earlier = Window.partitionBy("lane").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    lanes = sums.select("part", "n", lane).groupBy("part", "lane").agg(F.sum("n").alias("n")).select("part", "lane", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("parts_before"))
-    before = by_part.join(lanes, ["part", "lane"]).select("part", "queue", (F.col("inside") + F.col("parts_before")).alias("before"))
+    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("part", "queue", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    ready = tokens.join(before, ["part", "queue"]).select("doc_id", "queue", (F.col("at") + F.col("before")).alias("first"), "n", "ids")
+    none = F.lit(None).cast("array<struct<burst:long,place:long>>").alias("bursts")
+    if totals[-1]:
+        own = F.coalesce(F.create_map(*[F.lit(y) for k in number for y in (k, True)])[F.col("queue")], F.lit(False)) if number else F.lit(False)
+        number_of = F.explode(F.expr(f"sequence(first div {BURST}, (first + n - 1) div {BURST})"))
+        cut_up = ready.where(~own).select("queue", "first", number_of.alias("burst")).join(_bursts(sums.where(~own)), ["queue", "burst"])
+        cut_up = cut_up.groupBy("queue", "first").agg(F.collect_list(F.struct("burst", "place")).alias("bursts"))
+        shared = ready.where(~own).join(cut_up, ["queue", "first"]).select("doc_id", "queue", "first", "n", "ids", "bursts")
+        ready = ready.where(own).select("*", none).union(shared)
+    else:
+        ready = ready.select("*", none)
     size = tokenizer(tokenizer_path).dtype.itemsize
     schema = PIECES + (", ids binary" if with_ids else "")
-    ready = tokens.join(before, ["part", "queue"]).select("doc_id", "queue", "at", "before", "n", "ids")
     return ready.mapInArrow(partial(_pieces, rounds=rounds, number=number, window=window, size=size, with_ids=with_ids), schema)

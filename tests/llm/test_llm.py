@@ -207,6 +207,27 @@ def test_packing(spark, odd, targets, most):
     assert packing.pack(odd[0].limit(0), path).count() == 0
 
 
+def test_packing_keeps_shares_of_many_small_sources(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    sources = [f"host{i // 20:02}" for i in range(800)] + ["tiny"] * 3
+    rows = [(i, "some words of a text " * (5 + i % 7), s) for i, s in enumerate(sources)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartitionByRange(3, "doc_id")
+    got = packing.pack(d, path, window=512, max_queues=2).collect()
+    total, sent, all_sent, off = {}, {}, 0, 0
+    for r in got:
+        total[sources[r.doc_id]] = total.get(sources[r.doc_id], 0) + r.length
+    own = sorted(total, key=lambda s: (-total[s], s))[:2]
+    share = {s: n / (sum(total.values()) - sum(total[o] for o in own)) for s, n in total.items() if s not in own}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        s = sources[r.doc_id]
+        if s in share:
+            sent[s], all_sent = sent.get(s, 0) + r.length, all_sent + r.length
+            off = max(off, max(abs(sent.get(x, 0) - share[x] * all_sent) for x in share))
+    assert len(share) == 39 and off <= 2 * packing.BURST
+    targeted = packing.pack(d, path, window=64, targets={"tiny": 0.5, "host01": 0.5}, max_queues=1).collect()
+    assert max(r.sequence_id for r in targeted if sources[r.doc_id] == "tiny") <= 2 * total["tiny"] // 64 + 3
+
+
 def test_rounds_hold_targets():
     r = packing.Rounds([5000, 3000, 2000, 10], [5000, 3000, 2000, 10], 256)
     sent = r.all_sent(np.arange(r.end + 1))
