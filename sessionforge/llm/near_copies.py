@@ -261,6 +261,16 @@ def _linked(batches, max_bits: int):
         yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
 
+def dealt(grid: DataFrame, cell_rows: int) -> DataFrame:
+    """(grp, cell, block, node, fp): crowded cells as all pairs of two of their blocks, so none holds more than about ``2 * cell_rows`` rows."""
+    full = written(grid.groupBy("grp", "cell").count().where(F.col("count") > cell_rows).select("grp", "cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks")), "full")
+    own, blocks = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("blocks")
+    others = F.filter(F.sequence(F.lit(0), blocks - 1), lambda k: k != own)
+    pairs = F.transform(others, lambda k: F.least(own, k).cast("long") * blocks + F.greatest(own, k))
+    block = F.explode(F.when(blocks.isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs))
+    return grid.join(full, ["grp", "cell"], "left").select("grp", "cell", block.alias("block"), "node", "fp")
+
+
 def marked_rows(docs: DataFrame, *, words: int = 5, max_bits: int = 48, segments: int = 10, groups: int = 64, cell_rows: int = 1 << 16, similarity: float = 0.8) -> DataFrame:
     """doc_id, text_key (a hash of the text), node, root (the same for all nodes of a class) and component_id of every row."""
     ensure_importable(docs.sparkSession)
@@ -270,11 +280,7 @@ def marked_rows(docs: DataFrame, *, words: int = 5, max_bits: int = 48, segments
     nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "nodes")
     sets = marked.where("shingles is not null").select("node", "shingles")
     grid = nodes.select("node", "fp").mapInArrow(partial(_grid, segments=segments, groups=groups), "grp int, cell long, node long, fp binary")
-    full = written(grid.groupBy("grp", "cell").count().where(F.col("count") > cell_rows).select("grp", "cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks")), "full")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    block = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(own, F.col("blocks") - 1)))
-    dealt = grid.join(full, ["grp", "cell"], "left").select("grp", "cell", block.alias("block"), "node", "fp")
-    links = dealt.repartition("grp", "cell", "block").sortWithinPartitions("grp", "cell", "block").mapInArrow(partial(_linked, max_bits=max_bits), "a long, b long")
+    links = dealt(grid, cell_rows).repartition("grp", "cell", "block").sortWithinPartitions("grp", "cell", "block").mapInArrow(partial(_linked, max_bits=max_bits), "a long, b long")
     near = components(_similar(links, sets, share))
     rest = _similar(_meeting(sets, near, share), sets, share)
     roots = components(near.toDF("a", "b").union(rest))

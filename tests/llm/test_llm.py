@@ -341,6 +341,17 @@ def test_near_copies_cells_in_blocks(spark, odd):
     assert near_copies.near_copies(odd[0].limit(0)).count() == 0
 
 
+def test_near_copies_blocks_meet_and_stay_small(spark):
+    grid = spark.range(430).selectExpr("0 as grp", "if(id < 400, 7L, 8L) as cell", "id as node", "cast('x' as binary) as fp")
+    met, size = set(), {}
+    for r in near_copies.dealt(grid, 50).collect():
+        size.setdefault((r.cell, r.block), []).append(r.node)
+    assert max(map(len, size.values())) <= 150
+    for rows in size.values():
+        met |= {(a, b) for a in rows for b in rows if a < b}
+    assert met == {(a, b) for b in range(430) for a in range(b) if (a < 400) == (b < 400)}
+
+
 def jaccard_classes(sets):
     """The least number of each set's class, with links at a Jaccard similarity of 0.8 or more."""
     up = list(range(len(sets)))
