@@ -1,8 +1,8 @@
 """The corpus pipeline: documents without toxic ones, without near copies, with secrets taken out, packed for training.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again for the next.
-All but the last return the columns of ``documents``. A null text is kept (it is neither toxic nor a secret); rows with null
-doc_id are kept by every stage; repeated rows are copies, of which near-dedup keeps one.
+All but the last return the columns of ``documents``. A null text is kept (it is neither toxic nor a secret). Near-dedup
+works by row, whatever its doc_id: of each class one row stays, rows with null doc_id come last, and different texts under one doc_id are different documents.
 """
 
 from __future__ import annotations
@@ -23,19 +23,27 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies (five words, similarity 0.8): the one with the smallest doc_id."""
-    docs = docs.select(*COLUMNS)
-    near = written(near_copies.near_copies(docs), "near")
-    # Documents that aren't their class's first go; of rows that share a doc_id one stays.
-    gone = near.where("doc_id is not null and doc_id != component_id").select("doc_id").distinct()
-    twice = near.where("doc_id = component_id").groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
-    left = docs.join(written(gone, "gone"), "doc_id", "left_anti").select(*COLUMNS)
-    twice = written(twice, "twice")
+    """One row of each class of near copies (five words, similarity 0.8): one with the smallest doc_id."""
+    key = ("doc_id", "text_key")
+    docs = docs.select(*COLUMNS).withColumn("text_key", F.xxhash64("text"))
+    near = written(near_copies.marked_rows(docs).select(*key, "root"), "near")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), *key)).alias("first")
+    first = near.groupBy("root").agg(least, F.count(F.lit(1)).alias("rows")).where("rows > 1").select("root", "first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    keys = written(near.join(first, "root").groupBy(*key, stays.alias("stays")).count(), "keys")
+
+    def rows_of(docs, keys, how):
+        other = keys.toDF("other_id", "other_text")
+        return docs.join(other, F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("text_key") == F.col("other_text")), how)
+
+    left = rows_of(docs, keys.where("not stays").select(*key), "left_anti")
+    # Of rows that share doc_id and text one stays.
+    twice = keys.where("stays and count > 1").select(*key)
     if twice.isEmpty():
-        return left
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    again = left.join(twice, "doc_id", "left_semi").withColumn("_n", first).where("_n = 1").drop("_n")
-    return left.join(twice, "doc_id", "left_anti").unionByName(again).select(*COLUMNS)
+        return left.select(*COLUMNS)
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(*COLUMNS))
+    again = rows_of(left, twice, "left_semi").withColumn("_n", number).where("_n = 1").drop("_n")
+    return rows_of(left, twice, "left_anti").unionByName(again).select(*COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

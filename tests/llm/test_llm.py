@@ -442,6 +442,14 @@ def test_pipeline_repeated_and_null_rows(spark, sf):
     assert sorted(str(r.doc_id) for r in corpus_pipeline.without_near_copies(spark, d, sf).collect()) == ["1", "3", "None"]
 
 
+def test_near_dedup_keeps_one_row_of_each_class(spark, sf):
+    a, b, c = ("first words of a text here", "second set of other words entirely", "third text has words as well")
+    rows = [(5, a), (7, a.upper()), (3, b), (5, b), (None, c), (None, c), (None, b.upper()), (9, "one text under an id"), (9, "two texts have the same id"), (11, a), (11, a)]
+    d = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.without_near_copies(spark, d, sf).collect()]
+    assert sorted(got, key=str) == sorted([(5, a), (3, b), (None, c), *rows[7:9]], key=str)
+
+
 def test_registered():
     names = set(queries.queries())
     assert len(names) == 10 and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
