@@ -1,21 +1,25 @@
-"""SimHash near-duplicates at a similarity of 0.8: wide fingerprints find links fast, a complete join finds the rest, whole shingle sets decide.
+"""SimHash near-duplicates at a similarity of 0.8: the range join of ``simhash`` finds close copies, a prefix join all others, whole texts decide.
 
 Two documents are linked if the Jaccard similarity of their sets of five-word shingles (as 64-bit hashes) is ``similarity`` or more; all
-such pairs end in one class and no other pair is linked. Documents with equal sets are one node from the start. Then
-
-1. 256-bit SimHashes, 128 segments of two bits. The coordinates of a grid are the bit counts of ``segments`` of them, chosen by a seed for each of
-   ``groups`` grids. Within a cell a spanning forest of the pairs with ``max_bits`` or fewer differing bits is found (0.8 lies at 39 +- 6 bits). This
-   gives few pairs for large groups of copies, but neither all links nor links only, so each is verified on the sets.
-2. A prefix join that loses no pair: with the shingles of all sets in one order, two sets of the wanted similarity share a shingle among the
-   first ``n - ceil(similarity * n) + 1`` of each. Pairs that meet there, could still be similar by their places in the order and
-   don't hang together by step 1 are verified on the sets as well. Any order is right; frequent shingles (by a sample of
-   documents) stand last, so that common passages bring few pairs together.
-
-Large groups of documents that share most of their shingles and still stay below ``similarity`` are compared pair by pair: time grows with
-the square of such a group; memory doesn't, as joins spill.
-
-Within a cell of step 1 what hangs on a node already is not compared again, and the triangle inequality spares most of the rest. Cells with more than ``cell_rows`` rows are cut
-into blocks that meet pairwise.
+such pairs end in one class and no other pair is linked. Documents with equal sets are one node from the start.
+
+A similarity of 0.8 lies at 10 +- 3 differing bits of 64. The grids of a range join that loses no pair at 14 bits have less than five segments
+each and prune nothing, so the dealt method alone can't give right results here. Candidates therefore come from three steps:
+
+1. ``simhash.links``: segment popcounts, grid range join under their Manhattan distance, complete for ``max_bits`` differing bits. It gives few
+   pairs for large groups of close copies.
+2. Prefixes: with the shingles of all sets in one order, two sets of the wanted similarity share one among the first
+   ``n - ceil(similarity * n) + 1`` of each. Any order is right; frequent shingles (by a sample of documents) stand last, so that
+   common passages bring few documents together. Each set is first compared with one other: the most central sets at its shingles (those that
+   meet others at the largest part of their prefix) are hubs, and it takes the hub it meets most often. A text and thousands of edited
+   copies of it so end in one class by as many comparisons.
+3. All pairs that don't hang together by the first two steps, unless a bound rules them out: similar sets share a certain number of
+   shingles of their prefixes, and differ in so few shingles that their sketches, the parities of the numbers of shingles in 512 buckets,
+   differ in no more. After this no similar pair is missing.
+
+Every candidate is verified on both whole texts: each text goes once to its partner with more candidates (the hub), whose text is sent to as many
+places as its candidates fill, ``hub_rows`` each. Large groups of documents that share most of their shingles and still stay
+below ``similarity`` are compared pair by pair: time grows with the square of such a group; memory doesn't.
 
 Defined cases: as for ``simhash``; wordless texts are alike. Distinct shingles with one hash (2^-64 a pair) are taken as equal.
 """
@@ -27,16 +31,19 @@ from functools import partial
 from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ensure_importable, slices, written
 from .components import components
-from .simhash import SEED, _forest, segment_counts
+from .simhash import SEED, links
 
-BITS = 256
-#: Documents in which frequent shingles are counted, and how many of these are known to all workers.
-SAMPLE, FREQUENT = 1 << 15, 1 << 17
+#: Documents in which frequent shingles are counted, and how many of these are known to all workers. They only set the order of shingles.
+SAMPLE, FREQUENT = 1 << 13, 1 << 16
+KEY = ("doc_id", "text_key")
+#: The sketch of a set: 512 bits in eight numbers.
+SKETCH = tuple(f"s{i}" for i in range(8))
+MARKS = "doc_id long, text_key long, node long, fp long, size int, rare int, " + ", ".join(f"{c} long" for c in SKETCH) + ", prefix array<long>"
 
 
 class _WordHashes(dict):
@@ -71,221 +78,180 @@ def shingle_sets(texts: list[bytes], words: int, known: _WordHashes) -> list[np.
     return out
 
 
-def wide_fingerprint(shingles: np.ndarray) -> bytes:
-    """A bit is 1 if set in over half of the shingles' 256-bit hashes."""
-    sums, salt = np.zeros(BITS, np.int64), np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for i in range(0, len(shingles), 1 << 12):
-        h = _mixed(shingles[i : i + (1 << 12), None].view(np.uint64) + salt)
-        sums += np.unpackbits(h.view(np.uint8).reshape(-1, BITS // 8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(sums * 2 > len(shingles)).tobytes()
+def fingerprint(shingles: np.ndarray) -> int:
+    """A bit is 1 if set in over half of the shingles' hashes."""
+    sums = np.zeros(64, np.int64)
+    for i in range(0, len(shingles), 1 << 14):
+        sums += np.unpackbits(shingles[i : i + (1 << 14)].view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(sums * 2 > len(shingles)).view(np.int64)[0])
 
 
-def _lists(parts: list[np.ndarray]):
-    import pyarrow as pa
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Two sets differ in at least as many shingles as their sketches in bits."""
+    return np.packbits(np.bincount(shingles.view(np.uint64) >> np.uint64(55), minlength=512) & 1).view(np.int64)
+
 
-    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+def prefixes(sets: list[np.ndarray], frequent: np.ndarray, rank: np.ndarray, share: Fraction):
+    """(shingles, bounds, rare): the shingles of each set that a similar set has to share one of; from place ``rare`` on they are frequent. ``frequent`` is sorted."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat, doc = np.concatenate([*sets, np.zeros(0, np.int64)]), np.repeat(np.arange(len(sets)), size)
+    late = np.zeros(len(flat), np.int64)
+    if len(frequent):
+        place = np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)
+        late = np.where(frequent[place] == flat, rank[place], 0)
+    order = np.lexsort((flat, late, doc))
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+    taken = np.where(size > 0, size + -size * share.numerator // share.denominator + 1, 0)
+    order = order[at < taken[doc]]
+    return flat[order], np.cumsum(np.concatenate(([0], taken))), np.bincount(doc[order][late[order] == 0], minlength=len(sets))
 
 
-def _wide(batches, words: int):
-    """A set is given once a task: later rows of the same node have none."""
+def _marks(batches, words: int, frequent: np.ndarray, rank: np.ndarray, share: Fraction):
+    """A prefix is given once a task: later rows of the same node have none."""
     import pyarrow as pa
-    import pyarrow.compute as pc
     import xxhash
 
-    known, seen = _WordHashes(), set()
+    known, seen, none = _WordHashes(), set(), np.zeros(0, np.int64)
     for batch in batches:
         for a, b, texts in slices(batch.column(2).cast(pa.binary()), 2_000_000):
             sets = shingle_sets(texts, words, known)
             node = [int(np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).view(np.int64)) for s in sets]
-            first = []
-            for x in node:
-                first.append(x not in seen)
+            own = []
+            for x, s in zip(node, sets, strict=True):
+                own.append(none if x in seen else s)
                 seen.add(x)
-            prints = [wide_fingerprint(s) for s in sets]
-            lists = pc.if_else(pa.array(first), _lists(sets), pa.scalar(None, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(node, pa.int64()), pa.array(prints, pa.binary()), lists], names=["doc_id", "text_key", "node", "fp", "shingles"])
+            flat, bounds, rare = prefixes(own, frequent, rank, share)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+            columns = [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(node, pa.int64()), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array(list(map(len, sets)), pa.int32()), pa.array(rare, pa.int32())]
+            sketches = np.stack([sketch(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(sketches[:, i]) for i in range(8)), lists], names=["doc_id", "text_key", "node", "fp", "size", "rare", *SKETCH, "prefix"])
 
 
-def _prefixes(batches, frequent: np.ndarray, rank: np.ndarray, share: Fraction):
-    """(shingle, node, at, size) of the shingles that a similar set has to share one of; ``frequent`` is sorted."""
+def _sampled(batches, words: int):
     import pyarrow as pa
 
+    known = _WordHashes()
     for batch in batches:
-        for k in range(0, batch.num_rows, 500):
-            some = batch.slice(k, 500)
-            node, sets = some.column(0).to_numpy(), some.column(1)
-            size = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat, doc = sets.flatten().to_numpy(), np.repeat(np.arange(len(size)), size)
-            place = np.minimum(np.searchsorted(frequent, flat), max(len(frequent) - 1, 0))
-            late = np.where(frequent[place] == flat, rank[place], 0) if len(frequent) else np.zeros(len(flat), np.int64)
-            order = np.lexsort((flat, late, doc))
-            at = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-            keep = at < (size + -size * share.numerator // share.denominator + 1)[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[order][keep]), pa.array(node[doc][keep]), pa.array(at[keep].astype(np.int32)), pa.array(size[doc][keep].astype(np.int32))], names=["shingle", "node", "at", "size"])
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are similar."""
-    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    own = written(sets.join(needed, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    both = pairs.join(own.toDF("a", "left"), "a").join(own.toDF("b", "right"), "b")
-    common = F.size(F.array_intersect("left", "right")).cast("long")
-    p, q = share.numerator, share.denominator
-    return both.where(common * F.lit(p + q) >= (F.size("left") + F.size("right")) * F.lit(p)).select("a", "b")
-
-
-def _meeting(sets: DataFrame, roots: DataFrame, share: Fraction) -> DataFrame:
-    """The pairs (a, b) of nodes that hang on different roots and could be similar; no similar pair is missing."""
-    step = max(1, sets.count() // SAMPLE)
-    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(step)) == 0).select(F.explode("shingles").alias("shingle"))
-    counts = sample.groupBy("shingle").count().where("count > 2").orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
-    frequent, rank = np.array([x.shingle for x in counts], np.int64), np.arange(len(counts), 0, -1)
-    order = np.argsort(frequent)
-    cells = sets.mapInArrow(partial(_prefixes, frequent=frequent[order], rank=rank[order], share=share), "shingle long, node long, at int, size int")
-    least, most = (f("node").over(Window.partitionBy("shingle")) for f in (F.min, F.max))
-    shared = written(cells.select("*", least.alias("least"), most.alias("most")).where("least != most").select("shingle", "node", "at", "size").distinct(), "shared")
-    x = written(shared.join(roots, "node", "left").select("shingle", "node", "at", "size", F.coalesce("root", "node").alias("root")), "cells")
-    y = x.toDF("shingle", "node2", "at2", "size2", "root2")
-    # At the first shingle that two sets share, all others they share come later.
-    common = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2")).cast("long")
-    could = common * F.lit(share.numerator + share.denominator) >= (F.col("size") + F.col("size2")) * F.lit(share.numerator)
-    return x.join(y, "shingle").where((F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & could).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+        for _, _, texts in slices(batch.column(0).cast(pa.binary()), 2_000_000):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle_sets(texts, words, known)))], names=["shingle"])
 
 
-def _matrix(column) -> np.ndarray:
-    """Binary fingerprints as rows of four 64-bit numbers."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, ranks): those in more than two of about ``SAMPLE`` different texts, sorted, the most frequent with the highest rank."""
+    step = max(1, docs.count() // SAMPLE)
+    some = docs.where(F.pmod(F.col("text_key"), F.lit(step)) == 0).groupBy("text_key").agg(F.first("text").alias("text"))
+    counts = some.select("text").mapInArrow(partial(_sampled, words=words), "shingle long").groupBy("shingle").count()
+    top = counts.where("count > 2").orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
+    shingles = np.array([x.shingle for x in top], np.int64)
+    order = np.argsort(shingles)
+    return shingles[order], np.arange(len(top), 0, -1)[order]
 
 
-def _grid(batches, segments: int, groups: int):
+def _verified(batches, words: int, share: Fraction):
+    """Rows come sorted by hub and salt, the hub's own text before its candidates."""
     import pyarrow as pa
 
-    rng = np.random.default_rng(SEED)
-    chosen = [rng.choice(BITS // 2, segments, replace=False).astype(np.uint64) for _ in range(groups)]
+    known, hub, own = _WordHashes(), None, np.zeros(0, np.int64)
+    p, q = share.numerator, share.denominator
     for batch in batches:
-        counts = segment_counts(_matrix(batch.column(1)))
-        for g, own in enumerate(chosen):
-            cell = np.zeros(len(counts), np.uint64)
-            for s in own:
-                cell = cell << np.uint64(2) | (counts[:, int(s) // 32] >> s % np.uint64(32) * np.uint64(2) & np.uint64(3))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), g, np.int32)), pa.array(cell.view(np.int64)), batch.column(0), batch.column(1)], names=["grp", "cell", "node", "fp"])
+        for a, b, texts in slices(batch.column(3).cast(pa.binary()), 2_000_000):
+            left, right = [], []
+            rows = zip(*(batch.column(i).slice(a, b - a).to_pylist() for i in range(3)), shingle_sets(texts, words, known), strict=True)
+            for h, kind, node, s in rows:
+                if kind == 0:
+                    hub, own = h, s
+                    continue
+                if h != hub:
+                    raise ValueError("a candidate came without its hub")
+                common = len(np.intersect1d(own, s, assume_unique=True))
+                if common * (p + q) >= (len(own) + len(s)) * p:
+                    left.append(h)
+                    right.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, share: Fraction, hub_rows: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets are similar. ``nodes`` names a row of ``docs`` (doc_id, text_key, text) for each node."""
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    ends = written(ends.join(nodes.select("node", *KEY), "node").select("node", "n", *KEY), "ends")
+    both = pairs.join(ends.select([F.col(c).alias(f"{c}_a") for c in ends.columns]), F.col("a") == F.col("node_a")).join(ends.select([F.col(c).alias(f"{c}_b") for c in ends.columns]), F.col("b") == F.col("node_b"))
+    a_is_hub = F.struct("n_a", "a") > F.struct("n_b", "b")
+    side = lambda c, is_hub: F.when(a_is_hub == is_hub, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b"))
+    salt = F.pmod(F.xxhash64(side("node", False)), F.ceil(side("n", True) / F.lit(hub_rows))).cast("int")
+    row = lambda kind, is_hub: both.select(side("node", True).alias("hub"), salt.alias("salt"), F.lit(kind).alias("kind"), side("node", is_hub).alias("node"), *[side(c, is_hub).alias(f"_{c}") for c in KEY])
+    wanted = written(row(0, True).distinct().union(row(1, False)), "wanted")
+    same = docs["doc_id"].eqNullSafe(wanted["_doc_id"]) & (docs["text_key"] == wanted["_text_key"])
+    sent = docs.join(wanted, same).select("hub", "salt", "kind", "node", "text").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "kind")
+    found = sent.select("hub", "kind", "node", "text").mapInArrow(partial(_verified, words=words, share=share), "a long, b long")
+    return written(found.distinct(), "similar")
+
+
+def shared_shingles(marked: DataFrame) -> DataFrame:
+    """(shingle, node, size): the prefixes' shingles that different nodes have."""
+    cells = marked.where("prefix is not null").select("node", "size", "rare", F.posexplode("prefix").alias("at", "shingle"))
+    least, most = (f("node").over(Window.partitionBy("shingle")) for f in (F.min, F.max))
+    rare = cells.where("at < rare").select("shingle", "node", "size", least.alias("least"), most.alias("most"))
+    # Frequent shingles, of which there are FREQUENT at most, may be in a third of all rows: these are counted before a shuffle and not moved.
+    often = cells.where("at >= rare").select("shingle", "node", "size")
+    ends = often.groupBy("shingle").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    often = often.join(F.broadcast(ends), "shingle").select(rare.columns)
+    return rare.union(often).where("least != most").select("shingle", "node", "size").distinct()
 
 
-def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+def first_partners(shared: DataFrame, share: Fraction) -> DataFrame:
+    """(a, b): each node with the hub it meets most often, if that is a quarter of what a similar one needs or more."""
+    central = shared.groupBy("node", "size").agg((F.count(F.lit(1)) / F.col("size")).alias("central")).select("node", "central")
+    placed = written(shared.join(central, "node"), "placed")
+    best = placed.groupBy("shingle").agg(F.max(F.struct("central", "node", "size")).alias("hub")).select("shingle", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
+    met = placed.join(best, "shingle").where("node != hub").groupBy("node", "hub", "size", "hub_size").agg(F.count(F.lit(1)).alias("met"))
+    most = met.groupBy("node").agg(F.max("met").alias("met"), *[F.max_by(c, "met").alias(c) for c in ("hub", "size", "hub_size")])
+    return most.where(could_be(4 * F.col("met"), F.col("size"), F.col("hub_size"), share)).select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
 
-def tree(fp: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the rows of ``fp``.
+def could_be(met: Column, left: Column, right: Column, share: Fraction) -> Column:
+    """Whether sets of these sizes whose prefixes share ``met`` shingles can be similar.
 
-    Each component grows from a leader. A row at distance d of the leader is out of reach of a member at distance e if
-    d > e + max_bits.
+    Of the shingles they share, those not in both prefixes come after the prefix that ends first.
     """
-    rest, out = np.arange(len(fp)), []
-    while len(rest) > 1:
-        leader, rest = rest[0], rest[1:]
-        far = _differing(fp[rest], fp[leader])
-        near = far <= max_bits
-        out += [(int(leader), int(i)) for i in rest[near]]
-        todo = list(zip(rest[near].tolist(), far[near].tolist(), strict=True))
-        rest, far = rest[~near], far[~near]
-        while todo and len(rest):
-            member, e = todo.pop()
-            reach = np.flatnonzero(far <= e + max_bits)
-            if not len(reach):
-                continue
-            d = _differing(fp[rest[reach]], fp[member])
-            hit = reach[d <= max_bits]
-            if len(hit):
-                out += [(member, int(i)) for i in rest[hit]]
-                todo += list(zip(rest[hit].tolist(), far[hit].tolist(), strict=True))
-                stays = np.ones(len(rest), bool)
-                stays[hit] = False
-                rest, far = rest[stays], far[stays]
-    return out
+    p, q = share.numerator, share.denominator
+    after = lambda size: F.floor((size.cast("long") * F.lit(p) + F.lit(q - 1)) / F.lit(q)) - 1  # noqa: E731  what a prefix leaves out
+    common = F.least(met + F.greatest(after(left), after(right)), left, right)
+    return common * F.lit(p + q) >= (left + right).cast("long") * F.lit(p)
 
 
-def forest(run: np.ndarray, fp: np.ndarray, max_bits: int, small: int = 32, step: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """Indices (a, b) of a spanning forest of the links within runs of equal ``run``; small runs by all their pairs at once."""
-    first = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1]))) if len(run) else np.zeros(0, int)
-    size = np.diff(np.concatenate((first, [len(run)])))
-    at = np.arange(len(run)) - np.repeat(first, size)
-    meets = np.where(np.repeat(size, size) <= small, at, 0)
-    total, out_a, out_b, i = np.cumsum(meets), [np.zeros(0, int)], [np.zeros(0, int)], 0
-    while i < len(run):
-        j = max(int(np.searchsorted(total, (total[i - 1] if i else 0) + step, "right")), i + 1)
-        m = meets[i:j]
-        left = np.repeat(np.arange(i, j), m)
-        right = np.repeat(np.arange(i, j) - m, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-        near = _differing(fp[left], fp[right]) <= max_bits
-        a, b = _forest(left[near], right[near])
-        out_a.append(a)
-        out_b.append(b)
-        i = j
-    for f, n in zip(first[size > small].tolist(), size[size > small].tolist(), strict=True):
-        found = np.array(tree(fp[f : f + n], max_bits), int).reshape(-1, 2) + f
-        out_a.append(found[:, 0])
-        out_b.append(found[:, 1])
-    return np.concatenate(out_a), np.concatenate(out_b)
-
-
-def _linked(batches, max_bits: int):
-    """Rows come sorted by cell; the last cell of a batch waits for the next."""
-    import pyarrow as pa
+def meeting(shared: DataFrame, nodes: DataFrame, roots: DataFrame, share: Fraction) -> DataFrame:
+    """The pairs (a, b) of nodes that hang on different roots and could be similar; no similar pair is missing."""
+    hung = written(shared.join(roots, "node", "left").select("shingle", "node", "size", F.coalesce("root", "node").alias("root")), "hung")
+    mixed = hung.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("shingle")
+    x = written(hung.join(mixed, "shingle").join(nodes.select("node", *SKETCH), "node"), "cells")
+    y = x.select([F.col(c).alias(c if c == "shingle" else f"{c}_2") for c in x.columns])
+    p, q = share.numerator, share.denominator
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in SKETCH), F.lit(0))
+    alike = differ * F.lit(p + q) <= (F.col("size") + F.col("size_2")).cast("long") * F.lit(q - p)
+    both = x.join(y, "shingle").where((F.col("node") < F.col("node_2")) & (F.col("root") != F.col("root_2")) & could_be(F.col("size"), F.col("size"), F.col("size_2"), share) & alike)
+    pairs = both.groupBy(F.col("node").alias("a"), F.col("node_2").alias("b"), "size", "size_2").agg(F.count(F.lit(1)).alias("met"))
+    return pairs.where(could_be(F.col("met"), F.col("size"), F.col("size_2"), share)).select("a", "b")
 
-    def links(table):
-        grp, cell, block = (table.column(c).to_numpy() for c in ("grp", "cell", "block"))
-        new = np.concatenate(([True], (cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (grp[1:] != grp[:-1])))
-        return new, table.column("node").to_numpy()
 
-    held = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        same = held[0].num_rows and all(held[0].column(c)[0].as_py() == batch.column(c)[batch.num_rows - 1].as_py() for c in range(3))
-        if same:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks()
-        new, node = links(table)
-        cut = len(new) - 1 - int(np.argmax(new[::-1]))
-        held = table.slice(cut).to_batches()
-        a, b = forest(np.cumsum(new[:cut]), _matrix(table.column("fp").slice(0, cut)), max_bits)
-        yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
-    if held:
-        table = pa.Table.from_batches(held).combine_chunks()
-        new, node = links(table)
-        a, b = forest(np.cumsum(new), _matrix(table.column("fp")), max_bits)
-        yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
-
-
-def dealt(grid: DataFrame, cell_rows: int) -> DataFrame:
-    """(grp, cell, block, node, fp): crowded cells as all pairs of two of their blocks, so none holds more than about ``2 * cell_rows`` rows."""
-    full = written(grid.groupBy("grp", "cell").count().where(F.col("count") > cell_rows).select("grp", "cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks")), "full")
-    own, blocks = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("blocks")
-    others = F.filter(F.sequence(F.lit(0), blocks - 1), lambda k: k != own)
-    pairs = F.transform(others, lambda k: F.least(own, k).cast("long") * blocks + F.greatest(own, k))
-    block = F.explode(F.when(blocks.isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs))
-    return grid.join(full, ["grp", "cell"], "left").select("grp", "cell", block.alias("block"), "node", "fp")
-
-
-def marked_rows(docs: DataFrame, *, words: int = 5, max_bits: int = 48, segments: int = 10, groups: int = 64, cell_rows: int = 1 << 16, similarity: float = 0.8) -> DataFrame:
+def marked_rows(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max_bits: int = 3, cell_rows: int = 4096, hub_rows: int = 1024) -> DataFrame:
     """doc_id, text_key (a hash of the text), node, root (the same for all nodes of a class) and component_id of every row."""
     ensure_importable(docs.sparkSession)
     share = Fraction(str(similarity))
-    ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
-    marked = written(ready.mapInArrow(partial(_wide, words=words), "doc_id long, text_key long, node long, fp binary, shingles array<long>"), "wide")
-    nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "nodes")
-    sets = marked.where("shingles is not null").select("node", "shingles")
-    grid = nodes.select("node", "fp").mapInArrow(partial(_grid, segments=segments, groups=groups), "grp int, cell long, node long, fp binary")
-    links = dealt(grid, cell_rows).repartition("grp", "cell", "block").sortWithinPartitions("grp", "cell", "block").mapInArrow(partial(_linked, max_bits=max_bits), "a long, b long")
-    near = components(_similar(links, sets, share))
-    rest = _similar(_meeting(sets, near, share), sets, share)
-    roots = components(near.toDF("a", "b").union(rest))
-    hung = nodes.join(roots, "node", "left").select("node", "least", "n", F.coalesce("root", "node").alias("root"))
-    class_of = hung.groupBy("root").agg(F.min("least").alias("component_id"), F.sum("n").alias("rows"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    frequent, rank = frequent_shingles(docs, words)
+    marked = written(docs.mapInArrow(partial(_marks, words=words, frequent=frequent, rank=rank, share=share), MARKS), "marked")
+    nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.min_by("doc_id", "text_key").alias("doc_id"), F.min("fp").alias("fp"), *[F.min(c).alias(c) for c in SKETCH], F.count(F.lit(1)).alias("n")), "nodes")
+    shared = written(shared_shingles(marked), "shared")
+    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+    alike = nodes.join(prints, "fp").select("node", "first")
+    close = links(prints, max_bits, cell_rows).join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b").select("x", "y")
+    near = similar(close.union(alike).union(first_partners(shared, share)).toDF("a", "b"), nodes, docs, words, share, hub_rows)
+    roots = components(near)
+    rest = similar(meeting(shared, nodes, roots, share), nodes, docs, words, share, hub_rows)
+    roots = components(roots.toDF("a", "b").union(rest))
+    hung = nodes.join(roots, "node", "left").select("node", "least_id", "n", F.coalesce("root", "node").alias("root"))
+    class_of = hung.groupBy("root").agg(F.min("least_id").alias("component_id"), F.sum("n").alias("rows"))
     named = written(hung.join(class_of.where("rows > 1"), "root").select("node", "root", "component_id"), "classes")
     return marked.join(named, "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
 

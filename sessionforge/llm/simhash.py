@@ -7,8 +7,8 @@ fingerprint stands in its grid cell of every group and looks into the cells one
 of them. Pairs that meet are verified by their differing bits.
 
 Equal fingerprints are one node from the start. A cell is read in sorted order, residents before visitors, and gives no more than a spanning
-forest of its links, never all pairs. Cells with more than ``cell_rows`` residents are cut into blocks that meet pairwise, so no task
-holds more than a block of a cell.
+forest of its links, never all pairs. Cells in which more than ``cell_rows`` residents and visitors meet are cut into blocks, and each pair
+of blocks is a group of rows of its own, so none reads or holds more than about two blocks.
 
 Defined cases: words are runs of anything but ASCII white space, after lower-casing A-Z; with fewer words than a shingle
 the whole sequence is the one shingle; a null or wordless text has fingerprint zero and links like any other. Rows
@@ -156,20 +156,27 @@ def _verified(batches, max_bits: int):
         carry = [x[tail] for x in now]
 
 
+def dealt(rows: DataFrame, full: DataFrame, key: str) -> DataFrame:
+    """``rows`` (grp, cell, ``key``, ...) with a column block: rows of the cells in ``full`` (grp, cell, blocks) once for each pair of blocks that theirs is in."""
+    own, blocks = F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"), F.col("blocks")
+    others = F.filter(F.sequence(F.lit(0), blocks - 1), lambda k: k != own)
+    pairs = F.transform(others, lambda k: F.least(own, k).cast("long") * blocks + F.greatest(own, k))
+    block = F.explode(F.when(blocks.isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs))
+    return rows.join(full, ["grp", "cell"], "left").select(*rows.columns, block.alias("block"))
+
+
 def links(nodes: DataFrame, max_bits: int = 3, cell_rows: int = 4096) -> DataFrame:
     """(a, b): links between different fingerprints ``nodes`` (fp) that connect all that lie within ``max_bits``."""
     groups = max(1, (max_bits + 2) // 2)
     cells = nodes.select("fp").mapInArrow(partial(_cells, groups=groups), "grp int, cell long, fp long, visits boolean")
-    home = nodes.select("fp").mapInArrow(partial(_homes, groups=groups), "grp int, cell long")
-    full = home.groupBy("grp", "cell").count().where(F.col("count") > cell_rows).select("grp", "cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    dealt = cells.join(full, ["grp", "cell"], "left").withColumn("own", F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(own))
-    # A resident lives in its own block and visits the later ones; a visitor visits all.
-    to = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.when(F.col("visits"), F.lit(0)).otherwise(F.col("own")), F.col("blocks") - 1))
-    dealt = dealt.select("grp", "cell", F.explode(to).alias("block"), "fp", "own", "visits")
-    dealt = dealt.select("grp", "cell", "block", "fp", (F.col("visits") | (F.col("block") != F.col("own"))).alias("visits"))
-    ready = dealt.repartition("grp", "cell", "block").sortWithinPartitions("grp", "cell", "block", "visits")
-    return ready.mapInArrow(partial(_verified, max_bits=max_bits), "a long, b long")
+    homes = nodes.select("fp").mapInArrow(partial(_homes, groups=groups), "grp int, cell long").groupBy("grp", "cell").count()
+    # A cell has visitors from up to ``steps`` cells below it; those of cells too small to matter are not counted.
+    steps = -(-32 // groups)
+    reached = homes.where(F.col("count") > cell_rows // (steps + 1)).mapInArrow(partial(_reached, groups=groups), "grp int, cell long, n long")
+    full = reached.groupBy("grp", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > cell_rows)
+    full = written(full.select("grp", "cell", (F.ceil(F.col("n") / cell_rows) + 1).cast("int").alias("blocks")), "full")
+    ready = dealt(cells, full, "fp").repartition("grp", "cell", "block").sortWithinPartitions("grp", "cell", "block", "visits")
+    return ready.select("grp", "cell", "block", "fp", "visits").mapInArrow(partial(_verified, max_bits=max_bits), "a long, b long")
 
 
 def _homes(batches, groups: int):
@@ -179,6 +186,20 @@ def _homes(batches, groups: int):
         yield batch.filter(pc.invert(batch.column(3))).select(["grp", "cell"])
 
 
+def _reached(batches, groups: int):
+    """The cells that the residents of cells (grp, cell, count) stand in or visit, with their number."""
+    import pyarrow as pa
+
+    edges = np.linspace(0, 32, groups + 1).astype(int)
+    for batch in batches:
+        grp, cell, n = (batch.column(i).to_numpy() for i in range(3))
+        parts = [(grp, cell, n)]
+        for s in range(int(np.diff(edges).max())):
+            can = (s < np.diff(edges)[grp]) & (cell.view(np.uint64) >> np.uint64(2 * s) & np.uint64(3) < 2)
+            parts.append((grp[can], (cell.view(np.uint64)[can] + np.uint64(1 << 2 * s)).view(np.int64), n[can]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["grp", "cell", "n"])
+
+
 def near_duplicates(docs: DataFrame, *, words: int = 3, max_bits: int = 3, cell_rows: int = 4096) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable over links of up to ``max_bits``) of every row."""
     marked = written(fingerprints(docs, words), "fingerprints")
