@@ -7,7 +7,7 @@ works by row, whatever its doc_id: of each class one row stays, rows with null d
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionforge.llm import near_copies, packing, secret_scan, toxicity
@@ -41,9 +41,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     twice = keys.where("stays and count > 1").select(*key)
     if twice.isEmpty():
         return left.select(*COLUMNS)
-    number = F.row_number().over(Window.partitionBy(*key).orderBy(*COLUMNS))
-    again = rows_of(left, twice, "left_semi").withColumn("_n", number).where("_n = 1").drop("_n")
-    return rows_of(left, twice, "left_anti").unionByName(again).select(*COLUMNS)
+    again = rows_of(left, twice, "left_semi").groupBy(*key).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return rows_of(left, twice, "left_anti").select(*COLUMNS).unionByName(again)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
