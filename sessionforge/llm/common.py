@@ -10,14 +10,17 @@ from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOT = Path(__file__).resolve().parents[2]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset (local runs, tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset on a local master (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file:///tmp/checkpoints/sessionforge"
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
@@ -26,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends here, so a lost executor costs one stage and not the job.
 
-    The table goes when the application ends.
+    The table goes when the application ends, or with ``forget``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sessionforge-{uuid.uuid4().hex}/{name}"
@@ -34,7 +37,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = hadoop
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` from which nothing will be read again."""
+    for t in tables:
+        t.written_to.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(t.written_to, True)
+
+
+def split_by(rows: DataFrame, key: list[str], keys: DataFrame, words: int = 1 << 19) -> tuple[DataFrame, DataFrame]:
+    """(rows that may have a key of ``keys``, rows that surely have none); both have the columns ``key``.
+
+    A bitmap of the keys' hashes, ``words`` times 64 bits at most, is broadcast, so that the rows' other columns need no shuffle
+    where few have such a key. With very many keys more rows may have one.
+    """
+    h = F.xxhash64(*key)
+    word, bit = F.pmod(h, F.lit(words)), F.shiftright(h, 40).bitwiseAND(F.lit(63)).cast("int")
+    at = lambda t: t.select("*", word.alias("_word"), bit.alias("_bit"))
+    bits = at(keys.select(*key)).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    both = at(rows).join(F.broadcast(bits), "_word", "left").withColumn("_maybe", F.expr("coalesce(shiftright(_bits, _bit) & 1L, 0L) = 1L"))
+    return both.where("_maybe").select(*rows.columns), both.where("not _maybe").select(*rows.columns)
 
 
 def ensure_importable(spark: SparkSession) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not seen.n:
             break
-        now = written(_small_star(_large_star(now)), "edges")
+        before, now = now, written(_small_star(_large_star(now)), "edges")
+        forget(before)
         last, seen = seen, mark(now)
         if last == seen:
             break

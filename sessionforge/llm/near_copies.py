@@ -34,12 +34,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ensure_importable, slices, written
+from .common import ensure_importable, forget, slices, split_by, written
 from .components import components
 from .simhash import SEED, links
 
-#: Documents in which frequent shingles are counted, and how many of these are known to all workers. They only set the order of shingles.
-SAMPLE, FREQUENT = 1 << 13, 1 << 16
+#: Frequent shingles are counted in one text of so many, and so many of them are known to all workers. They only set the order of shingles.
+SAMPLE, FREQUENT = 16, 1 << 18
 KEY = ("doc_id", "text_key")
 #: The sketch of a set: 512 bits in eight numbers.
 SKETCH = tuple(f"s{i}" for i in range(8))
@@ -137,14 +137,12 @@ def _sampled(batches, words: int):
 
 
 def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, ranks): those in more than two of about ``SAMPLE`` different texts, sorted, the most frequent with the highest rank."""
-    step = max(1, docs.count() // SAMPLE)
-    some = docs.where(F.pmod(F.col("text_key"), F.lit(step)) == 0).groupBy("text_key").agg(F.first("text").alias("text"))
+    """(shingles, ranks): those in more than two of the sampled different texts, sorted, the most frequent with the highest rank."""
+    some = docs.where(F.pmod(F.col("text_key"), F.lit(SAMPLE)) == 0).groupBy("text_key").agg(F.first("text").alias("text"))
     counts = some.select("text").mapInArrow(partial(_sampled, words=words), "shingle long").groupBy("shingle").count()
-    top = counts.where("count > 2").orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
-    shingles = np.array([x.shingle for x in top], np.int64)
+    shingles = counts.where("count > 2").orderBy(F.desc("count"), "shingle").limit(FREQUENT).toArrow()["shingle"].to_numpy()
     order = np.argsort(shingles)
-    return shingles[order], np.arange(len(top), 0, -1)[order]
+    return shingles[order], np.arange(len(shingles), 0, -1)[order]
 
 
 def _verified(batches, words: int, share: Fraction):
@@ -181,10 +179,13 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, sha
     salt = F.pmod(F.xxhash64(side("node", False)), F.ceil(side("n", True) / F.lit(hub_rows))).cast("int")
     row = lambda kind, is_hub: both.select(side("node", True).alias("hub"), salt.alias("salt"), F.lit(kind).alias("kind"), side("node", is_hub).alias("node"), *[side(c, is_hub).alias(f"_{c}") for c in KEY])
     wanted = written(row(0, True).distinct().union(row(1, False)), "wanted")
-    same = docs["doc_id"].eqNullSafe(wanted["_doc_id"]) & (docs["text_key"] == wanted["_text_key"])
-    sent = docs.join(wanted, same).select("hub", "salt", "kind", "node", "text").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "kind")
+    some, _ = split_by(docs, list(KEY), wanted.select(F.col("_doc_id").alias("doc_id"), F.col("_text_key").alias("text_key")))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
+    sent = some.join(wanted, same).select("hub", "salt", "kind", "node", "text").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "kind")
     found = sent.select("hub", "kind", "node", "text").mapInArrow(partial(_verified, words=words, share=share), "a long, b long")
-    return written(found.distinct(), "similar")
+    found = written(found.distinct(), "similar")
+    forget(pairs, ends, wanted)
+    return found
 
 
 def shared_shingles(marked: DataFrame) -> DataFrame:
@@ -202,7 +203,7 @@ def shared_shingles(marked: DataFrame) -> DataFrame:
 def first_partners(shared: DataFrame, share: Fraction) -> DataFrame:
     """(a, b): each node with the hub it meets most often, if that is a quarter of what a similar one needs or more."""
     central = shared.groupBy("node", "size").agg((F.count(F.lit(1)) / F.col("size")).alias("central")).select("node", "central")
-    placed = written(shared.join(central, "node"), "placed")
+    placed = shared.join(central, "node")
     best = placed.groupBy("shingle").agg(F.max(F.struct("central", "node", "size")).alias("hub")).select("shingle", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
     met = placed.join(best, "shingle").where("node != hub").groupBy("node", "hub", "size", "hub_size").agg(F.count(F.lit(1)).alias("met"))
     most = met.groupBy("node").agg(F.max("met").alias("met"), *[F.max_by(c, "met").alias(c) for c in ("hub", "size", "hub_size")])
@@ -222,9 +223,9 @@ def could_be(met: Column, left: Column, right: Column, share: Fraction) -> Colum
 
 def meeting(shared: DataFrame, nodes: DataFrame, roots: DataFrame, share: Fraction) -> DataFrame:
     """The pairs (a, b) of nodes that hang on different roots and could be similar; no similar pair is missing."""
-    hung = written(shared.join(roots, "node", "left").select("shingle", "node", "size", F.coalesce("root", "node").alias("root")), "hung")
+    hung = shared.join(roots, "node", "left").select("shingle", "node", "size", F.coalesce("root", "node").alias("root"))
     mixed = hung.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("shingle")
-    x = written(hung.join(mixed, "shingle").join(nodes.select("node", *SKETCH), "node"), "cells")
+    x = hung.join(mixed, "shingle").join(nodes.select("node", *SKETCH), "node")
     y = x.select([F.col(c).alias(c if c == "shingle" else f"{c}_2") for c in x.columns])
     p, q = share.numerator, share.denominator
     differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in SKETCH), F.lit(0))
@@ -243,17 +244,20 @@ def marked_rows(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     marked = written(docs.mapInArrow(partial(_marks, words=words, frequent=frequent, rank=rank, share=share), MARKS), "marked")
     nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.min_by("doc_id", "text_key").alias("doc_id"), F.min("fp").alias("fp"), *[F.min(c).alias(c) for c in SKETCH], F.count(F.lit(1)).alias("n")), "nodes")
     shared = written(shared_shingles(marked), "shared")
+    rows = written(marked.select(*KEY, "node"), "rows")
     prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+    forget(marked)
     alike = nodes.join(prints, "fp").select("node", "first")
     close = links(prints, max_bits, cell_rows).join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b").select("x", "y")
     near = similar(close.union(alike).union(first_partners(shared, share)).toDF("a", "b"), nodes, docs, words, share, hub_rows)
-    roots = components(near)
-    rest = similar(meeting(shared, nodes, roots, share), nodes, docs, words, share, hub_rows)
-    roots = components(roots.toDF("a", "b").union(rest))
+    first = components(near)
+    rest = similar(meeting(shared, nodes, first, share), nodes, docs, words, share, hub_rows)
+    roots = components(first.toDF("a", "b").union(rest))
     hung = nodes.join(roots, "node", "left").select("node", "least_id", "n", F.coalesce("root", "node").alias("root"))
     class_of = hung.groupBy("root").agg(F.min("least_id").alias("component_id"), F.sum("n").alias("rows"))
     named = written(hung.join(class_of.where("rows > 1"), "root").select("node", "root", "component_id"), "classes")
-    return marked.join(named, "node", "left").select("doc_id", "text_key", "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    forget(nodes, shared, prints, near, rest)
+    return rows.join(named, "node", "left").select(*KEY, "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def near_copies(docs: DataFrame, **how) -> DataFrame:

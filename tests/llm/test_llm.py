@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sessionforge.llm import ann, bpe, near_copies, packing, pii, queries, secret_scan, simhash, topk, toxicity, urls, wordpiece
+from sessionforge.llm import ann, bpe, common, near_copies, packing, pii, queries, secret_scan, simhash, topk, toxicity, urls, wordpiece
 from sessionforge.llm.components import components
 
 ODD = ["", " ", "a  b", "\n\n x", "Don't STOP \t it's 3 4\xa0x y é É İstanbul ΣΑΣ \x1c z", "<|endoftext|> hi", "日本語 テキスト", "é á", "trail  ", "ẞ ǅ ½ x²", "a\x00b  c", "x\n \ny", "a" * 3000, "word " * 4000, "x., 5. a.b"]
@@ -323,6 +323,15 @@ def test_simhash_counts_visitors_when_it_cuts_a_cell(spark):
     assert got.groupby(["grp", "cell"]).n.sum().to_dict() == cells.groupby(["grp", "cell"]).size().to_dict()
 
 
+def test_split_by_loses_no_row_with_a_key(spark):
+    rows = spark.range(3000).selectExpr("if(id % 7 = 0, null, id) as a", "id % 5 as b", "id as c")
+    keys = rows.where("c % 11 = 0").select("a", "b")
+    for words in (1, 1 << 10):
+        maybe, never = common.split_by(rows, ["a", "b"], keys, words)
+        assert maybe.columns == never.columns == rows.columns and maybe.union(never).exceptAll(rows).count() == 0 and maybe.count() + never.count() == 3000
+        assert never.where("c % 11 = 0").count() == 0 and (words == 1 or maybe.count() < 400)
+
+
 def test_near_copies_bounds_rule_out_no_similar_pair(spark):
     rng, share = np.random.default_rng(4), Fraction("0.8")
     sets = []
@@ -383,7 +392,7 @@ def jaccard_classes(sets):
     return {i: root(i) for i in range(len(sets))}
 
 
-@pytest.mark.parametrize("seed, hub_rows, sample", [(5, 1024, 1 << 13), (6, 2, 1 << 13), (7, 3, 8)])
+@pytest.mark.parametrize("seed, hub_rows, sample", [(5, 1024, 16), (6, 2, 1), (7, 3, 1 << 20)])
 def test_near_copies_are_the_pairs_of_brute_force(spark, monkeypatch, seed, hub_rows, sample):
     monkeypatch.setattr(near_copies, "SAMPLE", sample)
     rng = np.random.default_rng(seed)
