@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionforge.llm import near_copies, packing, secret_scan, toxicity
-from sessionforge.llm.common import written
+from sessionforge.llm.common import forget, split_by, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,19 +30,15 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), *key)).alias("first")
     first = near.groupBy("root").agg(least, F.count(F.lit(1)).alias("rows")).where("rows > 1").select("root", "first")
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    keys = written(near.join(first, "root").groupBy(*key, stays.alias("stays")).count(), "keys")
-
-    def rows_of(docs, keys, how):
-        other = keys.toDF("other_id", "other_text")
-        return docs.join(other, F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("text_key") == F.col("other_text")), how)
-
-    left = rows_of(docs, keys.where("not stays").select(*key), "left_anti")
+    keys = written(near.join(first, "root").groupBy(*key, stays.alias("stays")).count().where("not stays or count > 1"), "keys")
+    forget(near)
+    # Most rows are alone in their class: they pass without a shuffle.
+    some, alone = split_by(docs, list(key), keys)
+    other = keys.toDF("other_id", "other_text", "stays", "count")
+    marked = some.join(other, F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("text_key") == F.col("other_text")), "left").where("stays is null or stays")
     # Of rows that share doc_id and text one stays.
-    twice = keys.where("stays and count > 1").select(*key)
-    if twice.isEmpty():
-        return left.select(*COLUMNS)
-    again = rows_of(left, twice, "left_semi").groupBy(*key).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
-    return rows_of(left, twice, "left_anti").select(*COLUMNS).unionByName(again)
+    once = marked.where("stays").groupBy(*key).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return alone.select(*COLUMNS).unionByName(marked.where("stays is null").select(*COLUMNS)).unionByName(once)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
