@@ -78,7 +78,7 @@ def ensure_importable(spark: SparkSession) -> None:
 
 
 #: Bytes of text that a worker encodes at once.
-SLICE = 12_000_000
+SLICE = 4_000_000
 
 
 def slices(column, limit: int = SLICE):
