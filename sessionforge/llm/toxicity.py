@@ -1,13 +1,14 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols (insult, threat, target, negation, reporting verb, quotation mark, clause end, other). Small transducers
-for negation, reported speech and targets are composed into one; it reads each clause with an insult or threat and
-weighs the match: directed at someone most, negated or reported least. A document's score is the logistic of its
-heaviest clause and of the sum over its clauses, so no word counts by itself.
+Words become symbols (insult, threat, target, negation, reporting verb, quotation mark, colon, clause end, paragraph end, other). One
+transducer reads from the end and marks quotations that a reporting verb follows; then transducers for negation, reported speech and
+targets, composed into one, read from the start and weigh each match: directed at someone most, negated or reported least. Reported
+speech goes on after a colon and over the clauses of a quotation until it closes or the paragraph ends; negation and target end with their clause. A
+document's score is the logistic of its heaviest clause and of the sum over its clauses, so no word counts by itself.
 
 Learned from labelled rows: which words and word stems are insults (a significance test over a sample without near copies)
-and the three numbers of the logistic. ``max_labels`` bounds the labelled rows that are read (the first in the order of a hash of doc_id); all documents are
-scored alike.
+and the three numbers of the logistic. ``max_labels`` bounds the labelled doc_ids that are read (the first in the order of a hash; of several texts
+under one doc_id the least); all documents are scored alike.
 
 Defined cases: a null text counts as empty and scores like any text without a match; null or conflicting labels: null ones are ignored, of several
 the largest counts; without labels of both kinds the fixed word lists and fixed logistic numbers are used; repeated rows
@@ -35,11 +36,13 @@ TARGETS = "you your yours u ur he she him her they them their du dich dir dein d
 NEGATIONS = "not no never neither nor isn't aren't wasn't don't doesn't nicht kein keine keinen nie niemals ne pas jamais aucun nunca jamás ningún tampoco".split()
 REPORTS = "said says say wrote writes called calls claims claimed reported reports quoted quotes alleged sagte sagt schrieb nannte behauptet dit écrit appelle affirme dijo dice escribió llamó afirma".split()
 
-OTHER, STOP, QUOTE, TARGET, NEGATION, REPORT = range(6)
+OTHER, STOP, QUOTE, TARGET, NEGATION, REPORT, COLON, BREAK = range(8)
 #: From here on: insult or threat number n as FIRST + n.
 FIRST = 16
 _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n\"“”«»]")
-_MARKS = {**dict.fromkeys(".!?;:\n", STOP), **dict.fromkeys('"“”«»', QUOTE)}
+_MARKS = {**dict.fromkeys(".!?;", STOP), ":": COLON, "\n": BREAK, **dict.fromkeys('"“”«»', QUOTE)}
+#: Distances beyond so many words are all alike to the grammar.
+REACH = 5
 
 
 class Transducer:
@@ -57,20 +60,35 @@ class Transducer:
         return Transducer((self.start, other.start), both)
 
 
+def _reported_after(state, symbol: str):
+    """From the end: a quotation with a reporting verb up to four words after it is someone else's."""
+    if state == "inside":
+        return (0 if symbol in "QB" else state), symbol.lower() if symbol in "IK" else symbol, 1.0
+    if symbol == "R":
+        return 4, symbol, 1.0
+    if symbol == "Q" and state:
+        return "inside", symbol, 1.0
+    return 0 if symbol in "SCB" else max(state - 1, 0), symbol, 1.0
+
+
 def _negation(state: int, symbol: str):
-    """A negation holds for the next three words."""
+    """A negation holds for the next three words of its clause."""
     if symbol == "N":
         return 3, "o", 1.0
-    return max(state - 1, 0), symbol, 0.1 if state and symbol in "IK" else 1.0
+    if symbol in "SCB":
+        return 0, symbol, 1.0
+    return max(state - 1, 0), symbol, 0.1 if state and symbol in "IKik" else 1.0
 
 
 def _reported(state: int, symbol: str):
-    """After a reporting verb, and between quotation marks that follow one, what is said is someone else's."""
+    """After a reporting verb up to the clause's end, after its colon, and in a quotation that follows one, what is said is someone else's."""
     if symbol == "R":
-        return 2, "o", 1.0
+        return max(state, 2), "o", 1.0
     if symbol == "Q":
         return {2: 3, 3: 0}.get(state, state), "o", 1.0
-    return state, symbol, 0.2 if state and symbol in "IK" else 1.0
+    if symbol in "SB":
+        return (state if state == 3 and symbol == "S" else 0), symbol, 1.0
+    return state, symbol.upper() if symbol in "ik" else symbol, 0.2 if symbol in "ik" or state and symbol in "IK" else 1.0
 
 
 def _directed(state: int, symbol: str):
@@ -81,25 +99,39 @@ def _directed(state: int, symbol: str):
         return state, "hit", 1.5 if state else 1.0
     if symbol == "K":
         return state, "hit", 2.0 if state else 0.3
+    if symbol in "SCB":
+        return 0, "end", 1.0
     return max(state - 1, 0), "o", 1.0
 
 
+BACKWARD = Transducer(0, _reported_after)
 GRAMMAR = Transducer(0, _negation).then(Transducer(0, _reported)).then(Transducer(0, _directed))
-_KINDS = {OTHER: "o", QUOTE: "Q", TARGET: "Y", NEGATION: "N", REPORT: "R"}
-
-
-def clause_weight(symbols: list[int], weights: list[tuple[str, float]], memo: dict) -> float:
-    """The weight of a clause: each match's grammar weight times its word's own, summed."""
-    state, total = GRAMMAR.start, 0.0
-    for s in symbols:
-        kind, own = weights[s - FIRST] if s >= FIRST else (_KINDS[s], 0.0)
-        key = state, kind
-        if key not in memo:
-            memo[key] = GRAMMAR.step(*key)
-        state, out, w = memo[key]
+_KINDS = {OTHER: "o", STOP: "S", QUOTE: "Q", TARGET: "Y", NEGATION: "N", REPORT: "R", COLON: "C", BREAK: "B"}
+
+
+def _run(machine: Transducer, kinds: list[str], memo: dict):
+    state, out = machine.start, []
+    for kind in kinds:
+        key = id(machine), state, kind
+        got = memo.get(key)
+        if got is None:
+            got = memo[key] = machine.step(state, kind)
+        state = got[0]
+        out.append(got[1:])
+    return out
+
+
+def clause_weights(symbols: list[int], weights: list[tuple[str, float]], memo: dict) -> list[float]:
+    """The weight of each clause: each match's grammar weight times its word's own, summed."""
+    kinds = [weights[s - FIRST][0] if s >= FIRST else _KINDS[s] for s in symbols]
+    marked = [out for out, _ in _run(BACKWARD, kinds[::-1], memo)][::-1]
+    clauses = [0.0]
+    for s, (out, w) in zip(symbols, _run(GRAMMAR, marked, memo), strict=True):
         if out == "hit":
-            total += w * own
-    return total
+            clauses[-1] += w * weights[s - FIRST][1]
+        elif out == "end":
+            clauses.append(0.0)
+    return clauses
 
 
 class Lexicon:
@@ -149,16 +181,12 @@ def features(texts: list[str], lexicon: Lexicon, memo: dict) -> np.ndarray:
     flat, ends = spread(codes, list(map(lexicon.chunk, chunks)), "<u2")
     cuts = np.concatenate(([0], ends))[bounds]
     out = np.zeros((len(texts), 2))
-    stops = np.flatnonzero(flat == STOP)
-    hits = np.flatnonzero(flat >= FIRST)
-    doc = np.searchsorted(cuts, hits, "right") - 1
-    begin = np.concatenate(([0], stops + 1))[np.searchsorted(stops, hits)]
-    end = np.concatenate((stops, [len(flat)]))[np.searchsorted(stops, hits)]
-    clauses = np.unique(np.stack([doc, np.maximum(begin, cuts[doc]), np.minimum(end, cuts[doc + 1])], axis=1), axis=0)
-    for d, a, b in clauses.tolist():
-        w = clause_weight(flat[a:b].tolist(), lexicon.weights, memo)
-        out[d, 0] = max(out[d, 0], w)
-        out[d, 1] += w
+    at = np.arange(len(flat))
+    near = at - np.maximum.accumulate(np.where(flat != OTHER, at, -1)) <= REACH if len(flat) else at
+    for d in np.unique(np.searchsorted(cuts, np.flatnonzero(flat >= FIRST), "right") - 1).tolist():
+        own = flat[cuts[d] : cuts[d + 1]][near[cuts[d] : cuts[d + 1]]]
+        clauses = clause_weights(own.tolist(), lexicon.weights, memo)
+        out[d] = max(clauses), sum(clauses)
     out[:, 1] = np.log1p(out[:, 1])
     return out
 
@@ -272,8 +300,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_labels: int = 20_000) -> tuple
     usable = labels.select(key.alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 5 != 0")
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
     text = docs.select(key.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = written(text.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "labelled")
-    kinds = {x.doc_id: (x.toxic, x.bands) for x in sample.select("doc_id", "text").mapInArrow(_signatures, "doc_id long, bands array<long>").join(F.broadcast(sample.select("doc_id", "toxic").distinct()), "doc_id").collect()}
+    sample = written(text.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "labelled")
+    kinds = {x.doc_id: (x.toxic, x.bands) for x in sample.select("doc_id", "text").mapInArrow(_signatures, "doc_id long, bands array<long>").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id").collect()}
     seen: set[int] = set()
     keep: dict[int, set[int]] = {0: set(), 1: set()}
     for i in sorted(kinds):
