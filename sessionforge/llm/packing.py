@@ -136,6 +136,21 @@ def placed(rounds: Rounds, q, first, n, window: int):
     return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 4
 
 
+def stream_position(rounds: Rounds, token, q, r, cells: int = 1 << 20):
+    """Where token[i] of queue q[i], which leaves in round r[i], stands in the stream; by tables of rounds and queues with ``cells`` entries at most."""
+    each, at = np.unique(r, return_inverse=True)
+    rows = max(1, cells // len(rounds.totals))
+    order = np.argsort(at, kind="stable")
+    ends = np.searchsorted(at[order], np.arange(0, len(each) + rows, rows))
+    out = np.zeros(len(r), np.int64)
+    for some, k in zip(np.split(order, ends[1:-1]), range(0, len(each), rows), strict=False):
+        sent = rounds.all_sent(each[k : k + rows])
+        take = rounds.all_sent(each[k : k + rows] + 1) - sent
+        row, own = at[some] - k, q[some]
+        out[some] = sent.sum(axis=1)[row] + (np.cumsum(take, axis=1) - take)[row, own] + token[some] - sent[row, own]
+    return out
+
+
 def cut(position, length, total: int, window: int):
     """(index, shift, length, sequence, offset): stretches of the stream cut where windows end."""
     full = total // window * window
@@ -180,10 +195,7 @@ def _pieces(batches, rounds: Rounds, number: dict[str, int], window: int, size:
             row, begin, first, n = _segments(q, col["first"].to_numpy(), col["n"].to_numpy(), col["bursts"])
             q = q[row]
             doc, r, lo, hi = placed(rounds, q, first, n, window)
-            some_rounds, at = np.unique(r, return_inverse=True)
-            sent = rounds.all_sent(some_rounds)
-            take = rounds.all_sent(some_rounds + 1) - sent
-            position = sent.sum(axis=1)[at] + (np.cumsum(take, axis=1) - take)[at, q[doc]] + lo - sent[at, q[doc]]
+            position = stream_position(rounds, lo, q[doc], r)
             k, shift, length, sequence, offset = cut(position, hi - lo, total, window)
             doc, start = row[doc[k]], (lo - first[doc] + begin[doc])[k] + shift
             data = [memoryview(np.frombuffer(x.as_py(), f"<u{size}").astype("<u4").tobytes()) for x in col["ids"]]

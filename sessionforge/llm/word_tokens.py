@@ -2,7 +2,7 @@
 
 White space never lies inside a token of such a vocabulary, so a text's ids are the ids of its chunks between
 spaces, one after the other. Chunks of plain Latin letters, digits and ASCII signs take a short path through the
-file's own BPE model; all others go through the whole tokenizer.
+file's own BPE model; all others, and those that hold the name of a special token, go through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self._special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         if hasattr(self.model, "_resize_cache"):  # its own cache only costs time beside ours
             self.model._resize_cache(0)
@@ -45,6 +45,14 @@ class WordTokens:
         self._letters = byte_letters()
         self._limit, self._known = limit, {"": b""}
 
+    def _names_special(self, text: str) -> bool:
+        return any(name in text for name in self._special)
+
+    def _lowered(self, text: str) -> str:
+        """In lower case where that changes no ids: names of special tokens count only as they are written."""
+        low = text.lower()
+        return text if self._names_special(low) else low
+
     def _word(self, word: str) -> bytes:
         if not word.isascii():
             word = "".join(map(self._letters.__getitem__, word.encode()))
@@ -57,6 +65,8 @@ class WordTokens:
 
     def _chunk(self, chunk: str) -> bytes:
         known = self._known
+        if self._names_special(chunk):
+            return self._keep(chunk, np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes())
         head = chunk.rstrip(_SIGNS)  # signs after a word are a token run of their own
         if head.isalpha() and self._plain(head) and head == head.lower():
             tail = chunk[len(head) :]
@@ -72,7 +82,7 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        ready = [(t.lower() if t.isascii() or self._plain(t) else t).replace("\n", " ") for t in texts]
+        ready = [(self._lowered(t) if t.isascii() or self._plain(t) else t).replace("\n", " ") for t in texts]
         codes, bounds, words = coded(ready, " ")
         known, chunk = self._known, self._chunk
         ids = [chunk(w) if x is None else x for w, x in zip(words, map(known.get, words), strict=True)]
