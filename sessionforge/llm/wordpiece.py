@@ -4,8 +4,8 @@ A trie of the vocabulary gets, for every node, a failure link and the number of
 (popped). A word's length in pieces is then the sum of popped counts along its walk: each step reads a letter or
 follows a link, at most twice the letters of the word, and no piece is ever built.
 
-Words are cut as the vocabulary's own tokenizer cuts them (lower case; runs of letters, single digits, runs of
-signs). A word that greedy matching cannot finish is one unknown piece.
+Words are cut as the vocabulary's own tokenizer cuts them (composed letters, lower case letter by letter; runs of letters, single
+digits, runs of signs), but for its special tokens, whose names are cut like any text. A word that greedy matching cannot finish is one unknown piece.
 
 Defined cases: a null text counts as empty and has no words; repeated and null doc_ids are kept; an empty table
 gives no rows; other columns are ignored.
@@ -14,6 +14,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections import deque
 from functools import partial
 
@@ -93,6 +94,15 @@ class Automaton:
         return n if node == 0 else 0
 
 
+def plain(text: str) -> str:
+    """Composed, lower case (a sigma that ends a word is one like any other), with spaces between lines."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)
+        if "Σ" in text:
+            text = text.replace("Σ", "σ")
+    return text.lower().replace("\n", " ")
+
+
 class Counter:
     def __init__(self, path: str, limit: int = 250_000):
         import regex
@@ -110,7 +120,7 @@ class Counter:
 
     def count(self, texts: list[str]) -> np.ndarray:
         """Words, pieces and unknown words of each text."""
-        codes, bounds, chunks = coded([t.lower().replace("\n", " ") for t in texts], " ")
+        codes, bounds, chunks = coded(list(map(plain, texts)), " ")
         got = np.array([self._chunk(c) if x is None else x for c, x in zip(chunks, map(self._known.get, chunks), strict=True)], np.int64).reshape(-1, 3)
         sums = np.concatenate((np.zeros((1, 3), np.int64), np.cumsum(got[codes], axis=0)))[bounds]
         return np.diff(sums, axis=0)
