@@ -17,7 +17,7 @@ import corpus_pipeline
 from sessionforge.llm import ann, bpe, common, near_copies, packing, pii, queries, secret_scan, simhash, topk, toxicity, urls, wordpiece
 from sessionforge.llm.components import components
 
-ODD = ["", " ", "a  b", "\n\n x", "Don't STOP \t it's 3 4\xa0x y é É İstanbul ΣΑΣ \x1c z", "<|endoftext|> hi", "日本語 テキスト", "é á", "trail  ", "ẞ ǅ ½ x²", "a\x00b  c", "x\n \ny", "a" * 3000, "word " * 4000, "x., 5. a.b"]
+ODD = ["", " ", "a  b", "\n\n x", "Don't STOP \t it's 3 4\xa0x y é É İstanbul ΣΑΣ \x1c z", "<|endoftext|> hi", "so<|endoftext|>So <|ENDOFTEXT|> <|startoftext|>, É<|endoftext|>", "日本語 テキスト", "é á", "trail  ", "ẞ ǅ ½ x²", "a\x00b  c", "x\n \ny", "a" * 3000, "word " * 4000, "x., 5. a.b"]
 CLASH = "doc_id long, text string, source string, lang string, n_chars long, score double, fp long, queue string, n int, ids string"
 
 
@@ -84,6 +84,18 @@ def test_grammar_weighs_clauses():
     assert toxicity.features(["kill time"], lexicon, memo)[0, 0] < f["plain"]
 
 
+def test_reported_speech_goes_over_clause_ends():
+    weigh = lambda t: round(toxicity.features([t], toxicity.Lexicon(), {})[0, 0], 9)
+    direct, reported = weigh("you are an idiot"), weigh("he said you are an idiot")
+    assert (direct, reported) == (1.5, 0.3)
+    for same in ('he said: "you are an idiot"', 'he said: you are an idiot', '"you are an idiot", he said', '"you are an idiot!" the tall man wrote', 'she wrote: "Good day. You are an idiot. So long."', '«you are an idiot», dit elle', '"Good day. You are an idiot", he said'):
+        assert weigh(same) == reported, same
+    for same in ('"you are an idiot"', 'he said hello. you are an idiot', '"you are an idiot". he left and said goodbye', 'he said "hello". you are an idiot', 'he said: "hello\nyou are an idiot', '"hello", he said. you are an idiot'):
+        assert weigh(same) == direct, same
+    assert weigh("not bad: you idiot") == direct  # a negation ends with its clause
+    assert weigh("you " + "so " * 50 + "idiot") == 1.0
+
+
 def test_toxicity_learns_stems_and_holds_out(spark):
     rng = np.random.default_rng(2)
     word = lambda: "".join(rng.choice(list("bcdfgaeiou"), 7))
@@ -179,8 +191,11 @@ def test_word_pieces(spark, odd):
             i, n = j, n + 1
         return n
 
-    cut = wordpiece.Counter(path).words
-    want = sorted((len(g), sum(max(x, 1) for x in g), g.count(0)) for g in ([greedy(w) for w in cut(t.lower())] for t in odd[1]))
+    library, back = Tokenizer.from_file(path), {c: b for b, c in enumerate(wordpiece.byte_letters())}
+    cut = lambda t: [bytes(back[c] for c in w).decode() for w, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(t))]
+    want = sorted((len(g), sum(max(x, 1) for x in g), g.count(0)) for g in ([greedy(w) for w in cut(t)] for t in odd[1]))
+    counter = wordpiece.Counter(path)
+    assert counter.count(["e\u0301te\u0301"]).tolist() == counter.count(["\xe9t\xe9"]).tolist() and counter.count(["\xe9t\xe9"])[0, 0] == 1
     assert sorted((r.n_words, r.n_pieces, r.n_unknown) for r in wordpiece.count(odd[0], path).collect()) == want
     small = wordpiece.Automaton([[97], [97, 98], [98, 99, wordpiece.END], [97, 98, 99, 100], [wordpiece.END]])
     assert [small.count(w) for w in (b"abc", b"ab", b"abcd", b"abce", b"a", b"")] == [0, 2, 2, 0, 2, 1]
@@ -189,8 +204,7 @@ def test_word_pieces(spark, odd):
 @pytest.mark.parametrize("targets, most", [(None, 1024), ({"s1": 0.7, "s2": 0.3}, 1024), (None, 1)])
 def test_packing(spark, odd, targets, most):
     path = public_tokenizers.path("word_bpe_49k.json")
-    library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
+    library = Tokenizer.from_file(path)  # as it is: a special token's name in a text is that token
     ids = [np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4") for t in odd[1]]
     by_id = {}
     for (i,), x in zip(odd[0].select("doc_id").collect(), ids, strict=True):
@@ -229,6 +243,40 @@ def test_packing_keeps_shares_of_many_small_sources(spark):
     assert max(r.sequence_id for r in targeted if sources[r.doc_id] == "tiny") <= 2 * total["tiny"] // 64 + 3
 
 
+def test_packing_fills_windows_to_targets(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    share = {"a": 0.6, "b": 0.3, "c": 0.1}
+    rows = [(i, "some words of a text " * (3 + i % 11), "abc"[i % 3]) for i in range(1200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    per = {}
+    for r in packing.pack(d, path, window=512, targets=share).collect():
+        of = per.setdefault(r.sequence_id, dict.fromkeys("abc", 0))
+        of["abc"[r.doc_id % 3]] += r.length
+    whole = [of for _, of in sorted(per.items()) if sum(of.values()) == 512]
+    first = whole[: next(i for i, of in enumerate(whole) if of["a"] < 0.5 * 512)]  # until the first source is empty
+    assert len(first) > 25 and all(abs(of[s] - share[s] * 512) <= packing.BURST for of in first for s in share)
+
+
+def test_packing_holds_no_table_of_all_rounds_and_queues():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    totals = rng.integers(500, 60_000, 1024)
+    rounds = packing.Rounds(totals, totals, 4096)
+    q = rng.integers(0, 1024, 300)
+    doc, r, lo, hi = packing.placed(rounds, q, np.zeros(300, np.int64), np.minimum(totals[q], 3000), 4096)
+    tracemalloc.start()
+    got = packing.stream_position(rounds, lo, q[doc], r)
+    assert tracemalloc.get_traced_memory()[1] < 120e6
+    tracemalloc.stop()
+    assert (got == packing.stream_position(rounds, lo, q[doc], r, cells=5000)).all() and len(np.unique(r)) > 2000
+    some = rng.integers(0, len(r), 200)
+    for i in some:  # in front of it: what all queues sent in earlier rounds, and the queues before its own in this one
+        now, then = rounds.all_sent(r[i : i + 1])[0], rounds.all_sent(r[i : i + 1] + 1)[0]
+        k = q[doc[i]]
+        assert got[i] == now.sum() + (then - now)[:k].sum() + lo[i] - now[k]
+
+
 def test_rounds_hold_targets():
     r = packing.Rounds([5000, 3000, 2000, 10], [5000, 3000, 2000, 10], 256)
     sent = r.all_sent(np.arange(r.end + 1))
