@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -26,14 +27,25 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Rows of whole texts that go to a Python worker at once. Spark's 10,000 would hold tens of megabytes for each task on both sides.
+TEXT_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, texts: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends here, so a lost executor costs one stage and not the job.
 
-    The table goes when the application ends, or with ``forget``.
+    The table goes when the application ends, or with ``forget``. ``texts`` says that whole texts pass through Python on the way.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sessionforge-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    usual = spark.conf.get(_BATCH)
+    if texts:
+        spark.conf.set(_BATCH, str(min(TEXT_ROWS, int(usual)) if int(usual) > 0 else TEXT_ROWS))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH, usual)
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
@@ -78,12 +90,11 @@ def ensure_importable(spark: SparkSession) -> None:
 
 
 #: Bytes of text that a worker encodes at once.
-SLICE = 4_000_000
+SLICE = 2_000_000
 
 
 def slices(column, limit: int = SLICE):
     """(a, b, texts): the rows of a text column a few megabytes at a time, so that a worker's memory follows neither rows nor batches."""
-    import pyarrow as pa
     import pyarrow.compute as pc
 
     ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
@@ -92,7 +103,17 @@ def slices(column, limit: int = SLICE):
         b = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, "right")), a + 1)
         yield a, b, column.slice(a, b - a).to_pylist()
         a = b
+        give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers are reused by later stages, and what one has freed should not add to what the next needs."""
+    import pyarrow as pa
+
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def coded(texts: list[str], mark: str):

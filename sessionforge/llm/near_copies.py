@@ -183,7 +183,7 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, sha
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_key") == F.col("_text_key"))
     sent = some.join(wanted, same).select("hub", "salt", "kind", "node", "text").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "kind")
     found = sent.select("hub", "kind", "node", "text").mapInArrow(partial(_verified, words=words, share=share), "a long, b long")
-    found = written(found.distinct(), "similar")
+    found = written(found.distinct(), "similar", texts=True)
     forget(pairs, ends, wanted)
     return found
 
@@ -241,7 +241,7 @@ def marked_rows(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     share = Fraction(str(similarity))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
     frequent, rank = frequent_shingles(docs, words)
-    marked = written(docs.mapInArrow(partial(_marks, words=words, frequent=frequent, rank=rank, share=share), MARKS), "marked")
+    marked = written(docs.mapInArrow(partial(_marks, words=words, frequent=frequent, rank=rank, share=share), MARKS), "marked", texts=True)
     nodes = written(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.min_by("doc_id", "text_key").alias("doc_id"), F.min("fp").alias("fp"), *[F.min(c).alias(c) for c in SKETCH], F.count(F.lit(1)).alias("n")), "nodes")
     shared = written(shared_shingles(marked), "shared")
     rows = written(marked.select(*KEY, "node"), "rows")

@@ -231,7 +231,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, end_id: in
     ensure_importable(docs.sparkSession)
     queue = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), queue.alias("queue"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    tokens = written(ready.mapInArrow(partial(_tokens, path=tokenizer_path, end_id=end_id), TOKENS), "tokens")
+    tokens = written(ready.mapInArrow(partial(_tokens, path=tokenizer_path, end_id=end_id), TOKENS), "tokens", texts=True)
     sums = written(tokens.groupBy("part", "queue").agg(F.sum("n").alias("n")), "sums")
     named = [f"={x}" for x in targets or {}]
     top = sums.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc(F.col("queue").isin(named)), F.desc("n"), "queue").limit(max(max_queues, len(named))).collect()

@@ -202,7 +202,7 @@ def _reached(batches, groups: int):
 
 def near_duplicates(docs: DataFrame, *, words: int = 3, max_bits: int = 3, cell_rows: int = 4096) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable over links of up to ``max_bits``) of every row."""
-    marked = written(fingerprints(docs, words), "fingerprints")
+    marked = written(fingerprints(docs, words), "fingerprints", texts=True)
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
     roots = components(links(nodes, max_bits, cell_rows))
     hung = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))

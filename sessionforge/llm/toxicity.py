@@ -170,7 +170,7 @@ class Lexicon:
         out = self.known.get(chunk)
         if out is None:
             out = np.array([self.symbol(t) for t in _TOKEN.findall(chunk)], "<u2").tobytes()
-            if len(self.known) < 150_000:
+            if len(self.known) < 80_000:
                 self.known[chunk] = out
         return out
 

@@ -30,7 +30,7 @@ _SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
 
 class WordTokens:
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 200_000):
         import regex
         from tokenizers import Tokenizer
 
