@@ -126,6 +126,26 @@ def test_url_rules_and_aliases(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_url_aliases_equal_sql(spark):
+    import duckdb
+
+    canonical = lambda u: f'<html><link href="{u}" rel="canonical"></html>'
+    rows = [
+        ("http://t.net/a?x=1&y=2", None), ("http://p1.com/", canonical("http://t.net/a?x=1&amp;y=2")), ("http://p2.com/d/e/f.html", canonical("../g")), ("http://p2.com/d/g", canonical("HTTP://T.NET/a?x=1&#38;y=2#frag")),
+        ("http://p3.com/d/e", "<link rel='alternate' href='http://t.net/z'><META content='5; URL=\"h?q\"' HTTP-EQUIV=Refresh>"), ("http://p3.com/d/h?q", "<link rel=canonical href=//t.net/b>"), ("http://t.net/b", ""),
+        ("http://p4.com", canonical("?a=1")), ("http://p4.com/?a=1", canonical("http://t.net/b") + canonical("mailto:x@t.net")), ("http://p5.com/x/../y/.", canonical("http://t.net/c")), ("http://p5.com/y/", None),
+        ("http://p6.com/", canonical("http://t.net/d") + "<link rel='nofollow canonical' href='http://s.example.net/en/1'>"), ("http://t.net/d", None), ("http://p7.com/", '<link rel="canonical" data-x="1" href="#top">'), ("http://p8.com/", "<link rel=canonicals href=http://t.net/b>"),
+        ("http://p9.com/1", canonical("2")), ("http://p9.com/2", canonical("3")), ("http://p9.com/3", canonical("/4")), ("http://p9.com/4", canonical("http://www.example.com/de/x")), (None, canonical("http://t.net/")), ("x", canonical("http://t.net/")), ("http://p10.com/", None),
+    ]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = sorted(tuple(r) for r in urls.judge(pages).select("page_id", "host", "path", F.coalesce("rule", F.lit("")), "verdict").collect())
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    assert got == sorted(con.execute(f"select page_id, host, path, coalesce(rule, ''), verdict from ({urls.SQL})").fetchall())
+    blocked = {i for i, *_, v in got if v == "block"}
+    assert blocked == {0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 15, 16, 17, 18}
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(1000, i) for i in range(1001, 1200)] + [(2000 + i, 2001 + i) for i in range(60)] + [(5, 5), (5, None)]
