@@ -18,6 +18,11 @@ def dedupe(events: DataFrame) -> DataFrame:
     return events.groupBy("event_id").agg(first).select("event_id", "first.*").select(*events.columns)
 
 
+def dedupe_by(events: DataFrame, *columns: str) -> DataFrame:
+    """The alternatives: by event_id alone (on a stream its state never ends), or by event_id and event_ts (a copy that was stamped anew stays)."""
+    return events.dropDuplicates(list(columns))
+
+
 def dedupe_streaming(events: DataFrame) -> DataFrame:
     """At most one row for each event_id within the watermark; only for streams."""
     if not events.isStreaming:
