@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +11,12 @@ from sessionforge.operators import generator, latency, partitions, scoring, upse
 from sessionforge.operators import sessions as S
 from sessionforge.plans import repro, sweeps
 from sessionforge.schema import parse, parse_failures, seconds_between
-from sessionforge.sources.files import to_json_lines, write_flush
+from sessionforge.sources.files import shared_folder, to_json_lines, write_flush
 from sessionforge.streaming import job, progress, recovery
 
 GAP, WIN = "6 hours", "purchase"
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A folder of this run in the place that all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints/sessionforge"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _built(spark, d, gap=GAP) -> DataFrame:
     return S.build_batch(clicks(spark, d), gap, WIN)
 
@@ -214,6 +206,14 @@ def _(spark, d):
     return sweeps.gap_sweep(clicks(spark, d), ("30 minutes", "2 hours", "1 day"), conversion=WIN)
 
 
+@_query("gap_sweep_resumed", " union all ".join(_sweep_sql(g, f) for g, f in (("30 minutes", 1920.0), ("1 day", 86520.0))))
+def _(spark, d):
+    """Stopped after the first gap and taken up again."""
+    c, results = clicks(spark, d), shared_folder(spark, "sweep")
+    sweeps.resumable_gap_sweep(c, ("30 minutes",), results, conversion=WIN)
+    return sweeps.resumable_gap_sweep(c, ("30 minutes", "1 day"), results, conversion=WIN)
+
+
 @_query("late_admission", f"""with {CLICKS_SQL}, r as (select event_id, epoch_us(event_ts) as e, epoch_us(ingest_ts) as i, max(epoch_us(event_ts)) over (order by epoch_us(ingest_ts), event_id, epoch_us(event_ts) rows between unbounded preceding and 1 preceding) as top from clicks)
 select event_id from r where e + 1000000 < top - 2000000""")
 def _(spark, d):
@@ -292,7 +292,7 @@ def _(spark, d):
 def _(spark, d):
     """Half the sessions, then all of them with the first half changed, into one table."""
     rows = _built(spark, d)
-    table = upsert.SessionTable(spark, _folder(spark, "upsert"), rows.schema)
+    table = upsert.SessionTable(spark, shared_folder(spark, "upsert"), rows.schema)
     table.apply(rows.where("crc32(user_id) % 2 = 0").withColumn("event_count", F.lit(0).cast("long")), "q", 0)
     table.apply(rows, "q", 1)
     return _out(table.read())
@@ -301,7 +301,7 @@ def _(spark, d):
 @_query("upsert_replay", f"{_W}{_sessions_sql(GAP)} select 0::bigint as inserted, count(*) as updated from s")
 def _(spark, d):
     rows = _built(spark, d)
-    table = upsert.SessionTable(spark, _folder(spark, "replay"), rows.schema)
+    table = upsert.SessionTable(spark, shared_folder(spark, "replay"), rows.schema)
     table.apply(rows, "q", 0)
     return upsert.accounting(table.read(), rows)
 
@@ -311,16 +311,19 @@ def _(spark, d):
     return upsert.duplicate_keys(_built(spark, d)).select("user_id", F.unix_micros("session_start").alias("session_start_us"), F.col("count").alias("n"))
 
 
-@_query("session_fingerprint", f"""{_W}{_sessions_sql(GAP)}, r as ({_SESSION_ROWS}) select count(*) as sessions, md5(string_agg(concat_ws('|', user_id, session_start_us, session_end_us, event_count, page_depth, duration_us, converted, bounce, window_span_us), chr(10) order by user_id, session_start_us)) as digest from r""")
+@_query("session_fingerprint", f"""{_W}{_sessions_sql(GAP)}, r as ({_SESSION_ROWS}), k as (select greatest(0, ceil(ln(count(*) / 1000.0) / ln(16)))::int as digits from r),
+l as (select user_id, session_start_us, substr(md5(concat_ws('|', user_id, session_start_us)), 1, digits) as bucket, concat_ws('|', user_id, session_start_us, session_end_us, event_count, page_depth, duration_us, converted, bounce, window_span_us) as line from r, k),
+b as (select bucket, count(*) as n, md5(string_agg(line, chr(10) order by user_id, session_start_us, line)) as d from l group by bucket)
+select sum(n)::bigint as rows, md5(string_agg(d, chr(10) order by bucket)) as digest from b""")
 def _(spark, d):
     rows = _out(_built(spark, d))
     line = F.concat_ws("|", *[F.col(c).cast("string") for c in rows.columns])
-    return rows.agg(F.count(F.lit(1)).alias("sessions"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("user_id", "session_start_us", line.alias("r")))), lambda x: x["r"]), "\n")).alias("digest"))
+    return upsert.digest(rows.select("user_id", "session_start_us", line.alias("line")), ("user_id", "session_start_us"), 1000)
 
 
 def _shards(spark, d) -> str:
     """The clicks as a folder of JSON lines with the flush row in a file that sorts last."""
-    folder = _folder(spark, "shards")
+    folder = shared_folder(spark, "shards")
     c = clicks(spark, d)
     to_json_lines(c).repartition(4, F.col("value")).write.text(folder)
     write_flush(spark, folder)
@@ -330,7 +333,7 @@ def _shards(spark, d) -> str:
 def _streamed(spark, d):
     from sessionforge.sources.files import read_file_stream
 
-    out, cp = _folder(spark, "sessions"), _folder(spark, "checkpoint")
+    out, cp = shared_folder(spark, "sessions"), shared_folder(spark, "checkpoint")
     stream = job.pipeline(read_file_stream(spark, _shards(spark, d)), GAP, "2 minutes", WIN)
     query = job.start(stream, cp, out=out)
     query.awaitTermination()
@@ -342,6 +345,15 @@ def _(spark, d):
     return _out(scoring.without_sentinel(_streamed(spark, d)[0]))
 
 
+@_query("watermark_sweep", " union all ".join(f"select * from (with {_CLICKS_MS}, {_sessions_sql(g)} select '{w}' as watermark, '{g}' as gap, count(*) as sessions, sum(event_count)::bigint as events, 0::bigint as dropped_by_window, 0::bigint as dropped_by_dedupe from s)" for w, g in (("2 minutes", "6 hours"), ("10 seconds", "1 day"))))
+def _(spark, d):
+    """All files come as one batch, so nothing is late."""
+    from sessionforge.sources.files import read_file_stream
+
+    shards = _shards(spark, d)
+    return sweeps.watermark_sweep(lambda: read_file_stream(spark, shards), (("2 minutes", "6 hours"), ("10 seconds", "1 day")), shared_folder(spark, "watermarks"), WIN)
+
+
 @_query("checkpoint_state")
 def _(spark, d):
     return recovery.checkpoint_state(spark, _streamed(spark, d)[1])
@@ -366,7 +378,12 @@ def _(spark, d):
 
 @_query("generated_events")
 def _(spark, d):
-    return generator.events(spark, visits=2000, users=300)
+    return generator.events(spark, rate=100, seconds=300, users=2000)
+
+
+@_query("generator_statistics")
+def _(spark, d):
+    return generator.statistics(generator.all_events(spark, rate=100, seconds=300, users=2000))
 
 
 @_query("reproduction_report", "select 2::bigint as reproduced, 1::bigint as differs, 1::bigint as moved")

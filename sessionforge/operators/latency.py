@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sessionforge.functions.durations import seconds
 from sessionforge.operators.scoring import attach
 from sessionforge.schema import micros
+from sessionforge.sources.files import staged
 
 QUANTILES = (0.5, 0.95, 0.99)
 #: Values are binned by 2**22 microseconds: a bin holds at most so many different values and a year has 7.5 million bins,
@@ -18,8 +19,11 @@ BIN_BITS = 22
 
 
 def histogram(rows: DataFrame, us: Column) -> DataFrame:
-    """v, c: how often each value occurs, null included; counted before the shuffle, so a frequent value moves as one row a task."""
-    return rows.groupBy(us.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    """v, c: how often each value occurs, null included; counted before the shuffle, so a frequent value moves as one row a task.
+
+    It is kept as a table, since what is read from it is read several times.
+    """
+    return staged(rows.groupBy(us.alias("v")).agg(F.count(F.lit(1)).alias("c")), "histogram")
 
 
 def quantiles_of(counts: DataFrame, qs=QUANTILES) -> DataFrame:

@@ -1,19 +1,22 @@
-"""Keyed upsert on Parquet: versioned snapshots and a pointer that is moved last.
+"""Keyed upsert on Parquet: rows in buckets by a hash of their key, versions of buckets, and numbered pointers of which the newest counts.
 
-A batch is merged by an anti-join of the old snapshot and a union; nothing passes through the driver. Rows with a known key
-are overwritten, others added. Each pointer names the query and batch that made it, so a checkpoint ahead of the table is
-noticed at start-up.
+A batch rewrites the buckets that it touches, by an anti-join and a union; no row passes through the driver. Rows with a known key
+are overwritten, others added. A pointer lists the version of every bucket and names the query and batch that made it, so a checkpoint
+ahead of the table, or one of another query, is noticed at start-up. A pointer is a new file each time, put in place by one rename
+after its data; what no pointer but the newest two names is removed after that. A crash between any two steps leaves the table as the last pointer has it.
 """
 
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from sessionforge.schema import SESSION_COLUMNS, SESSION_KEY
-from sessionforge.sources.files import Files
+from sessionforge.sources.files import Files, staged
 
 
 class DuplicateKeys(ValueError):
@@ -45,55 +48,90 @@ def accounting(target: DataFrame, batch: DataFrame, key=SESSION_KEY) -> DataFram
     return batch.select(*key).join(known, list(key), "left").agg(F.count_if(F.col("known").isNull()).alias("inserted"), F.count("known").alias("updated"))
 
 
-def fingerprint(rows: DataFrame, key=SESSION_KEY, buckets: int = 256) -> DataFrame:
-    """One row (fingerprint): count and MD5 over all columns but loaded_at, whatever the order of rows.
-
-    A digest for each key bucket, then the digest of these in order: no task holds more than a bucket.
-    """
+def fingerprint(rows: DataFrame, key=SESSION_KEY, bucket_rows: int = 10_000) -> DataFrame:
+    """One row (fingerprint): count and MD5 over all columns but loaded_at, whatever the order of rows."""
     columns = [c for c in rows.columns if c != "loaded_at"]
     exact = [F.round(F.col(c) * 1e6).cast("long") if t == "double" else F.unix_micros(c) if t == "timestamp" else F.col(c) for c, t in rows.select(*columns).dtypes]
     line = F.concat_ws("|", *[x.cast("string") for x in exact])
-    order = F.struct(*key, line.alias("line"))
-    each = rows.groupBy(F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["line"]), "\n")).alias("d"))
-    return each.agg(F.concat(F.coalesce(F.sum("n"), F.lit(0)).cast("string"), F.lit(":"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "d"))), lambda x: x["d"]), "\n"))).alias("fingerprint"))
+    return digest(rows.select(*key, line.alias("line")), key, bucket_rows).select(F.concat(F.col("rows").cast("string"), F.lit(":"), F.col("digest")).alias("fingerprint"))
+
+
+def digest(lines: DataFrame, key, bucket_rows: int = 10_000) -> DataFrame:
+    """rows and digest of (key, line): an MD5 for each bucket, then the MD5 of these in order.
+
+    Buckets follow the first hexadecimal digits of the key's MD5, as many digits as keep about ``bucket_rows`` rows in one, so
+    no task holds more than a bucket and the last one holds a line for each bucket.
+    """
+    digits = max(0, math.ceil(math.log(max(lines.count(), 1) / bucket_rows, 16)))
+    bucket = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key])), 1, digits)
+    in_order = lambda c, *by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*by, c))), lambda x: x[c]), "\n")
+    each = lines.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.md5(in_order("line", *key)).alias("d"))
+    return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.md5(in_order("d", "bucket")).alias("digest"))
 
 
 class SessionTable:
-    """Snapshots under ``<path>/snapshots/<n>`` and the pointer ``<path>/CURRENT``."""
+    """Data under ``<path>/data/<version>/bucket=<b>`` and pointers ``<path>/pointers/<version>``."""
 
-    def __init__(self, spark: SparkSession, path: str, schema, key=SESSION_KEY):
+    def __init__(self, spark: SparkSession, path: str, schema, key=SESSION_KEY, buckets: int = 16):
         self.spark, self.path, self.key, self.files = spark, path.rstrip("/"), key, Files(spark, path)
-        self.schema = schema.add("loaded_at", "timestamp") if "loaded_at" not in schema.names else schema
+        self.schema = schema if "loaded_at" in schema.names else StructType([*schema.fields, StructField("loaded_at", TimestampType())])
+        now = self.current()
+        self.buckets = now["of"] if now else buckets  # a table keeps the number it began with
 
     def current(self) -> dict | None:
-        return json.loads(self.files.read("CURRENT")) if self.files.exists("CURRENT") else None
+        known = sorted(int(n) for n in self.files.names("pointers") if n.isdigit())
+        return json.loads(self.files.read(f"pointers/{known[-1]}")) if known else None
+
+    def _read(self, versions: dict[str, dict]) -> DataFrame:
+        folders = [f"{self.path}/data/{v['n']}/bucket={b}" for b, v in versions.items()]
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
     def read(self) -> DataFrame:
-        now = self.current()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshots/{now['n']}") if now else self.spark.createDataFrame([], self.schema)
+        return self._read((self.current() or {"buckets": {}})["buckets"])
 
     def apply(self, batch: DataFrame, query_id: str = "", batch_id: int = -1) -> dict:
         """Merges a batch; a repeated batch gives the same table. Returns inserted, updated and rows."""
-        batch = batch.select([c for c in self.schema.names if c != "loaded_at"])
-        batch.persist()
-        try:
-            check_batch(batch, self.key)
-            before, now = self.read(), self.current()
-            counts = accounting(before, batch, self.key).first()
-            n = (now["n"] if now else 0) + 1
-            target = f"{self.path}/snapshots/{n}"
-            merged(before, batch.withColumn("loaded_at", F.current_timestamp()), self.key).write.mode("overwrite").parquet(target)
-            rows = self.spark.read.schema(self.schema).parquet(target).count()
-            self.files.write("CURRENT", json.dumps({"n": n, "queryId": query_id, "batchId": batch_id, "rows": rows}))
-            return {"inserted": counts.inserted, "updated": counts.updated, "rows": rows}
-        finally:
-            batch.unpersist()
-
-    def refuse_drift(self, last_committed: int | None) -> None:
-        """Stops where a checkpoint has committed batches but the table is gone or older."""
+        names = [c for c in self.schema.names if c != "loaded_at"]
+        batch = staged(batch.select(*names).withColumn("bucket", F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")), "batch")
+        check_batch(batch, self.key)
+        now = self.current() or {"n": 0, "buckets": {}}
+        touched = {str(r.bucket) for r in batch.select("bucket").distinct().collect()}
+        before = self._read({b: v for b, v in now["buckets"].items() if b in touched})
+        counts, n = accounting(before, batch, self.key).first(), now["n"] + 1
+        self.files.delete(f"data/{n}")  # left by a crash before its pointer
+        new = merged(before, batch.drop("bucket").withColumn("loaded_at", F.current_timestamp()), self.key)
+        new.withColumn("bucket", F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{n}")
+        rows = {str(r.bucket): r.n for r in self.spark.read.parquet(f"{self.path}/data/{n}").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()} if touched else {}
+        versions = now["buckets"] | {b: {"n": n, "rows": r} for b, r in rows.items()}
+        total = sum(v["rows"] for v in versions.values())
+        self.files.write(f"pointers/{n}", json.dumps({"n": n, "queryId": query_id, "batchId": batch_id, "rows": total, "of": self.buckets, "buckets": versions}))
+        self._tidy(versions, now["buckets"], n)
+        return {"inserted": counts.inserted, "updated": counts.updated, "rows": total}
+
+    def _tidy(self, newest: dict, last: dict, n: int) -> None:
+        """Removes what neither the newest pointer nor the one before it names; readers of the last version may still be at work."""
+        used = {(str(v["n"]), b) for versions in (newest, last) for b, v in versions.items()}
+        for version in self.files.names("data"):
+            if version.isdigit() and int(version) <= n:
+                held = [x.removeprefix("bucket=") for x in self.files.names(f"data/{version}") if x.startswith("bucket=")]
+                stale = [b for b in held if (version, b) not in used]
+                for b in stale if len(stale) < len(held) else ():
+                    self.files.delete(f"data/{version}/bucket={b}")
+                if len(stale) == len(held):
+                    self.files.delete(f"data/{version}")
+        for pointer in self.files.names("pointers"):
+            if pointer.isdigit() and int(pointer) < n - 1:
+                self.files.delete(f"pointers/{pointer}")
+
+    def refuse_drift(self, last_committed: int | None, query_id: str | None) -> None:
+        """Stops where a checkpoint of the query ``query_id`` has committed batches but the table is gone, older or last written by another query."""
         now = self.current()
-        if last_committed is not None and (now is None or now["batchId"] < last_committed):
+        if last_committed is None:
+            return
+        if now is None or now["batchId"] < last_committed:
             raise Drift(f"checkpoint has committed batch {last_committed}, the table holds {now and now['batchId']}")
+        if now["queryId"] != query_id:
+            raise Drift(f"checkpoint belongs to query {query_id}, the table was last written by {now['queryId']}")
 
 
 COLUMNS = SESSION_COLUMNS

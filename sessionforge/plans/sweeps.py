@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionforge.functions.durations import emission_floor
-from sessionforge.operators.scoring import scorecard
+from sessionforge.operators.scoring import scorecard, without_sentinel
 from sessionforge.operators.sessions import build_batch, dedupe, sessions
 from sessionforge.operators.upsert import SessionTable, fingerprint
-from sessionforge.streaming.job import crash_at, pipeline, start, upsert_sink
+from sessionforge.sources.files import Files, staged
+from sessionforge.streaming.job import Stopping, pipeline, start, upsert_sink
 from sessionforge.streaming.progress import frame, operators
-from sessionforge.streaming.recovery import checkpoint_state, compare, last_committed, replay_scope
+from sessionforge.streaming.recovery import checkpoint_state, compare, last_committed, query_id, replay_scope
 
+SWEEP = "gap string, floor_s double, recovered long, merged long, boundaries_lost long, split long, boundary_miss_rate double, split_rate double"
 ARMS = ("clean", "crash-after", "crash-before", "fresh-checkpoint", "wiped-table")
 
 
 def gap_sweep(events: DataFrame, gaps, watermark: str = "2 minutes", conversion: str = "checkout") -> DataFrame:
     """One row for each gap: its floor and its scorecard, from one deduplicated input."""
-    once = dedupe(events)
+    once = staged(dedupe(events), "once")
     rows = []
     for gap in gaps:
         card = scorecard(events, sessions(once, gap, conversion))
@@ -28,28 +31,53 @@ def gap_sweep(events: DataFrame, gaps, watermark: str = "2 minutes", conversion:
     return reduce(DataFrame.unionByName, rows)
 
 
-def watermark_sweep(raw, combos, folder: str) -> list[dict]:
-    """Sessions, covered events and drops for each (watermark, gap), each a streaming run with a checkpoint of its own. ``raw()`` opens the stream."""
+def resumable_gap_sweep(events: DataFrame, gaps, results: str, watermark: str = "2 minutes", conversion: str = "checkout") -> DataFrame:
+    """The sweep, with a file of one JSON line for each gap under ``results``; gaps that are there already are not run again. Gives all gaps found there."""
+    gaps, spark = list(gaps), events.sparkSession
+    if not gaps:
+        raise ValueError("no gaps asked for")
+    files = Files(spark, results)
+    done = {r.gap for r in sweep_results(spark, results).select("gap").collect()}
+    for gap in gaps:
+        if gap not in done:
+            row = gap_sweep(events, [gap], watermark, conversion).first().asDict()
+            files.write(f"gap-{gap.replace(' ', '-')}.jsonl", json.dumps(row) + "\n")
+    return sweep_results(spark, results)
+
+
+def sweep_results(spark: SparkSession, results: str) -> DataFrame:
+    """What a resumable sweep has found so far; an empty table before its first result."""
+    if not any(n.endswith(".jsonl") for n in Files(spark, results).names()):
+        return spark.createDataFrame([], SWEEP)
+    return spark.read.schema(SWEEP).json(f"{results}/*.jsonl")
+
+
+def watermark_sweep(raw, combos, folder: str, conversion: str = "checkout") -> DataFrame:
+    """watermark, gap, sessions, events, dropped rows of the session window and of dedupe, each combination a streaming run with a checkpoint of its own. ``raw()`` opens the stream."""
     out = []
     for i, (watermark, gap) in enumerate(combos):
-        stream = raw()
-        query = start(pipeline(stream, gap, watermark), f"{folder}/cp{i}", out=f"{folder}/out{i}")
+        stream = pipeline(raw(), gap, watermark, conversion)
+        query = start(stream, f"{folder}/cp{i}", out=f"{folder}/out{i}")
         query.awaitTermination()
         spark = stream.sparkSession
-        got = spark.read.parquet(f"{folder}/out{i}").where("user_id not like 'u_flush%'").agg(F.count(F.lit(1)), F.sum("event_count")).first()
-        dropped = {r.operatorName: r.dropped for r in operators(frame(spark, [p.json for p in query.recentProgress])).collect()}
-        out.append({"watermark": watermark, "gap": gap, "sessions": got[0], "events": got[1], "dropped": dropped})
-    return out
+        progress = frame(spark, [p.json for p in query.recentProgress])
+        rows = without_sentinel(spark.read.schema(stream.schema).parquet(f"{folder}/out{i}"))
+        dropped = F.coalesce(F.sum("dropped"), F.lit(0)).alias("dropped")
+        late = operators(progress)
+        of = lambda name: late.where(F.col("operatorName").rlike(f"(?i){name}")).agg(dropped)  # noqa: E731,B023
+        got = rows.agg(F.count(F.lit(1)).alias("sessions"), F.coalesce(F.sum("event_count"), F.lit(0)).alias("events"))
+        out.append(got.crossJoin(of("sessionWindow").withColumnRenamed("dropped", "dropped_by_window")).crossJoin(of("dedupe").withColumnRenamed("dropped", "dropped_by_dedupe")).select(F.lit(watermark).alias("watermark"), F.lit(gap).alias("gap"), "*"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def replay_arm(spark: SparkSession, raw, folder: str, arm: str, batch: int = 1, gap: str = "30 minutes") -> dict:
-    """One arm: a run, its crash or repetition, and the table's fingerprint. ``wiped-table`` must stop on drift."""
+    """One arm: a run, its stop or repetition, and the table's fingerprint. ``wiped-table`` must stop on drift."""
     if arm not in ARMS:
         raise ValueError(f"unknown arm {arm!r}")
     stream = pipeline(raw(), gap)
     table, cp = SessionTable(spark, f"{folder}/table", stream.schema), f"{folder}/cp"
-    sink = upsert_sink(table)
-    first = crash_at(sink, batch, {"crash-after": "after-merge", "crash-before": "before-merge"}[arm]) if arm.startswith("crash") else sink
+    sink = upsert_sink(table, query_id=lambda: query_id(spark, cp))
+    first = Stopping(sink, batch, {"crash-after": "after-merge", "crash-before": "before-merge"}[arm]) if arm.startswith("crash") else sink
     query = start(stream, cp, sink=first)
     try:
         query.awaitTermination()
@@ -59,10 +87,12 @@ def replay_arm(spark: SparkSession, raw, folder: str, arm: str, batch: int = 1,
     at_crash = (table.current() or {"rows": 0})["rows"]
     before = checkpoint_state(spark, cp).first().asDict()
     if arm == "wiped-table":
-        table.files.fs.delete(table.files._path(f"{folder}/table"), True)
-        table.refuse_drift(last_committed(spark, cp))
+        for part in ("pointers", "data"):
+            table.files.delete(part)
+    if arm == "fresh-checkpoint":
+        cp = f"{folder}/cp2"
     if arm != "clean":
-        cp = f"{folder}/cp2" if arm == "fresh-checkpoint" else cp
+        table.refuse_drift(last_committed(spark, cp), query_id(spark, cp))
         start(pipeline(raw(), gap), cp, sink=sink).awaitTermination()
     after = checkpoint_state(spark, cp).first().asDict()
     return {"arm": arm, "rows_at_crash": at_crash, "rows": table.current()["rows"], "fingerprint": fingerprint(table.read()).first()[0], **replay_scope(before, after)}
@@ -74,4 +104,4 @@ def replay_report(arms: list[dict]) -> list[dict]:
     return [{"arm": n, "verdict": compare(by["clean"]["fingerprint"], by[n]["fingerprint"]) if n in by and "clean" in by else "NOT RUN"} for n in ARMS]
 
 
-__all__ = ["ARMS", "build_batch", "gap_sweep", "replay_arm", "replay_report", "watermark_sweep"]
+__all__ = ["ARMS", "build_batch", "gap_sweep", "replay_arm", "replay_report", "resumable_gap_sweep", "sweep_results", "watermark_sweep"]

@@ -42,7 +42,11 @@ def parse_failures(events: DataFrame) -> DataFrame:
     return events.where("event_ts is null or ingest_ts is null")
 
 
+def usable_row() -> Column:
+    """Rows without id, user or times would share one dedupe key or vanish in the window."""
+    return F.col("event_id").isNotNull() & F.col("user_id").isNotNull() & F.col("event_ts").isNotNull() & F.col("ingest_ts").isNotNull()
+
+
 def quarantine(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable, refused): rows without id, user or times would share one dedupe key or vanish in the window."""
-    bad = "event_id is null or user_id is null or event_ts is null or ingest_ts is null"
-    return events.where(f"not ({bad})"), events.where(bad)
+    """(usable, refused)."""
+    return events.where(usable_row()), events.where(~usable_row())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,17 +100,39 @@ class Files:
         finally:
             stream.close()
 
+    def delete(self, name: str) -> None:
+        self.fs.delete(self._path(f"{self.folder}/{name}"), True)
+
     def write(self, name: str, text: str) -> None:
-        """Whole or not at all: written beside and renamed."""
-        beside, to = self._path(f"{self.folder}/.{name}.tmp"), self._path(f"{self.folder}/{name}")
+        """A new file, whole or not at all: written beside and renamed. A name that is taken is an error, as no store can replace a file safely."""
+        beside, to = self._path(f"{self.folder}/.{name.replace('/', '-')}.tmp"), self._path(f"{self.folder}/{name}")
+        if self.fs.exists(to):
+            raise FileExistsError(str(to))
         out = self.fs.create(beside, True)
         out.write(bytearray(text.encode()))
         out.close()
-        self.fs.delete(to, False)
+        self.fs.mkdirs(to.getParent())
         if not self.fs.rename(beside, to):
             raise OSError(f"could not put {name} in place")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this run in the place that all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset on a local master."""
+    root, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{(root or 'file:///tmp/checkpoints/sessionforge').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` by way of a table in the shared folder, for what is read more than once; it goes when the application ends."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    files = Files(spark, path)
+    files.fs.deleteOnExit(files._path(path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_flush(spark: SparkSession, path: str, hours: float = 72.0) -> None:
     """One event of a user of its own, ``hours`` after the newest, in a file that sorts last: it moves the watermark past every open session."""
     row = spark.range(1).select(
@@ -118,4 +142,4 @@ def write_flush(spark: SparkSession, path: str, hours: float = 72.0) -> None:
     Files(spark, path).write(FLUSH_FILE, to_json_lines(row.drop("t")).first().value + "\n")
 
 
-__all__ = [n for n in dir() if n.startswith(("read_", "write_", "to_", "max_")) or n in ("Files", "TS_PATTERN")]
+__all__ = [n for n in dir() if n.startswith(("read_", "write_", "to_", "max_")) or n in ("Files", "TS_PATTERN", "shared_folder", "staged")]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-SCHEMA = "batchId long, numInputRows long, durationMs map<string, long>, stateOperators array<struct<operatorName: string, numRowsTotal: long, memoryUsedBytes: long, numRowsDroppedByWatermark: long, customMetrics: map<string, long>>>"
+SCHEMA = "batchId long, numInputRows long, durationMs map<string, long>, stateOperators array<struct<operatorName: string, numRowsTotal: long, memoryUsedBytes: long, numRowsDroppedByWatermark: long, customMetrics: map<string, long>>>, observedMetrics struct<parsed: struct<rows: long, refused: long>>"
 
 
 class Progress(StreamingQueryListener):
@@ -58,3 +58,9 @@ def session_operator(progress: DataFrame) -> DataFrame:
     if got.isEmpty():
         raise ValueError("no session window among the stateful operators")
     return got
+
+
+def refused_rows(progress: DataFrame) -> DataFrame:
+    """parsed and refused rows over all batches."""
+    seen = F.col("observedMetrics.parsed")
+    return progress.agg(F.coalesce(F.sum(seen["rows"]), F.lit(0)).alias("parsed_rows"), F.coalesce(F.sum(seen["refused"]), F.lit(0)).alias("refused_rows"))

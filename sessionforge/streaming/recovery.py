@@ -13,25 +13,51 @@ def _batches(files: Files, log: str) -> list[int]:
     return sorted(int(n) for n in files.names(log) if n.isdigit())  # .crc and temporary files are no batches
 
 
+class BrokenCheckpoint(ValueError):
+    """There is no checkpoint where one should be read, or it is damaged."""
+
+
 def checkpoint_state(spark: SparkSession, path: str) -> DataFrame:
-    """One row: last planned and committed batch, planned but not committed ones, the next batch. Logs keep a bounded number of batches."""
+    """One row: last planned and committed batch, planned but not committed ones, the next batch, which is the first of these. Logs keep a bounded number of batches.
+
+    A folder without planned batches is refused: it must not pass for a run that has nothing left to do.
+    """
     files = Files(spark, path)
     planned, committed = _batches(files, "offsets"), _batches(files, "commits")
-    row = (max(planned, default=None), max(committed, default=None), sorted(set(planned) - set(committed)), max(committed, default=-1) + 1)
+    if not planned:
+        raise BrokenCheckpoint(f"no planned batches under {path}")
+    open_ones = sorted(set(planned) - set(committed))
+    row = (max(planned), max(committed, default=None), open_ones, min(open_ones, default=max(planned) + 1))
     return spark.createDataFrame([row], "last_planned long, last_committed long, uncommitted array<long>, next_batch long")
 
 
 def last_committed(spark: SparkSession, path: str) -> int | None:
+    """None where there is no checkpoint yet."""
     return max(_batches(Files(spark, path), "commits"), default=None)
 
 
-def source_offsets(spark: SparkSession, path: str) -> DataFrame:
-    """(batch, source, offset): the sources' positions as each batch planned them; a damaged file gives no row."""
+def query_id(spark: SparkSession, path: str) -> str | None:
+    """The id of the query that a checkpoint belongs to; None where there is no checkpoint yet."""
+    files = Files(spark, path)
+    return json.loads(files.read("metadata"))["id"] if files.exists("metadata") else None
+
+
+def source_offsets(spark: SparkSession, path: str, batch: int | None = None) -> DataFrame:
+    """(batch, source, offset): the sources' positions as each batch, or the one asked for, planned them. What can't be read is an error."""
     files, rows = Files(spark, path), []
-    for b in _batches(files, "offsets"):
-        lines = files.read(f"offsets/{b}").splitlines()
-        if lines[:1] == ["v1"]:
-            rows += [(b, i, line) for i, line in enumerate(lines[2:])]
+    planned = _batches(files, "offsets")
+    if not planned or batch is not None and batch not in planned:
+        raise BrokenCheckpoint(f"no planned batch {'' if batch is None else batch} under {path}")
+    for b in planned if batch is None else [batch]:
+        head, *lines = [x for x in files.read(f"offsets/{b}").splitlines() if x.strip()] or [""]
+        if not head.startswith("v") or not lines:
+            raise BrokenCheckpoint(f"offsets/{b} has no version or no metadata")
+        for i, line in enumerate(lines):
+            try:
+                json.loads(line)
+            except ValueError as e:
+                raise BrokenCheckpoint(f"offsets/{b}, line {i + 2}: {e}") from e
+        rows += [(b, i, line) for i, line in enumerate(lines[1:])]
     return spark.createDataFrame(rows, "batch long, source int, offset string")
 
 

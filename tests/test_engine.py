@@ -142,45 +142,149 @@ def test_upsert_replay_drift(spark, tmp_path):
         table.apply(rows.union(rows), "q", 2)
     assert table.current()["batchId"] == 1
     assert table.apply(rows.limit(0), "q", 2)["rows"] == 2
-    table.refuse_drift(2)
-    with pytest.raises(upsert.Drift):
-        table.refuse_drift(3)
+    table.refuse_drift(2, "q")
+    table.refuse_drift(None, "other")
+    for batch, query in ((3, "q"), (2, "other")):
+        with pytest.raises(upsert.Drift):
+            table.refuse_drift(batch, query)
+
+
+def test_upsert_touches_few_buckets_and_leaves_no_old_ones(spark, tmp_path):
+    rows = sessions.sessions(clicks(spark, [(str(i), f"u{i}", 0, "/", "v") for i in range(40)]))
+    table = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema, buckets=8)
+    table.apply(rows, "q", 0)
+    one = rows.where("user_id = 'u3'").withColumn("event_count", F.lit(5).cast("long"))
+    for i in range(1, 4):
+        table.apply(one, "q", i)
+    now = table.current()
+    assert sorted({v["n"] for v in now["buckets"].values()}) == [1, 4] and sum(v["n"] == 4 for v in now["buckets"].values()) == 1
+    assert table.files.names("pointers") == ["3", "4"] and table.files.names("data") == ["1", "3", "4"]
+    assert table.read().count() == 40 and table.read().where("event_count = 5").count() == 1
+    assert upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema, buckets=99).buckets == 8
+
+
+@pytest.mark.parametrize("step", ["write", "_tidy"])
+def test_upsert_survives_a_crash_at_any_step(spark, tmp_path, monkeypatch, step):
+    rows = sessions.sessions(clicks(spark, [(str(i), f"u{i}", 0, "/", "v") for i in range(9)]))
+    table = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema)
+    table.apply(rows.limit(4), "q", 0)
+    before = upsert.fingerprint(table.read()).first()[0]
+
+    def dies(*a):
+        raise OSError("no more")
+
+    with monkeypatch.context() as m:
+        m.setattr(table.files if step == "write" else table, step, dies)
+        with pytest.raises(OSError):
+            table.apply(rows, "q", 1)
+    again = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema)
+    if step == "write":
+        assert upsert.fingerprint(again.read()).first()[0] == before
+    assert again.apply(rows, "q", 1)["rows"] == 9 and again.read().drop("loaded_at").exceptAll(rows.select(again.read().drop("loaded_at").columns)).count() == 0
+
+
+def test_fingerprint_follows_the_rows(spark):
+    rows = sessions.sessions(clicks(spark, [(str(i), f"u{i}", 0, "/", "v") for i in range(60)]))
+    assert upsert.fingerprint(rows.repartition(5), bucket_rows=2).first() == upsert.fingerprint(rows, bucket_rows=2).first()
+    assert upsert.fingerprint(rows.limit(0)).first()[0].startswith("0:")
 
 
 def test_crash_points():
     seen = []
     with pytest.raises(ValueError):
-        job.crash_at(lambda r, b: None, 0, "midway")
+        job.Stopping(lambda r, b: None, 0, "midway")
     for point, n in (("before-merge", 0), ("after-merge", 1)):
         seen.clear()
-        with pytest.raises(job.InjectedCrash):
-            job.crash_at(lambda r, b: seen.append(b), 0, point)(None, 0)
+        sink = job.Stopping(lambda r, b: seen.append(b), 0, point)
+        with pytest.raises(job.PlannedStop):
+            sink(None, 0)
         assert len(seen) == n
+        sink(None, 1)
+        assert len(seen) == n + 1
 
 
 def test_replay_arms(spark, sf, tmp_path):
     folder = catalog._shards(spark, sf)
     raw = lambda: read_file_stream(spark, folder, 2)
-    arms = [sweeps.replay_arm(spark, raw, f"file://{tmp_path}/{a}", a, batch=1, gap="6 hours") for a in ("clean", "crash-after", "crash-before")]
+    arms = [sweeps.replay_arm(spark, raw, f"file://{tmp_path}/{a}", a, batch=1, gap="6 hours") for a in ("clean", "crash-after", "crash-before", "fresh-checkpoint")]
     said = {r["arm"]: r["verdict"] for r in sweeps.replay_report(arms)}
-    assert said == {"clean": "identical", "crash-after": "identical", "crash-before": "identical", "fresh-checkpoint": "NOT RUN", "wiped-table": "NOT RUN"}
+    assert said == {"clean": "identical", "crash-after": "identical", "crash-before": "identical", "fresh-checkpoint": "identical", "wiped-table": "NOT RUN"}
     with pytest.raises(upsert.Drift):
         sweeps.replay_arm(spark, raw, f"file://{tmp_path}/w", "wiped-table", gap="6 hours")
 
 
-def test_checkpoint_reading(spark, tmp_path):
-    at = f"file://{tmp_path}/cp"
-    assert recovery.checkpoint_state(spark, at).first().next_batch == 0
-    for log, names in (("offsets", "012"), ("commits", "01")):
+def _checkpoint(spark, at, planned, committed, line='{"t":{"0":5}}'):
+    for log, names in (("offsets", planned), ("commits", committed)):
         for n in names:
-            Files(spark, f"{at}/{log}").write(n, 'v1\n{}\n{"t":{"0":5}}')
+            Files(spark, f"{at}/{log}").write(str(n), f"v1\n{{}}\n{line}")
+    return at
+
+
+def test_checkpoint_reading(spark, tmp_path):
+    at = _checkpoint(spark, f"file://{tmp_path}/cp", range(3), range(2))
     r = recovery.checkpoint_state(spark, at).first()
     assert (r.last_planned, r.last_committed, r.uncommitted, r.next_batch) == (2, 1, [2], 2)
-    assert recovery.source_offsets(spark, at).count() == 3
+    whole = recovery.checkpoint_state(spark, _checkpoint(spark, f"file://{tmp_path}/whole", range(4), range(4))).first()
+    assert (whole.uncommitted, whole.next_batch) == ([], 4)
+    gap = recovery.checkpoint_state(spark, _checkpoint(spark, f"file://{tmp_path}/gap", range(4), (0, 2, 3))).first()
+    assert (gap.uncommitted, gap.next_batch) == ([1], 1)
+    assert recovery.source_offsets(spark, at).count() == 3 and recovery.source_offsets(spark, at, 2).first().offset == '{"t":{"0":5}}'
+    bare = _checkpoint(spark, f"file://{tmp_path}/bare", [0], [], "17")
+    assert recovery.source_offsets(spark, bare).first().offset == "17"
     assert recovery.kafka_position('{"t":{"0":5}}') == {"t:0": 5}
     assert recovery.kafka_position('{"logOffset":3}') == recovery.kafka_position("7") == recovery.kafka_position("x") == {}
 
 
+def test_broken_checkpoints_are_refused(spark, tmp_path):
+    at = f"file://{tmp_path}/none"
+    assert recovery.last_committed(spark, at) is None and recovery.query_id(spark, at) is None
+    (tmp_path / "empty" / "offsets").mkdir(parents=True)
+    for where in (at, f"file://{tmp_path}/empty"):
+        with pytest.raises(recovery.BrokenCheckpoint):
+            recovery.checkpoint_state(spark, where)
+        with pytest.raises(recovery.BrokenCheckpoint):
+            recovery.source_offsets(spark, where)
+    cut = _checkpoint(spark, f"file://{tmp_path}/cut", [0], [], "not json at all")
+    with pytest.raises(recovery.BrokenCheckpoint):
+        recovery.source_offsets(spark, cut)
+    with pytest.raises(recovery.BrokenCheckpoint):
+        recovery.source_offsets(spark, _checkpoint(spark, f"file://{tmp_path}/one", [0], []), 9)
+
+
+def test_sweep_resumes(spark, tmp_path, monkeypatch):
+    rows, at = clicks(spark, [("1", "a", 0, "/", "v", "x"), ("2", "a", 3000, "/", "v", "y")]), f"file://{tmp_path}/s"
+    assert sweeps.sweep_results(spark, at).count() == 0
+    assert sweeps.resumable_gap_sweep(rows, ["30 minutes"], at).first().recovered == 2
+    ran, sweep = [], sweeps.gap_sweep
+    monkeypatch.setattr(sweeps, "gap_sweep", lambda e, gaps, *how: ran.extend(gaps) or sweep(e, gaps, *how))
+    assert {r.gap: r.recovered for r in sweeps.resumable_gap_sweep(rows, ["30 minutes", "1 hour"], at).collect()} == {"30 minutes": 2, "1 hour": 1}
+    assert ran == ["1 hour"]
+    with pytest.raises(ValueError):
+        sweeps.resumable_gap_sweep(rows, [], at)
+
+
+def test_dedupe_alternatives_on_a_copy_stamped_anew(spark):
+    rows = clicks(spark, [("1", "a", 0, "/", "v"), ("1", "a", 30, "/", "v", "h", 9)])
+    assert (sessions.dedupe(rows).count(), sessions.dedupe_by(rows, "event_id").count(), sessions.dedupe_by(rows, "event_id", "event_ts").count()) == (1, 1, 2)
+
+
+def test_refused_rows_are_counted(spark, tmp_path):
+    good = '{"event_id":"%d","user_id":"u","event_ts":"2024-01-01T00:00:0%d.000Z","ingest_ts":"2024-01-01T00:00:09.000Z"}'
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join([good % (i, i) for i in range(3)] + ["not json", "{}"]) + "\n")
+    query = job.start(job.pipeline(read_file_stream(spark, f"file://{tmp_path}/in")), f"file://{tmp_path}/cp", out=f"file://{tmp_path}/out")
+    query.awaitTermination()
+    r = progress.refused_rows(progress.frame(spark, [p.json for p in query.recentProgress])).first()
+    assert (r.parsed_rows, r.refused_rows) == (5, 2)
+
+
+def test_one_session_join_in_emission_lag(spark, sf):
+    built = catalog._built(spark, sf)
+    lag = latency.emission_lag(catalog.clicks(spark, sf), built)
+    lag.collect()
+    assert "MergingSessions" not in lag._jdf.queryExecution().executedPlan().toString()  # the histogram is kept as a table
+
+
 def test_progress(spark):
     docs = [json.dumps({"batchId": i, "numInputRows": 10, "durationMs": {"addBatch": 5 + i, "triggerExecution": 10}, "stateOperators": [{"operatorName": "sessionWindowStateStoreSaveExec", "numRowsTotal": i, "memoryUsedBytes": 1, "numRowsDroppedByWatermark": 2}]}) for i in range(3)]
     p = progress.frame(spark, docs)
@@ -192,11 +296,31 @@ def test_progress(spark):
 
 
 def test_generator(spark):
-    e = generator.events(spark, visits=300, users=50, seed=3)
-    assert e.exceptAll(generator.events(spark, visits=300, users=50, seed=3)).count() == 0
-    n = {r.event_type: r["count"] for r in e.dropDuplicates(["event_id"]).groupBy("event_type").count().collect()}
-    assert n["checkout"] <= n["add_to_cart"] and e.count() > e.select("event_id").distinct().count()
-    assert e.where("ingest_ts < event_ts").count() == 0
+    how = dict(rate=50, seconds=600, users=1500, pool=100, seed=3)
+    made = generator.all_events(spark, **how).persist()
+    e = generator.events(spark, **how)
+    assert e.exceptAll(made.where("not pending").drop("copy", "pending")).count() == 0
+    n = {r.event_type: r["count"] for r in made.where("not copy").groupBy("event_type").count().collect()}
+    assert n["checkout"] <= n["add_to_cart"] <= n["click"] and n["page_view"] == max(n.values())
+    assert e.where("ingest_ts < event_ts").count() == 0 and made.where("copy").count() > 0
+    visits = made.where("not copy").groupBy("user_id", "session_hint").agg(F.min("event_ts").alias("a"), F.max("event_ts").alias("b"), F.min_by("event_type", "event_ts").alias("first"))
+    x, y = visits.alias("x"), visits.alias("y")
+    assert visits.where("first = 'scroll'").count() == 0
+    r = generator.statistics(made).first()
+    assert r.originals + r.duplicates == r.emitted and r.distinct_users <= 1500 and r.visits == visits.count() and 4 < r.lateness_p50_s < 30 and 0 < r.top_share < 1
+    assert abs(r.originals - 30_000) < 9000 and 20 < r.mean_occupancy <= 130
+    for wrong in (dict(pool=0), dict(visit_events=0.5), dict(users=100, pool=51)):
+        with pytest.raises(ValueError):
+            generator.events(spark, **wrong)
+    assert generator.events(spark, users=100, pool=50, seconds=20).count() > 0
+
+
+def test_generator_deflects_arrivals_of_users_on_the_site(spark):
+    how = dict(rate=50, seconds=600, pool=100, visit_events=6, visit_sigma=0.9, seed=1, population_seed=1)
+    steep, flat = (generator.visits(spark, users=u, alpha=a, **how) for u, a in ((400, 2.5), (50_000, 0.0)))
+    assert steep.agg(F.sum("deflected")).first()[0] > 10 * max(flat.agg(F.sum("deflected")).first()[0], 1)
+    order = "lag(end) over (partition by id order by begin)"
+    assert steep.selectExpr("begin", f"{order} as last").where("begin <= last").count() == 0
 
 
 def test_repro(spark):
@@ -231,3 +355,19 @@ def test_against_sql(spark, sf, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 585
+
+
+def test_stands_without_the_training_data_operators(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "sessionforge", tmp_path / "sessionforge", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    says = "import __spark_entry__ as e; q = e.queries(); print(len(q), 'pipeline' in q, any(n.startswith('op') and n[2].isdigit() for n in q), set(e.oracle_sql()) <= set(q))"
+    ran = subprocess.run([sys.executable, "-c", says], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert ran.stdout.split()[1:] == ["False", "False", "True"] and int(ran.stdout.split()[0]) == len(catalog.queries()), ran.stderr
