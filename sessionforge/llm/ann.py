@@ -86,11 +86,12 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def calibrated(forest: Forest, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, ranges, k: int, recall: float, sample: int) -> int:
-    """The number of candidates with which the first ``sample`` queries (in the order of their ids) reach ``recall``."""
-    some = np.argsort(own)[:sample]
-    exact = {}
-    for i in some.tolist():
+def calibrated(forest: Forest, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, recall: float, sample: int) -> int:
+    """The number of candidates with which ``sample`` of the queries (by a hash of their ids, so from all over the block) reach ``recall``."""
+    some = np.argsort(own.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:sample]
+    queries, own = queries[some], own[some]
+    ranges, exact = forest.ranges(queries), {}
+    for i in range(len(queries)):
         others = np.flatnonzero(ids != own[i])
         exact[i] = set(others[best(forest.vectors[others] @ queries[i], ids[others], k)].tolist())
     total = sum(map(len, exact.values()))
@@ -112,12 +113,10 @@ def search_block(queries, rows, k: int, recall: float = 0.97, sample: int = 48,
         q, r = same_width(matrix(queries["v"]), matrix(rows["v"]))
         own, ids = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
         forest = Forest(r, trees, bits)
-        enough = None
+        enough = calibrated(forest, q, own, ids, k, recall, sample)
         for i in range(0, len(q), width):
             part, mine = q[i : i + width], own[i : i + width]
             ranges = forest.ranges(part)
-            if enough is None:
-                enough = calibrated(forest, part, mine, ids, ranges, k, recall, sample)
             for j in range(len(part)):
                 at = forest.candidates(ranges[0][:, j], ranges[1][:, j], max(enough, k + 1))
                 at = at[ids[at] != mine[j]]
