@@ -335,9 +335,8 @@ def _streamed(spark, d):
 
     out, cp = shared_folder(spark, "sessions"), shared_folder(spark, "checkpoint")
     stream = job.pipeline(read_file_stream(spark, _shards(spark, d)), GAP, "2 minutes", WIN)
-    query = job.start(stream, cp, out=out)
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out), cp, query
+    _, batches = progress.watched(spark, lambda: job.start(stream, cp, out=out))
+    return spark.read.schema(stream.schema).parquet(out), cp, progress.frame(spark, batches)
 
 
 @_query("stream_sessions_6h", f"with {_CLICKS_MS}, {_sessions_sql(GAP)} {_SESSION_ROWS}")
@@ -366,14 +365,12 @@ def _(spark, d):
 
 @_query("operator_drops")
 def _(spark, d):
-    query = _streamed(spark, d)[2]
-    return progress.operators(progress.frame(spark, [p.json for p in query.recentProgress]))
+    return progress.operators(_streamed(spark, d)[2])
 
 
 @_query("batch_latency")
 def _(spark, d):
-    query = _streamed(spark, d)[2]
-    return progress.batch_latency(progress.frame(spark, [p.json for p in query.recentProgress]))
+    return progress.batch_latency(_streamed(spark, d)[2])
 
 
 @_query("generated_events")
@@ -386,10 +383,29 @@ def _(spark, d):
     return generator.statistics(generator.all_events(spark, rate=100, seconds=300, users=2000))
 
 
-@_query("reproduction_report", "select 2::bigint as reproduced, 1::bigint as differs, 1::bigint as moved")
+#: name, kind and SQL of the figures that are taken once from the clicks and once, without repeated events, from their wire form.
+_FIGURES = (("events", "counted", "count(*)"), ("different_events", "counted", "count(distinct event_id)"), ("users", "counted", "count(distinct user_id)"), ("visits", "counted", "count(distinct session_hint)"), ("late_s", "timing", "sum({late}) / 1e6"))
+
+
+def _figures_sql(rows: str, late: str) -> str:
+    return " union all ".join(f"select '{name}' as name, ({sql.format(late=late)})::double as v from {rows}" for name, _, sql in _FIGURES)
+
+
+@_query("reproduction_report", f"""{_W}{_dedupe()}, wire as (select * replace (date_trunc('milliseconds', event_ts) as event_ts, date_trunc('milliseconds', ingest_ts) as ingest_ts) from d),
+f as (select p.v as published, m.v as measured, p.name in ({", ".join(f"'{n}'" for n, k, _ in _FIGURES if k == "counted")}) as counted from ({_figures_sql("clicks", _LAG)}) p join ({_figures_sql("wire", _LAG)}) m using (name))
+select count(*) filter (published = measured) as reproduced, count(*) filter (published != measured and counted) as differs, count(*) filter (published != measured and not counted) as moved from f""")
 def _(spark, d):
-    rows = [("rows", 10.0, 10.0, "counted"), ("sessions", 5.0, 6.0, "counted"), ("p50", 1.0, 1.1, "timing"), ("drops", 0.0, 0.0, "counted")]
-    return repro.report(spark.createDataFrame(rows, "name string, published double, measured double, kind string"))
+    """Figures of all clicks against those of the deduplicated events as the parser reads them: repeated events must show, the rest must not."""
+    c = clicks(spark, d)
+    late = "unix_micros(ingest_ts) - unix_micros(event_ts)"
+
+    def figures(rows: DataFrame, side: str) -> DataFrame:
+        one = rows.agg(*[F.expr(f"cast({sql.format(late=late)} as double)").alias(name) for name, _, sql in _FIGURES])
+        return one.unpivot([], [name for name, *_ in _FIGURES], "name", side)
+
+    kind = F.create_map(*[F.lit(x) for name, k, _ in _FIGURES for x in (name, k)])
+    both = figures(c, "published").join(figures(S.dedupe(parse(to_json_lines(c))), "measured"), "name")
+    return repro.report(both.select("name", "published", "measured", kind[F.col("name")].alias("kind")))
 
 
 def queries():

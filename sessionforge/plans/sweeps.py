@@ -14,7 +14,7 @@ from sessionforge.operators.sessions import build_batch, dedupe, sessions
 from sessionforge.operators.upsert import SessionTable, fingerprint
 from sessionforge.sources.files import Files, staged
 from sessionforge.streaming.job import Stopping, pipeline, start, upsert_sink
-from sessionforge.streaming.progress import frame, operators
+from sessionforge.streaming.progress import frame, operators, watched
 from sessionforge.streaming.recovery import checkpoint_state, compare, last_committed, query_id, replay_scope
 
 SWEEP = "gap string, floor_s double, recovered long, merged long, boundaries_lost long, split long, boundary_miss_rate double, split_rate double"
@@ -57,10 +57,9 @@ def watermark_sweep(raw, combos, folder: str, conversion: str = "checkout") -> D
     out = []
     for i, (watermark, gap) in enumerate(combos):
         stream = pipeline(raw(), gap, watermark, conversion)
-        query = start(stream, f"{folder}/cp{i}", out=f"{folder}/out{i}")
-        query.awaitTermination()
         spark = stream.sparkSession
-        progress = frame(spark, [p.json for p in query.recentProgress])
+        _, batches = watched(spark, lambda: start(stream, f"{folder}/cp{i}", out=f"{folder}/out{i}"))  # noqa: B023
+        progress = frame(spark, batches)
         rows = without_sentinel(spark.read.schema(stream.schema).parquet(f"{folder}/out{i}"))
         dropped = F.coalesce(F.sum("dropped"), F.lit(0)).alias("dropped")
         late = operators(progress)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from threading import Condition
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,22 +13,47 @@ SCHEMA = "batchId long, numInputRows long, durationMs map<string, long>, stateOp
 
 
 class Progress(StreamingQueryListener):
-    """Keeps the progress of all batches; ``recentProgress`` forgets all but the last hundred."""
+    """Keeps the progress of all batches of every run; ``recentProgress`` forgets all but the last hundred."""
 
     def __init__(self):
-        self.batches: list[str] = []
+        self._batches: dict[str, list[str]] = {}
+        self._ended: set[str] = set()
+        self._told = Condition()
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        self.batches.append(event.progress.json)
+        with self._told:
+            self._batches.setdefault(str(event.progress.runId), []).append(event.progress.json)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        with self._told:
+            self._ended.add(str(event.runId))
+            self._told.notify_all()
+
+    def of(self, query, seconds: float = 60) -> list[str]:
+        """All batches of a query that has ended. Its events come in order, but later than its end: the last of them is waited for."""
+        run = str(query.runId)
+        with self._told:
+            if not self._told.wait_for(lambda: run in self._ended, seconds):
+                raise TimeoutError(f"the end of run {run} was not told within {seconds} seconds")
+            return list(self._batches.get(run, []))
+
+
+def watched(spark: SparkSession, begin) -> tuple:
+    """(query, its batches): starts the query by ``begin()`` and follows it to its end."""
+    seen = Progress()
+    spark.streams.addListener(seen)
+    try:
+        query = begin()
+        query.awaitTermination()
+        return query, seen.of(query)
+    finally:
+        spark.streams.removeListener(seen)
 
 
 def frame(spark: SparkSession, batches: list[str]) -> DataFrame:

@@ -272,10 +272,22 @@ def test_refused_rows_are_counted(spark, tmp_path):
     good = '{"event_id":"%d","user_id":"u","event_ts":"2024-01-01T00:00:0%d.000Z","ingest_ts":"2024-01-01T00:00:09.000Z"}'
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text("\n".join([good % (i, i) for i in range(3)] + ["not json", "{}"]) + "\n")
-    query = job.start(job.pipeline(read_file_stream(spark, f"file://{tmp_path}/in")), f"file://{tmp_path}/cp", out=f"file://{tmp_path}/out")
-    query.awaitTermination()
-    r = progress.refused_rows(progress.frame(spark, [p.json for p in query.recentProgress])).first()
-    assert (r.parsed_rows, r.refused_rows) == (5, 2)
+    (tmp_path / "in" / "b.json").write_text(good % (7, 7) + "\n")
+    sessions_of = job.pipeline(read_file_stream(spark, f"file://{tmp_path}/in", 1))
+    query, batches = progress.watched(spark, lambda: job.start(sessions_of, f"file://{tmp_path}/cp", out=f"file://{tmp_path}/out"))
+    seen = progress.frame(spark, batches)
+    r = progress.refused_rows(seen).first()
+    assert (r.parsed_rows, r.refused_rows) == (6, 2)
+    assert [x.batchId for x in seen.where("numInputRows > 0").select("batchId").collect()] == [0, 1]
+    assert sorted(map(json.loads, batches), key=str) == sorted((json.loads(x.json) for x in query.recentProgress), key=str)  # fewer than a hundred
+
+
+def test_progress_of_a_run_that_does_not_end():
+    class Open:
+        runId = "r"
+
+    with pytest.raises(TimeoutError):
+        progress.Progress().of(Open(), 0.01)
 
 
 def test_one_session_join_in_emission_lag(spark, sf):
