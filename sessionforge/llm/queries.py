@@ -72,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": urls.SQL}
+    return {"op3_url_filter": urls.SQL, "op5_top_k": topk.SQL}

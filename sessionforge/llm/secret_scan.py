@@ -152,6 +152,13 @@ def _judged(text: Column, forest) -> Column:
     return F.transform(described, lambda c: F.struct(c["value"].alias("value"), F.regexp_extract(c["before"], r"(\S*)\s*\S{0,3}$", 1).alias("beside"), forest(c["x"]).alias("probability")))
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def scan(docs: DataFrame, forest, threshold: float = 0.5) -> DataFrame:
     """One row for each finding that the forest keeps: doc_id, its number in the document, the word beside it, SHA-256 of the secret, length and probability."""
     judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _judged(F.col("text"), forest).alias("all"))
@@ -162,10 +169,10 @@ def scan(docs: DataFrame, forest, threshold: float = 0.5) -> DataFrame:
 
 def redact(docs: DataFrame, forest, threshold: float = 0.5, column: str = "text") -> DataFrame:
     """``docs`` with every kept finding in ``column`` replaced; all columns and rows stay."""
-    text = F.col(column)
-    judged = docs.withColumn("_judged", _judged(text, forest))
-    hit = F.exists("_judged", lambda f: f["probability"] >= threshold)
+    text, own = F.col(column), _free("_judged", docs.columns)
+    judged = docs.withColumn(own, _judged(text, forest))
+    hit = F.exists(own, lambda f: f["probability"] >= threshold)
     lead = lambda m: F.regexp_extract(m, _LEAD, 0)
-    between = F.zip_with(matches(text, PATTERN), F.col("_judged"), lambda m, f: F.when(f["probability"] >= threshold, F.concat(lead(m), F.lit(REPLACEMENT))).otherwise(m))
+    between = F.zip_with(matches(text, PATTERN), F.col(own), lambda m, f: F.when(f["probability"] >= threshold, F.concat(lead(m), F.lit(REPLACEMENT))).otherwise(m))
     new = joined(pieces(text, PATTERN), between)
-    return judged.withColumn(column, F.when(hit, new).otherwise(text)).drop("_judged")
+    return judged.withColumn(column, F.when(hit, new).otherwise(text)).drop(own)

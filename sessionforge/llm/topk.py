@@ -19,6 +19,14 @@ from pyspark.sql import DataFrame
 
 from .blocks import matrix, same_width, top_of, usable
 
+#: The rows of ``top_k`` over ``embeddings`` for the queries whose vec_id is divisible by 20, in DuckDB.
+SQL = """with v as (select vec_id, min(embedding::double[]) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 group by vec_id),
+w as (select vec_id, list_transform(v, lambda x: floor(64 * x)::bigint) as w from v),
+s as (select q.vec_id as query_id, r.vec_id, coalesce(list_sum(list_transform(list_zip(q.w, r.w), lambda p: p[1] * p[2])), 0)::bigint as score from w q join w r on q.vec_id % 20 = 0 and q.vec_id != r.vec_id),
+k as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)
+select query_id, rank, vec_id, score from k where rank <= 20"""
+
 
 def weights(v: np.ndarray, scale: float = 64.0) -> np.ndarray:
     return np.clip(np.floor(scale * v), -(2.0**62), 2.0**62).astype(np.int64)

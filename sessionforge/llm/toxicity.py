@@ -204,7 +204,10 @@ def _keep(batches, model, threshold: float):
 
 
 def keep(docs: DataFrame, model: tuple[dict[str, float], tuple[float, ...]], threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns, without a join."""
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns, without a join.
+
+    Null and empty texts score alike; repeated rows go or stay together, and rows without doc_id are judged like any other.
+    """
     ensure_importable(docs.sparkSession)
     return docs.mapInArrow(partial(_keep, model=model, threshold=threshold), docs.schema)
 
