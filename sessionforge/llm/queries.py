@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, packing, pii, secret_scan, simhash, topk, toxicity, urls, wordpiece
+from . import ann, bpe, packing, pii, secret_scan, simhash, spelling, stream_bpe, topk, toxicity, urls, whitening, wordpiece
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +67,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), forest)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_bpe.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), digest=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": urls.SQL, "op5_top_k": topk.SQL}
+    return {"op3_url_filter": urls.SQL, "op5_top_k": topk.SQL, "op12_spelling_variants": spelling.SQL}

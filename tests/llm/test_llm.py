@@ -576,4 +576,4 @@ def test_near_dedup_keeps_one_row_of_each_class(spark, sf):
 
 def test_registered():
     names = set(queries.queries())
-    assert len(names) == 10 and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert len(names) == 13 and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
