@@ -1,28 +1,38 @@
-"""Keyed upsert on Parquet: rows in buckets by a hash of their key, versions of buckets, and numbered pointers of which the newest counts.
+"""Keyed upsert on Parquet, merged on read: every batch is a run of its own, and of the rows of one key the one of the newest run counts.
 
-A batch rewrites the buckets that it touches, by an anti-join and a union; no row passes through the driver. Rows with a known key
-are overwritten, others added. A pointer lists the version of every bucket and names the query and batch that made it, so a checkpoint
-ahead of the table, or one of another query, is noticed at start-up. A pointer is a new file each time, put in place by one rename
-after its data; what no pointer but the newest two names is removed after that. A crash between any two steps leaves the table as the last pointer has it.
+A run is written once, clustered by the day of the key's time and sorted by key; nothing else is rewritten by a batch, whose cost follows the batch and the days it touches and
+not the table. Readers merge only days that hold more than one run; a key has its day by itself, so all its rows meet there. Days in which runs have piled up are compacted after the batch: the newest
+runs of such a day, as many as are not much larger than those after them together, become one (size tiers, so that a row is rewritten a logarithmic number of times).
+
+Pointers ``<path>/pointers/<n>`` list the runs of every day; the newest counts. A pointer is created under a number that must be free, so of two writers
+one fails with ``Conflict``. Runs lie in folders named by chance, which nobody else deletes: a writer removes only what the pointers that it retires named, and folders that no pointer has named for a day
+(left by a crash). A pointer names query and batch, so a checkpoint ahead of the table, or one of another query, is noticed at start-up. A crash between any two steps leaves the table as the last pointer has it.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from sessionforge.schema import SESSION_COLUMNS, SESSION_KEY
-from sessionforge.sources.files import Files, staged
+from sessionforge.sources.files import Files
+
+DAY_US = 86_400_000_000
 
 
 class DuplicateKeys(ValueError):
     """A batch holds a key twice; nothing was written."""
 
 
+class Conflict(RuntimeError):
+    """Another writer has changed the table meanwhile; nothing was written."""
+
+
 class Drift(RuntimeError):
     """The checkpoint has committed batches that the table doesn't hold."""
 
@@ -70,58 +80,123 @@ def digest(lines: DataFrame, key, bucket_rows: int = 10_000) -> DataFrame:
 
 
 class SessionTable:
-    """Data under ``<path>/data/<version>/bucket=<b>`` and pointers ``<path>/pointers/<version>``."""
+    """Runs under ``<path>/data/<run>/day=<d>`` and pointers ``<path>/pointers/<n>``. ``key`` ends with the time by whose day rows are clustered."""
+
+    #: So many runs of a day, none much larger than those after it together, become one.
+    FAN = 4
+    #: Seconds after which a run that no pointer names, or a pointer that isn't whole, was left by a crash.
+    ORPHAN_S, TORN_S = 86_400, 60
 
-    def __init__(self, spark: SparkSession, path: str, schema, key=SESSION_KEY, buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, schema, key=SESSION_KEY):
         self.spark, self.path, self.key, self.files = spark, path.rstrip("/"), key, Files(spark, path)
         self.schema = schema if "loaded_at" in schema.names else StructType([*schema.fields, StructField("loaded_at", TimestampType())])
-        now = self.current()
-        self.buckets = now["of"] if now else buckets  # a table keeps the number it began with
+        self._stored = StructType([*self.schema.fields, StructField("_n", LongType())])
 
-    def current(self) -> dict | None:
-        known = sorted(int(n) for n in self.files.names("pointers") if n.isdigit())
-        return json.loads(self.files.read(f"pointers/{known[-1]}")) if known else None
+    def pointers(self) -> list[int]:
+        return sorted(int(n) for n in self.files.names("pointers") if n.isdigit())
 
-    def _read(self, versions: dict[str, dict]) -> DataFrame:
-        folders = [f"{self.path}/data/{v['n']}/bucket={b}" for b, v in versions.items()]
-        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
+    def _pointer(self, n: int) -> dict | None:
+        """None where its writer died while it wrote; one that may still be writing is waited for by no one."""
+        try:
+            return json.loads(self.files.read(f"pointers/{n}"))
+        except ValueError:
+            if self.files.age_s(f"pointers/{n}") < self.TORN_S:
+                raise Conflict(f"version {n} of {self.path} is being written") from None
+            return None
+
+    def current(self) -> dict | None:
+        return next((got for n in reversed(self.pointers()) if (got := self._pointer(n))), None)
+
+    def _rows(self, days: dict[str, list[dict]]) -> DataFrame:
+        """All rows of the runs of some days, each with the number ``_n`` of its run; a key may occur in several."""
+        folders = [f"{self.path}/data/{run['run']}/day={day}" for day, runs in days.items() for run in runs]
+        return self.spark.read.schema(self._stored).parquet(*folders) if folders else self.spark.createDataFrame([], self._stored)
+
+    def _newest(self, days: dict[str, list[dict]]) -> DataFrame:
+        """One row for each key. Days of one run need no shuffle."""
+        many = {day: runs for day, runs in days.items() if len(runs) > 1}
+        alone = self._rows({day: runs for day, runs in days.items() if len(runs) == 1})
+        if not many:
+            return alone
+        rest = [c for c in self.schema.names if c not in self.key]
+        last = self._rows(many).groupBy(*self.key).agg(F.max_by(F.struct(*rest, "_n"), "_n").alias("last")).select(*self.key, "last.*")
+        return alone.unionByName(last)
 
     def read(self) -> DataFrame:
-        return self._read((self.current() or {"buckets": {}})["buckets"])
+        return self._newest((self.current() or {"days": {}})["days"]).select(*self.schema.names)
+
+    def _write(self, rows: DataFrame) -> tuple[str, dict[str, dict]]:
+        """A new run: its name, and for each of its days the rows and bytes."""
+        run = uuid.uuid4().hex
+        day = F.expr(f"unix_micros({self.key[-1]}) div {DAY_US}")  # whatever the session's time zone
+        rows.withColumn("day", day).sortWithinPartitions("day", *self.key).write.partitionBy("day").parquet(f"{self.path}/data/{run}")
+        found = self.spark.read.schema("day long").parquet(f"{self.path}/data/{run}").groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()
+        if not found:
+            self.files.delete(f"data/{run}")
+        return run, {str(r.day): {"run": run, "rows": r.n, "bytes": self.files.size(f"data/{run}/day={r.day}")} for r in found}
 
     def apply(self, batch: DataFrame, query_id: str = "", batch_id: int = -1) -> dict:
         """Merges a batch; a repeated batch gives the same table. Returns inserted, updated and rows."""
         names = [c for c in self.schema.names if c != "loaded_at"]
-        batch = staged(batch.select(*names).withColumn("bucket", F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")), "batch")
-        check_batch(batch, self.key)
-        now = self.current() or {"n": 0, "buckets": {}}
-        touched = {str(r.bucket) for r in batch.select("bucket").distinct().collect()}
-        before = self._read({b: v for b, v in now["buckets"].items() if b in touched})
-        counts, n = accounting(before, batch, self.key).first(), now["n"] + 1
-        self.files.delete(f"data/{n}")  # left by a crash before its pointer
-        new = merged(before, batch.drop("bucket").withColumn("loaded_at", F.current_timestamp()), self.key)
-        new.withColumn("bucket", F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{n}")
-        rows = {str(r.bucket): r.n for r in self.spark.read.parquet(f"{self.path}/data/{n}").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()} if touched else {}
-        versions = now["buckets"] | {b: {"n": n, "rows": r} for b, r in rows.items()}
-        total = sum(v["rows"] for v in versions.values())
-        self.files.write(f"pointers/{n}", json.dumps({"n": n, "queryId": query_id, "batchId": batch_id, "rows": total, "of": self.buckets, "buckets": versions}))
-        self._tidy(versions, now["buckets"], n)
-        return {"inserted": counts.inserted, "updated": counts.updated, "rows": total}
-
-    def _tidy(self, newest: dict, last: dict, n: int) -> None:
-        """Removes what neither the newest pointer nor the one before it names; readers of the last version may still be at work."""
-        used = {(str(v["n"]), b) for versions in (newest, last) for b, v in versions.items()}
-        for version in self.files.names("data"):
-            if version.isdigit() and int(version) <= n:
-                held = [x.removeprefix("bucket=") for x in self.files.names(f"data/{version}") if x.startswith("bucket=")]
-                stale = [b for b in held if (version, b) not in used]
-                for b in stale if len(stale) < len(held) else ():
-                    self.files.delete(f"data/{version}/bucket={b}")
-                if len(stale) == len(held):
-                    self.files.delete(f"data/{version}")
-        for pointer in self.files.names("pointers"):
-            if pointer.isdigit() and int(pointer) < n - 1:
-                self.files.delete(f"pointers/{pointer}")
+        now = self.current() or {"n": 0, "rows": 0, "days": {}}
+        n = max(self.pointers(), default=0) + 1
+        run, wrote = self._write(batch.select(*names, F.current_timestamp().alias("loaded_at"), F.lit(n).cast("long").alias("_n")))
+        try:
+            own = self._rows({day: [r] for day, r in wrote.items()})
+            check_batch(own, self.key)
+            before = self._rows({day: now["days"][day] for day in wrote if day in now["days"]})
+            counts = accounting(before.select(*self.key).distinct(), own, self.key).first()
+            days = now["days"] | {day: [*now["days"].get(day, []), r] for day, r in wrote.items()}
+            told = {"queryId": query_id, "batchId": batch_id, "rows": now["rows"] + counts.inserted}
+            self._point({"n": n, "parent": now["n"], **told, "days": days})
+        except Exception:
+            self.files.delete(f"data/{run}")
+            raise
+        self._compact(n, told, days, wrote)
+        self._tidy()
+        return {"inserted": counts.inserted, "updated": counts.updated, "rows": told["rows"]}
+
+    def _point(self, pointer: dict) -> None:
+        """The commit: one new file under a number that must be free."""
+        n = pointer["n"]
+        try:
+            self.files.create(f"pointers/{n}", json.dumps(pointer))
+        except FileExistsError as e:
+            raise Conflict(f"another writer has made version {n} of {self.path}") from e
+        if any((later := self._pointer(m)) and later["parent"] < n for m in self.pointers() if m > n):
+            raise Conflict(f"version {n} of {self.path} came too late")
+
+    def _piled(self, runs: list[dict]) -> int:
+        """How many of a day's newest runs to merge: 0, or the most of which each is at most FAN times as large as those after it together."""
+        after, upto = runs[-1]["bytes"], 1
+        for r in reversed(runs[:-1]):
+            if r["bytes"] > self.FAN * after:
+                break
+            after, upto = after + r["bytes"], upto + 1
+        return upto if upto >= self.FAN else 0
+
+    def _compact(self, n: int, told: dict, days: dict[str, list[dict]], touched) -> None:
+        due = {day: k for day in touched if (k := self._piled(days[day]))}
+        if not due:
+            return
+        run, merged_days = self._write(self._newest({day: days[day][-k:] for day, k in due.items()}).hint("rebalance"))
+        rest = {day: [*days[day][: -due[day]], merged_days[day]] for day in due}
+        self._point({"n": n + 1, "parent": n, **told, "days": days | rest})
+
+    def _tidy(self) -> None:
+        """Keeps the newest two pointers, since readers of the last version may still be at work; removes the runs that only older ones name, day by day."""
+        known = {n: self._pointer(n) for n in self.pointers()}
+        whole = [n for n, p in known.items() if p]
+        named = lambda ns: {(r["run"], day) for n in ns for day, runs in known[n]["days"].items() for r in runs}
+        kept, retired = named(whole[-2:]), named(whole[:-2])
+        for run, day in retired - kept:
+            self.files.delete(f"data/{run}/day={day}")
+        held = {run for run, _ in kept}
+        for run in {run for run, _ in retired} - held | {r for r in self.files.names("data") if r not in held and self.files.age_s(f"data/{r}") > self.ORPHAN_S}:
+            self.files.delete(f"data/{run}")
+        for n in known:
+            if n < whole[-2:][0]:
+                self.files.delete(f"pointers/{n}")
 
     def refuse_drift(self, last_committed: int | None, query_id: str | None) -> None:
         """Stops where a checkpoint of the query ``query_id`` has committed batches but the table is gone, older or last written by another query."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,6 +104,26 @@ class Files:
     def delete(self, name: str) -> None:
         self.fs.delete(self._path(f"{self.folder}/{name}"), True)
 
+    def size(self, name: str) -> int:
+        """Bytes of all files of a folder."""
+        return self.fs.getContentSummary(self._path(f"{self.folder}/{name}")).getLength()
+
+    def age_s(self, name: str) -> float:
+        return time.time() - self.fs.getFileStatus(self._path(f"{self.folder}/{name}")).getModificationTime() / 1000
+
+    def create(self, name: str, text: str) -> None:
+        """A new file by one call that fails where the name is taken; on object stores it appears whole when it is closed."""
+        to = self._path(f"{self.folder}/{name}")
+        self.fs.mkdirs(to.getParent())
+        try:
+            out = self.fs.create(to, False)
+        except Exception as e:
+            if self.fs.exists(to):
+                raise FileExistsError(str(to)) from e
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+
     def write(self, name: str, text: str) -> None:
         """A new file, whole or not at all: written beside and renamed. A name that is taken is an error, as no store can replace a file safely."""
         beside, to = self._path(f"{self.folder}/.{name.replace('/', '-')}.tmp"), self._path(f"{self.folder}/{name}")

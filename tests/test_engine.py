@@ -149,38 +149,117 @@ def test_upsert_replay_drift(spark, tmp_path):
             table.refuse_drift(batch, query)
 
 
-def test_upsert_touches_few_buckets_and_leaves_no_old_ones(spark, tmp_path):
-    rows = sessions.sessions(clicks(spark, [(str(i), f"u{i}", 0, "/", "v") for i in range(40)]))
-    table = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema, buckets=8)
-    table.apply(rows, "q", 0)
-    one = rows.where("user_id = 'u3'").withColumn("event_count", F.lit(5).cast("long"))
-    for i in range(1, 4):
-        table.apply(one, "q", i)
-    now = table.current()
-    assert sorted({v["n"] for v in now["buckets"].values()}) == [1, 4] and sum(v["n"] == 4 for v in now["buckets"].values()) == 1
-    assert table.files.names("pointers") == ["3", "4"] and table.files.names("data") == ["1", "3", "4"]
-    assert table.read().count() == 40 and table.read().where("event_count = 5").count() == 1
-    assert upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema, buckets=99).buckets == 8
+def _sessions_of(spark, n, days, count=1):
+    """n sessions over some days, one user each."""
+    at = F.timestamp_micros((F.col("id") % days) * 86_400_000_000 + F.col("id") * 1_000_000 + 1_704_067_200_000_000)
+    cols = [F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_id"), at.alias("session_start"), F.timestamp_micros(F.unix_micros(at) + 1_800_000_000).alias("session_end"), F.lit(count).cast("long").alias("event_count")]
+    return spark.range(n).select(*cols, F.lit(1).cast("long").alias("page_depth"), F.rand(1).alias("duration_s"), F.lit(0).alias("converted"), F.lit(0).alias("bounce"), F.lit(1800.0).alias("window_span_s"))
+
+
+def _bytes(table):
+    return sum(table.files.size(f"data/{run}") for run in table.files.names("data"))
+
 
+def _live(table):
+    return {r["run"] for p in table.pointers() for runs in table._pointer(p)["days"].values() for r in runs}
 
-@pytest.mark.parametrize("step", ["write", "_tidy"])
+
+def test_upsert_writes_as_much_as_the_batch_holds(spark, tmp_path):
+    rows = _sessions_of(spark, 100_000, 50).coalesce(2)
+    table = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema)
+    table.apply(rows, "q", 0)
+    before, runs = _bytes(table), set(table.files.names("data"))
+    one_day = rows.where("unix_micros(session_start) div 86400000000 = 19725").coalesce(1).limit(1000).withColumn("event_count", F.lit(7).cast("long"))
+    assert table.apply(one_day, "q", 1) == {"inserted": 0, "updated": 1000, "rows": 100_000}
+    (new,) = set(table.files.names("data")) - runs
+    assert table.files.size(f"data/{new}") < 0.02 * before and table.files.names(f"data/{new}") == ["_SUCCESS", "day=19725"]
+    assert table.read().where("event_count = 7").count() == 1000 and table.read().count() == 100_000
+    plan = table.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and len(table.current()["days"]) == 51  # only the day of two runs is merged
+
+
+def test_upsert_equals_a_dict_after_many_batches(spark, tmp_path):
+    import random
+
+    rng, kind = random.Random(7), "user_id string, session_start timestamp, event_count long"
+    table = upsert.SessionTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], kind).schema)
+    model, most = {}, 0
+    for b in range(50):
+        batch = {(f"u{rng.randint(0, 30)}", T0 + dt.timedelta(days=b // 10 - rng.randint(0, 2), hours=rng.randint(0, 3))): rng.randint(0, 99) for _ in range(rng.randint(0, 12))}
+        got = table.apply(spark.createDataFrame([(*k, v) for k, v in batch.items()], kind).coalesce(1), "q", b)
+        assert got == {"inserted": len(batch.keys() - model.keys()), "updated": len(batch.keys() & model.keys()), "rows": len(model | batch)}
+        model |= batch
+        most = max(most, *map(len, table.current()["days"].values()), 0)
+    assert {(r.user_id, r.session_start): r.event_count for r in table.read().collect()} == model
+    assert table.read().count() == len(model) and most <= 2 * table.FAN and len(table.files.names("pointers")) == 2
+    assert set(table.files.names("data")) == _live(table)
+
+
+@pytest.mark.parametrize("step", ["_write", "_point", "_compact", "_tidy"])
 def test_upsert_survives_a_crash_at_any_step(spark, tmp_path, monkeypatch, step):
-    rows = sessions.sessions(clicks(spark, [(str(i), f"u{i}", 0, "/", "v") for i in range(9)]))
+    rows = _sessions_of(spark, 9, 1)
     table = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema)
-    table.apply(rows.limit(4), "q", 0)
+    for b in range(3):
+        table.apply(rows.where(f"event_count + substr(user_id, 2) <= {b + 3}").withColumn("event_count", F.lit(b).cast("long")), "q", b)
     before = upsert.fingerprint(table.read()).first()[0]
 
     def dies(*a):
         raise OSError("no more")
 
     with monkeypatch.context() as m:
-        m.setattr(table.files if step == "write" else table, step, dies)
+        m.setattr(table, step, dies)
         with pytest.raises(OSError):
-            table.apply(rows, "q", 1)
+            table.apply(rows, "q", 3)
     again = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema)
-    if step == "write":
+    if step in ("_write", "_point"):
         assert upsert.fingerprint(again.read()).first()[0] == before
-    assert again.apply(rows, "q", 1)["rows"] == 9 and again.read().drop("loaded_at").exceptAll(rows.select(again.read().drop("loaded_at").columns)).count() == 0
+    assert again.apply(rows, "q", 3)["rows"] == 9 and again.read().drop("loaded_at").exceptAll(rows.select(again.read().drop("loaded_at").columns)).count() == 0
+
+
+def test_upsert_survives_a_crash_inside_compaction(spark, tmp_path, monkeypatch):
+    rows = _sessions_of(spark, 6, 1)
+    table = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema)
+    for b in range(table.FAN - 1):
+        table.apply(rows.withColumn("event_count", F.lit(b).cast("long")), "q", b)
+    point, calls = table._point, []
+
+    def second_dies(pointer):
+        calls.append(pointer["n"])
+        if len(calls) == 2:
+            raise OSError("no more")
+        point(pointer)
+
+    with monkeypatch.context() as m:
+        m.setattr(table, "_point", second_dies)
+        with pytest.raises(OSError):
+            table.apply(rows.withColumn("event_count", F.lit(70).cast("long")), "q", 3)
+    assert [r.event_count for r in table.read().collect()] == [70] * 6 and table.current()["batchId"] == 3
+    table.ORPHAN_S = -1  # as if a day had gone by
+    table.apply(rows.withColumn("event_count", F.lit(71).cast("long")), "q", 4)
+    assert [r.event_count for r in table.read().collect()] == [71] * 6
+    assert len(next(iter(table.current()["days"].values()))) == 1 and set(table.files.names("data")) == _live(table)
+
+
+def test_upsert_lets_one_of_two_writers_win(spark, tmp_path, monkeypatch):
+    rows = _sessions_of(spark, 4, 1)
+    one, two = (upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema) for _ in range(2))
+    one.apply(rows, "q", 0)
+    stale = two.current(), two.pointers()
+    one.apply(rows.withColumn("event_count", F.lit(5).cast("long")), "q", 1)
+    with monkeypatch.context() as m:
+        m.setattr(two, "current", lambda: stale[0])
+        m.setattr(two, "pointers", lambda: stale[1])
+        with pytest.raises(upsert.Conflict):
+            two.apply(rows.withColumn("event_count", F.lit(6).cast("long")), "q", 1)
+    assert {r.event_count for r in one.read().collect()} == {5} and len(one.files.names("data")) == 2
+    # A pointer that is being written stops others; one that its writer left unfinished doesn't count.
+    (tmp_path / "t" / "pointers" / "9").write_text('{"n": 9, "par')
+    with pytest.raises(upsert.Conflict):
+        two.apply(rows, "q", 2)
+    two.TORN_S = one.TORN_S = -1
+    assert two.apply(rows, "q", 2)["updated"] == 4 and two.current()["n"] == 10 and two.current()["parent"] == 2
+    two.apply(rows, "q", 3)
+    assert two.files.names("pointers") == ["10", "11"]
 
 
 def test_fingerprint_follows_the_rows(spark):
