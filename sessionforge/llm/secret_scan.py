@@ -166,7 +166,7 @@ def _odds(findings: DataFrame, max_words: int) -> dict[str, float]:
 
 
 def train(findings: DataFrame, *, trees: int = 15, depth: int = 7, max_findings: int = 20_000, max_words: int = 150):
-    """A function from (before, candidate, after) to the probability of a secret."""
+    """A function from (before, candidate, after) to the probability of a secret; without a labelled secret it is 0 for all."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
@@ -176,6 +176,8 @@ def train(findings: DataFrame, *, trees: int = 15, depth: int = 7, max_findings:
     halves = chosen.select((F.pmod(order, F.lit(2)) == 0).alias("first"), text("before"), "candidate", text("after"), F.col("label").cast("double").alias("label"))
     odds = _odds(halves.where("first"), max_words)
     rows = halves.where("not first").select(features(F.col("before"), F.col("candidate"), F.col("after"), odds).alias("x"), "label").select("x.*", "label")
+    if rows.where("label > 0").isEmpty():
+        return lambda before, value, after: F.lit(0.0)
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("features", "label")
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="5", minInstancesPerNode=3).fit(ready)
     roots = [t._call_java("rootNode") for t in model.trees]

@@ -1,8 +1,8 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols (insult, threat, target, negation, reporting verb, quotation mark, colon, clause end, paragraph end, other). One
-transducer reads from the end and marks quotations that a reporting verb follows; then transducers for negation, reported speech and
-targets, composed into one, read from the start and weigh each match: directed at someone most, negated or reported least. Reported
+Words become symbols (insult, threat, target, negation, reporting verb, quotation mark, colon, clause end, paragraph end, other). Two
+transducers, composed into one, read from the end and mark quotations that a reporting verb follows and matches that a target follows; then
+transducers for negation, reported speech and targets, composed too, read from the start and weigh each match: directed at someone, on either side, most, negated or reported least. Reported
 speech goes on after a colon and over the clauses of a quotation until it closes or the paragraph ends; negation and target end with their clause. A
 document's score is the logistic of its heaviest clause and of the sum over its clauses, so no word counts by itself.
 
@@ -45,6 +45,10 @@ _MARKS = {**dict.fromkeys(".!?;", STOP), ":": COLON, "\n": BREAK, **dict.fromkey
 REACH = 5
 
 
+#: What a match becomes where a target follows it; small letters are reported.
+_AIMED = {"I": "J", "K": "L", "i": "j", "k": "l"}
+
+
 class Transducer:
     """step(state, symbol) -> (state, symbol, weight); weights of a composition multiply."""
 
@@ -71,13 +75,22 @@ def _reported_after(state, symbol: str):
     return 0 if symbol in "SCB" else max(state - 1, 0), symbol, 1.0
 
 
+def _followed(state: int, symbol: str):
+    """From the end: an insult or threat with a target up to four words after it in its clause is directed (J, L)."""
+    if symbol == "Y":
+        return 4, symbol, 1.0
+    if symbol in "SCB":
+        return 0, symbol, 1.0
+    return max(state - 1, 0), (_AIMED.get(symbol, symbol) if state else symbol), 1.0
+
+
 def _negation(state: int, symbol: str):
     """A negation holds for the next three words of its clause."""
     if symbol == "N":
         return 3, "o", 1.0
     if symbol in "SCB":
         return 0, symbol, 1.0
-    return max(state - 1, 0), symbol, 0.1 if state and symbol in "IKik" else 1.0
+    return max(state - 1, 0), symbol, 0.1 if state and symbol in "IKJLikjl" else 1.0
 
 
 def _reported(state: int, symbol: str):
@@ -88,23 +101,23 @@ def _reported(state: int, symbol: str):
         return {2: 3, 3: 0}.get(state, state), "o", 1.0
     if symbol in "SB":
         return (state if state == 3 and symbol == "S" else 0), symbol, 1.0
-    return state, symbol.upper() if symbol in "ik" else symbol, 0.2 if symbol in "ik" or state and symbol in "IK" else 1.0
+    return state, symbol.upper() if symbol in "ikjl" else symbol, 0.2 if symbol in "ikjl" or state and symbol in "IKJL" else 1.0
 
 
 def _directed(state: int, symbol: str):
-    """A target up to four words before makes an insult or threat heavier; a threat without one is slight."""
+    """A target up to four words before or after makes an insult or threat heavier; a threat without one is slight."""
     if symbol == "Y":
         return 4, "o", 1.0
-    if symbol == "I":
-        return state, "hit", 1.5 if state else 1.0
-    if symbol == "K":
-        return state, "hit", 2.0 if state else 0.3
+    if symbol in "IJ":
+        return state, "hit", 1.5 if state or symbol == "J" else 1.0
+    if symbol in "KL":
+        return state, "hit", 2.0 if state or symbol == "L" else 0.3
     if symbol in "SCB":
         return 0, "end", 1.0
     return max(state - 1, 0), "o", 1.0
 
 
-BACKWARD = Transducer(0, _reported_after)
+BACKWARD = Transducer(0, _reported_after).then(Transducer(0, _followed))
 GRAMMAR = Transducer(0, _negation).then(Transducer(0, _reported)).then(Transducer(0, _directed))
 _KINDS = {OTHER: "o", STOP: "S", QUOTE: "Q", TARGET: "Y", NEGATION: "N", REPORT: "R", COLON: "C", BREAK: "B"}
 

@@ -138,3 +138,72 @@ def test_registered_classes_and_scores(spark, sf, texts):
     assert set(scores) == set(texts) and all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for i, r in scores.items())
     assert {r.doc_id for r in queries.op4_pseudonyms(spark, sf).collect()} == set(texts)
     assert {r.doc_id for r in queries.op10_secrets(spark, sf).collect()} <= set(texts)
+
+
+def _weighed(text, lexicon):
+    """The weights of a text's clauses, each match looked at by itself in all its words."""
+    tokens = toxicity._TOKEN.findall(text.lower())
+    symbols = [lexicon.symbol(t) for t in tokens]
+    kinds = [lexicon.weights[s - toxicity.FIRST][0] if s >= toxicity.FIRST else toxicity._KINDS[s] for s in symbols]
+    quoted, reporting, inside, told = [False] * len(kinds), 0, False, [False] * len(kinds)
+    for i in range(len(kinds) - 1, -1, -1):  # quotations that a reporting verb follows
+        k = kinds[i]
+        if inside:
+            quoted[i] = True
+            inside = k not in "QB"
+            reporting = 0
+        elif k == "Q" and any(kinds[j] == "R" and not set(kinds[i + 1 : j]) & set("SCBQ") for j in range(i + 1, min(i + 5, len(kinds)))) and reporting:
+            inside = True
+        else:
+            reporting = 4 if k == "R" else 0 if k in "SCB" else max(reporting - 1, 0)
+    verb = quote = False
+    for i, k in enumerate(kinds):  # after a reporting verb, and in a quotation that it opens
+        told[i] = verb or quote
+        if k == "R":
+            verb = True
+        elif k == "Q":
+            verb, quote = (False, True) if verb and not quote else (False, False) if quote else (verb, quote)
+        elif k == "B" or k == "S" and not quote:
+            verb = quote = False
+    bounds = [-1, *[i for i, k in enumerate(kinds) if k in "SCB"], len(kinds)]
+    clauses = []
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        total = 0.0
+        for i in range(a + 1, b):
+            if kinds[i] in "IK":
+                aimed = "Y" in kinds[max(a + 1, i - 4) : i] + kinds[i + 1 : min(b, i + 5)]
+                w = (1.5 if aimed else 1.0) if kinds[i] == "I" else (2.0 if aimed else 0.3)
+                w *= 0.1 if "N" in kinds[max(a + 1, i - 3) : i] else 1.0
+                total += w * (0.2 if told[i] or quoted[i] else 1.0) * lexicon.weights[symbols[i] - toxicity.FIRST][1]
+        clauses.append(total)
+    return clauses
+
+
+def test_targets_count_on_either_side():
+    weigh = lambda t: toxicity.features([t], toxicity.Lexicon(), {})[0, 0]
+    assert weigh("i will kill you") == 2.0 > weigh("such an idiot") == 1.0 > weigh("kill time") == 0.3
+    assert weigh("such an idiot you are") == weigh("you are such an idiot") == 1.5
+    assert weigh("kill time. you and me") == weigh("kill one two three four you") == 0.3
+    assert weigh('"i will kill you", she said') == weigh("she said i will kill you") == pytest.approx(0.4)
+    assert weigh("i will not kill you") == pytest.approx(0.2)
+
+
+def test_registered_toxicity_equals_matches_weighed_one_by_one(spark, sf, texts):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    learned, (w0, w1, w2) = toxicity.learn(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    lexicon = toxicity.Lexicon(learned)
+    made = ['he said: "you idiot. you are stupid!" and left. you moron', '"kill you", he wrote, not you, idiot "so stupid" said she "kill"', "no idiot you: kill them\nthey said\nyou loser, kill", 'a "b said "idiot" said you']
+    for t in made + list(texts.values()):
+        assert max(_weighed(t, lexicon)) == pytest.approx(toxicity.features([t], lexicon, {})[0, 0]), t[:200]
+    for r in queries.op2_toxicity(spark, sf).collect():
+        clauses = _weighed(texts[r.doc_id], lexicon)
+        assert r.heaviest == pytest.approx(max(clauses)) and r.together == pytest.approx(np.log1p(sum(clauses)))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(w0 + w1 * r.heaviest + w2 * r.together))))
+
+
+def test_forest_without_labelled_secrets_keeps_nothing(spark):
+    kind = "before string, candidate string, after string, label int"
+    docs = spark.createDataFrame([(1, "password = hunter2hunter2X9")], "doc_id long, text string")
+    for findings in ([], [("password = ", f"hunter{i}hunter", "", 0) for i in range(20)]):
+        forest = secret_scan.train(spark.createDataFrame(findings, kind))
+        assert secret_scan.scan(docs, forest).count() == 0 and secret_scan.redact(docs, forest).first().text == "password = hunter2hunter2X9"
