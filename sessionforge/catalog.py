@@ -11,7 +11,7 @@ from sessionforge.operators import generator, latency, partitions, scoring, upse
 from sessionforge.operators import sessions as S
 from sessionforge.plans import repro, sweeps
 from sessionforge.schema import parse, parse_failures, seconds_between
-from sessionforge.sources.files import shared_folder, to_json_lines, write_flush
+from sessionforge.sources.files import shared_folder, staged, to_json_lines, write_flush
 from sessionforge.streaming import job, progress, recovery
 
 GAP, WIN = "6 hours", "purchase"
@@ -144,7 +144,8 @@ def _means(table: str) -> str:
 
 @_query("feature_bias", f"{_W}{_sessions_sql(GAP)}, {_TRUTH.split(', th as', 1)[1].join(['th as', ''])}, mt as ({_means('th')}), ms as ({_means('s')}) select feature, round(mt.m, 4) as truth, round(ms.m, 4) as recovered, round(ms.m / nullif(mt.m, 0), 4) as ratio from mt join ms using (feature)")
 def _(spark, d):
-    return scoring.feature_bias(clicks(spark, d), _built(spark, d), WIN)
+    once = staged(S.dedupe(clicks(spark, d)), "once")
+    return scoring.feature_bias(once, S.split_sessions(once, GAP, WIN), WIN, deduped=True)
 
 
 def _qc(expr: str, source: str, more: str = "") -> str:

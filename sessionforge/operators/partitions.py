@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionforge.functions.partitioners import crc32_partition, murmur2_partition
+from sessionforge.operators.running import PER_SLICE, running_max
 
 
 def user_counts(events: DataFrame) -> DataFrame:
@@ -49,16 +50,16 @@ def top_k_share(events: DataFrame, k: int = 50) -> DataFrame:
     return counts.agg(F.sum("events").alias("all")).crossJoin(top).select("k", F.round(F.try_divide("top", "all"), 4).alias("share"))
 
 
-def gap_misses(events: DataFrame, gap_s: float = 1800.0) -> DataFrame:
+def gap_misses(events: DataFrame, gap_s: float = 1800.0, per_slice: int = PER_SLICE) -> DataFrame:
     """Visits (first rows of a hint, in order of arrival) and those that the gap rule does not see.
 
     The rule compares with the user's newest event so far, so an older late one never moves it back.
     """
-    order = Window.partitionBy("user_id").orderBy("ingest_ts", "event_id")
-    newest = F.max("event_ts").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    seen = events.select("user_id", "event_id", "ingest_ts", "event_ts", "session_hint", newest.alias("newest"), F.row_number().over(Window.partitionBy("user_id", "session_hint").orderBy("ingest_ts", "event_id")).alias("n"))
-    says_new = F.col("newest").isNull() | (F.unix_micros("event_ts") - F.unix_micros("newest") > int(gap_s * 1e6))
-    return seen.where("n = 1").agg(F.count(F.lit(1)).alias("visits"), F.count_if(~says_new).alias("missed"), F.round(F.try_divide(F.count_if(~says_new), F.count(F.lit(1))), 4).alias("miss_rate"))
+    rows = events.select("user_id", "session_hint", "event_id", F.unix_micros("ingest_ts").alias("i"), F.unix_micros("event_ts").alias("e"))
+    seen = running_max(rows, ("i", "event_id"), "e", "user_id", per_slice)
+    says_new = F.col("before").isNull() | (F.col("e") - F.col("before") > int(gap_s * 1e6))
+    visits = seen.groupBy("user_id", "session_hint").agg(F.min_by(says_new, F.struct("i", "event_id")).alias("new"))
+    return visits.agg(F.count(F.lit(1)).alias("visits"), F.count_if(~F.col("new")).alias("missed"), F.round(F.try_divide(F.count_if(~F.col("new")), F.count(F.lit(1))), 4).alias("miss_rate"))
 
 
 def session_shape(events: DataFrame, conversion: str = "checkout") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionforge.functions.durations import seconds
+from sessionforge.operators.running import PER_SLICE, running_max
 from sessionforge.schema import CONVERSION, micros, seconds_between
 
 
@@ -51,8 +53,27 @@ def derive(flat: DataFrame) -> DataFrame:
     return flat.withColumn("bounce", F.when((F.col("page_depth") == 1) & (F.col("event_count") == 1), 1).otherwise(0))
 
 
-def build_batch(events: DataFrame, gap: str = "30 minutes", conversion: str = CONVERSION) -> DataFrame:
-    return sessions(dedupe(events), gap, conversion)
+def split_sessions(events: DataFrame, gap: str | Column = "30 minutes", conversion: str = CONVERSION, piece: str = "1 hour") -> DataFrame:
+    """The rows of ``sessions`` for batches, in two levels, so that a user with very many events fills no task.
+
+    The sessions of each (user, ``piece`` of time) come first, with features that can be merged: counts, sets of pages, first and last event. Then
+    those of one user that touch or overlap are stitched by their own windows; these are few, as a user has at most one more for each piece than sessions.
+    """
+    width = int(seconds(piece) * 1e6)
+    part = events.groupBy("user_id", F.expr(f"unix_micros(event_ts) div {width}").alias("piece"), F.session_window("event_ts", gap).alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set("page").alias("pages"), F.min("event_ts").alias("first"), F.max("event_ts").alias("last"), F.max(F.when(F.col("event_type") == conversion, 1).otherwise(0)).alias("won")
+    )
+    span = F.concat((micros(F.col("w.end")) - micros(F.col("w.start"))).cast("string"), F.lit(" microseconds"))
+    whole = part.select("user_id", F.col("w.start").alias("begin"), span.alias("span"), "n", "pages", "first", "last", "won").groupBy("user_id", F.session_window("begin", F.col("span")).alias("sw")).agg(
+        F.sum("n").alias("event_count"), F.size(F.array_distinct(F.flatten(F.collect_set("pages")))).cast("long").alias("page_depth"),
+        ((F.max(micros(F.col("last"))) - F.min(micros(F.col("first")))) / 1e6).alias("duration_s"), F.max("won").alias("converted"),
+    )
+    flat = whole.select("user_id", F.col("sw.start").alias("session_start"), F.col("sw.end").alias("session_end"), "event_count", "page_depth", "duration_s", "converted")
+    return derive(flat.withColumn("window_span_s", seconds_between(F.col("session_start"), F.col("session_end"))))
+
+
+def build_batch(events: DataFrame, gap: str | Column = "30 minutes", conversion: str = CONVERSION) -> DataFrame:
+    return split_sessions(dedupe(events), gap, conversion)
 
 
 def build_stream(events: DataFrame, gap: str = "30 minutes", watermark: str = "2 minutes", conversion: str = CONVERSION) -> DataFrame:
@@ -60,16 +81,8 @@ def build_stream(events: DataFrame, gap: str = "30 minutes", watermark: str = "2
     return sessions(dedupe_streaming(events.withWatermark("event_ts", watermark)), gap, conversion)
 
 
-def late_admission(events: DataFrame, gap_s: float, watermark_s: float) -> DataFrame:
-    """Rows whose own window had closed when they arrived: event_ts + gap before the watermark of all earlier arrivals.
-
-    The running maximum is per time slice first, so no task orders the whole stream.
-    """
-    from pyspark.sql import Window
-
-    rows = events.select("event_id", micros(F.col("event_ts")).alias("e"), micros(F.col("ingest_ts")).alias("i")).withColumn("slice", F.floor(F.col("i") / F.lit(3_600_000_000)))
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # one row a slice
-    tops = rows.groupBy("slice").agg(F.max("e").alias("top")).withColumn("top", F.max("top").over(before))
-    within = Window.partitionBy("slice").orderBy("i", "event_id", "e").rowsBetween(Window.unboundedPreceding, -1)
-    seen = rows.join(tops, "slice").withColumn("mark", F.greatest("top", F.max("e").over(within)) - int(watermark_s * 1e6))
-    return seen.where(F.col("e") + int(gap_s * 1e6) < F.col("mark")).select("event_id")
+def late_admission(events: DataFrame, gap_s: float, watermark_s: float, per_slice: int = PER_SLICE) -> DataFrame:
+    """Rows whose own window had closed when they arrived: event_ts + gap before the watermark of all earlier arrivals."""
+    rows = events.select("event_id", micros(F.col("event_ts")).alias("e"), micros(F.col("ingest_ts")).alias("i"))
+    seen = running_max(rows, ("i", "event_id", "e"), "e", per_slice=per_slice)
+    return seen.where(F.col("e") + int(gap_s * 1e6) < F.col("before") - int(watermark_s * 1e6)).select("event_id")

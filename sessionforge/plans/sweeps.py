@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sessionforge.functions.durations import emission_floor
 from sessionforge.operators.scoring import scorecard, without_sentinel
-from sessionforge.operators.sessions import build_batch, dedupe, sessions
+from sessionforge.operators.sessions import build_batch, dedupe, split_sessions
 from sessionforge.operators.upsert import SessionTable, fingerprint
 from sessionforge.sources.files import Files, staged
 from sessionforge.streaming.job import Stopping, pipeline, start, upsert_sink
@@ -26,7 +26,7 @@ def gap_sweep(events: DataFrame, gaps, watermark: str = "2 minutes", conversion:
     once = staged(dedupe(events), "once")
     rows = []
     for gap in gaps:
-        card = scorecard(events, sessions(once, gap, conversion))
+        card = scorecard(events, split_sessions(once, gap, conversion))
         rows.append(card.select(F.lit(gap).alias("gap"), F.lit(emission_floor(gap, watermark)).alias("floor_s"), "recovered", "merged", "boundaries_lost", "split", "boundary_miss_rate", "split_rate"))
     return reduce(DataFrame.unionByName, rows)
 

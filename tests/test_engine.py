@@ -11,10 +11,10 @@ import __spark_entry__ as entry
 from sessionforge import catalog
 from sessionforge.functions import durations
 from sessionforge.functions.partitioners import crc32_partition, murmur2_partition
-from sessionforge.operators import generator, latency, partitions, scoring, sessions, upsert
+from sessionforge.operators import generator, latency, partitions, running, scoring, sessions, upsert
 from sessionforge.plans import repro, sweeps
 from sessionforge.schema import parse, parse_failures, quarantine
-from sessionforge.sources.files import Files, read_file_stream
+from sessionforge.sources.files import Files, read_file_stream, staged
 from sessionforge.streaming import job, progress, recovery
 
 T0 = dt.datetime(2024, 1, 1)
@@ -74,6 +74,65 @@ def test_half_open_windows(spark):
     assert [r.session_start for r in scoring.attach(rows, windows).collect()] == [T0 + dt.timedelta(seconds=1800)]
 
 
+def _uneven(spark, n=20_000, days=30):
+    """Half of all events by one user over a month, the rest by a thousand; a burst of a tenth of them in one minute."""
+    hot = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 1000).cast("string")))
+    at = F.when(F.col("id") % 10 == 0, F.pmod(F.xxhash64("id"), F.lit(60_000_000))).otherwise(F.pmod(F.xxhash64("id"), F.lit(days * 86_400_000_000))) + 1_704_067_200_000_000
+    e = spark.range(n).select(F.col("id").cast("string").alias("event_id"), hot.alias("user_id"), F.timestamp_micros(at).alias("event_ts"), F.concat(F.lit("/p"), (F.col("id") % 7).cast("string")).alias("page"), F.lit("view").alias("event_type"), F.concat(hot, (at / 7_200_000_000).cast("int").cast("string")).alias("session_hint"))
+    return e.withColumn("ingest_ts", F.timestamp_micros(F.unix_micros("event_ts") + F.when(F.col("event_id").cast("long") % 9 == 0, 3_600_000_000).otherwise(0)))
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """No broadcasts and no plan of its own at run time: what a task gets is what the keys give it."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for k, v in zip(held, ("false", "-1", "16"), strict=True):
+        spark.conf.set(k, v)
+    yield
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("gap, piece", [("30 minutes", "1 hour"), ("2 hours", "1 hour"), ("1 day", "10 minutes"), ("1 second", "7 days")])
+def test_sessions_in_two_levels_equal_those_in_one(spark, gap, piece):
+    rows = _uneven(spark, 4000)
+    one, two = sessions.sessions(rows, gap, "view"), sessions.split_sessions(rows, gap, "view", piece)
+    assert one.exceptAll(two.select(one.columns)).count() == 0 and one.count() == two.count()
+
+
+def test_stitched_sessions_merge_their_page_sets(spark):
+    rows = clicks(spark, [("1", "a", 3590, "/", "view"), ("2", "a", 3610, "/", "checkout"), ("3", "a", 3620, "/x", "view"), ("4", "a", 5399, None, "view"), ("5", "a", 7199, "/y", "view"), ("6", "a", 9000, "/z", "view")])
+    got = sorted((r.event_count, r.page_depth, r.converted, r.bounce, r.duration_s) for r in sessions.split_sessions(rows).collect())
+    assert got == [(1, 1, 0, 1, 0.0), (5, 3, 1, 0, 3609.0)]
+
+
+def test_a_hot_user_fills_no_task(spark, plain_joins):
+    rows = staged(_uneven(spark), "uneven")
+    built = staged(sessions.split_sessions(rows, "30 minutes"), "built")
+    joined = scoring.attach(rows, built)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 0.25 * sum(sizes)  # by user it was over half
+    plain = rows.join(built.withColumnRenamed("user_id", "o"), (F.col("o") == F.col("user_id")) & (F.col("event_ts") >= F.col("session_start")) & (F.col("event_ts") < F.col("session_end")), "left").select(*rows.columns, "session_start", "session_end")
+    assert joined.select(plain.columns).exceptAll(plain).count() == 0 and plain.count() == 20_000
+    pieces = rows.groupBy("user_id", F.expr("unix_micros(event_ts) div 3600000000")).count()
+    assert pieces.agg(F.max("count")).first()[0] < 0.15 * 20_000
+
+
+@pytest.mark.parametrize("per_slice", [700, 10**6])
+def test_running_maxima_by_slices(spark, per_slice):
+    from pyspark.sql import Window
+
+    rows = staged(_uneven(spark), "uneven").select("event_id", "user_id", F.unix_micros("ingest_ts").alias("i"), F.unix_micros("event_ts").alias("e"))
+    rows = rows.union(rows.where("event_id = '4'").withColumn("user_id", F.lit(None).cast("string")))
+    for group in (None, "user_id"):
+        got = running.running_max(rows, ("i", "event_id", "e"), "e", group, per_slice)
+        w = Window.partitionBy(*([group] if group else [])).orderBy("i", "event_id", "e").rowsBetween(Window.unboundedPreceding, -1)
+        want = rows.withColumn("before", F.max("e").over(w))
+        assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+        sizes = [r["count"] for r in got.groupBy("slice").count().collect()]
+        assert max(sizes) <= 2 * per_slice and (len(sizes) == 1) == (per_slice > 20_001)
+
+
 def test_latency(spark):
     rows = clicks(spark, [("1", "a", 0, "/", "v", "h", 0), ("2", "a", 10, "/", "v", "h", 10), ("3", "a", 20, "/", "v", "h", 100), ("4", "a", 30, "/", "v", "h", 5)])
     r = latency.ingest_lag(rows).first()
