@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionforge.fixtures import CLICKS_SQL, clicks
 from sessionforge.functions.partitioners import crc32_partition, murmur2_partition
-from sessionforge.operators import generator, latency, partitions, scoring, upsert
+from sessionforge.operators import latency, partitions, scoring, upsert
 from sessionforge.operators import sessions as S
 from sessionforge.plans import repro, sweeps
 from sessionforge.schema import parse, parse_failures, seconds_between
-from sessionforge.sources.files import shared_folder, staged, to_json_lines, write_flush
+from sessionforge.sources.files import read_file_stream, shared_folder, staged, to_json_lines, write_flush
 from sessionforge.streaming import job, progress, recovery
 
 GAP, WIN = "6 hours", "purchase"
@@ -332,8 +333,6 @@ def _shards(spark, d) -> str:
 
 
 def _streamed(spark, d):
-    from sessionforge.sources.files import read_file_stream
-
     out, cp = shared_folder(spark, "sessions"), shared_folder(spark, "checkpoint")
     stream = job.pipeline(read_file_stream(spark, _shards(spark, d)), GAP, "2 minutes", WIN)
     _, batches = progress.watched(spark, lambda: job.start(stream, cp, out=out))
@@ -345,43 +344,139 @@ def _(spark, d):
     return _out(scoring.without_sentinel(_streamed(spark, d)[0]))
 
 
-@_query("watermark_sweep", " union all ".join(f"select * from (with {_CLICKS_MS}, {_sessions_sql(g)} select '{w}' as watermark, '{g}' as gap, count(*) as sessions, sum(event_count)::bigint as events, 0::bigint as dropped_by_window, 0::bigint as dropped_by_dedupe from s)" for w, g in (("2 minutes", "6 hours"), ("10 seconds", "1 day"))))
+#: The clicks in ten files by three days of arrival; every 53rd event comes one file later, every 59th two.
+_FILE = "least(9, (unix_micros(ingest_ts) - 1704067200000000) div 259200000000 + case when cast(event_id as bigint) % 59 = 0 then 2 when cast(event_id as bigint) % 53 = 0 then 1 else 0 end)"
+
+
+def _late_shards(spark, d) -> str:
+    """Files that are read in the order of their numbers, one a trigger, and the flush row after them."""
+    folder = shared_folder(spark, "late")
+    c = staged(clicks(spark, d).withColumn("file", F.expr(_FILE)), "arrivals")
+    for n in range(10):
+        to_json_lines(c.where(F.col("file") == n)).coalesce(1).write.mode("append").text(folder)
+    write_flush(spark, folder)
+    return folder
+
+
+_RUNS: dict[tuple, tuple] = {}
+
+
+def _late_run(spark, d, multiple: bool = True):
+    """(checkpoint, progress documents) of a run over the late files; once for each application and table."""
+    key = spark.sparkContext.applicationId, d, multiple
+    if key not in _RUNS:
+        out, cp, allow = shared_folder(spark, "sessions"), shared_folder(spark, "checkpoint"), "spark.sql.streaming.statefulOperator.allowMultiple"
+        usual = spark.conf.get(allow)
+        spark.conf.set(allow, str(multiple).lower())
+        try:
+            stream = job.pipeline(read_file_stream(spark, _late_shards(spark, d), 1), GAP, "2 minutes", WIN)
+            _, batches = progress.watched(spark, lambda: job.start(stream, cp, out=out))
+        finally:
+            spark.conf.set(allow, usual)
+        _RUNS[key] = cp, batches
+    return _RUNS[key]
+
+
+def _late_sql(delay_s: int, back: int = 2, clicks_ms: str = "") -> str:
+    """arrivals: the clicks as they come, with ``late``: at or before the watermark that filters their batch. It follows the newest event of all batches up to ``back`` before."""
+    file = _FILE.replace("unix_micros", "epoch_us").replace(" div ", " // ")
+    return f"""{clicks_ms or _CLICKS_MS}, came as (select *, {file} as file from clicks), tops as (select file, max(event_ts) as top from came group by file),
+marks as (select file, max(top) over (order by file rows between unbounded preceding and {back} preceding) - interval '{delay_s} seconds' as mark from tops),
+arrivals as (select c.*, coalesce(c.event_ts <= m.mark, false) as late from came c join marks m using (file)), kept as (select * exclude (file, late) from arrivals where not late)"""
+
+
+def _kept_sessions_sql(gap: str) -> str:
+    return _sessions_sql(gap).replace("from clicks", "from kept")
+
+
+_SWEEP = (("2 minutes", 120, "6 hours"), ("10 seconds", 10, "1 day"), ("1 day", 86_400, "6 hours"))
+
+
+@_query("watermark_sweep", " union all ".join(f"""select * from (with {_late_sql(s)}, {_kept_sessions_sql(g)} select '{w}' as watermark, '{g}' as gap, (select count(*) + 1 from arrivals) as input_rows, count(*) as sessions, sum(event_count)::bigint as events,
+  0::bigint as dropped_by_window, (select count(*) from arrivals where late) as dropped_by_dedupe, 1 + (select count(distinct event_id) from kept where event_ts + interval '{2 * s} seconds' > (select max(event_ts) from came) + interval '72 hours') as dedupe_state_rows from s)""" for w, s, g in _SWEEP))
 def _(spark, d):
-    """All files come as one batch, so nothing is late."""
-    from sessionforge.sources.files import read_file_stream
+    """Runs over files of which some events come too late, one file a batch."""
+    shards = _late_shards(spark, d)
+    return sweeps.watermark_sweep(lambda: read_file_stream(spark, shards, 1), tuple((w, g) for w, _, g in _SWEEP), shared_folder(spark, "watermarks"), WIN)
+
+
+def _drops_sql(back: int) -> str:
+    return f"with {_late_sql(120, back)} select 'dedupeWithinWatermark' as operator, count(*) filter (late) as dropped, 1::bigint as state_rows from arrivals union all select 'sessionWindowStateStoreSaveExec', 0, 1"
 
-    shards = _shards(spark, d)
-    return sweeps.watermark_sweep(lambda: read_file_stream(spark, shards), (("2 minutes", "6 hours"), ("10 seconds", "1 day")), shared_folder(spark, "watermarks"), WIN)
+
+def _drops(spark, d, multiple: bool) -> DataFrame:
+    got = progress.operators(progress.frame(spark, _late_run(spark, d, multiple)[1]))
+    return got.select(F.col("operatorName").alias("operator"), "dropped", "state_rows")
+
+
+@_query("operator_drops", _drops_sql(2))
+def _(spark, d):
+    """A batch is filtered by the watermark of the batch before it."""
+    return _drops(spark, d, True)
 
 
-@_query("checkpoint_state")
+@_query("operator_drops_same_batch", _drops_sql(1))
 def _(spark, d):
-    return recovery.checkpoint_state(spark, _streamed(spark, d)[1])
+    """As it is where only one stateful operator is allowed for: a batch is filtered by its own watermark."""
+    return _drops(spark, d, False)
 
 
-@_query("source_offsets")
+@_query("checkpoint_state", f"with {_late_sql(120)} select count(distinct file) + 1 as last_planned, count(distinct file) + 1 as last_committed, 0::int as uncommitted, count(distinct file) + 2 as next_batch from came")
 def _(spark, d):
-    return recovery.source_offsets(spark, _streamed(spark, d)[1])
+    """A batch for each file, one for the flush row, one more that closes what it leaves."""
+    return recovery.checkpoint_state(spark, _late_run(spark, d)[0]).withColumn("uncommitted", F.size("uncommitted"))
 
 
-@_query("operator_drops")
+@_query("source_offsets", f"with {_late_sql(120)}, n as (select count(distinct file) as files from came) select b::bigint as batch, 0::int as source, concat('{{\"logOffset\":', least(b, files), '}}') as offset from n, range(12) r(b) where b <= files + 1")
 def _(spark, d):
-    return progress.operators(_streamed(spark, d)[2])
+    return recovery.source_offsets(spark, _late_run(spark, d)[0])
+
+
+@_query("quarantined", f"with {CLICKS_SQL} select event_id, user_id, 'event_ts' as reason from clicks where cast(event_id as bigint) % 50 = 7 union all select null, null, 'document' from clicks where cast(event_id as bigint) % 71 = 3")
+def _(spark, d):
+    """Refused documents, after a stop between the sessions' sink and theirs."""
+    folder, where = shared_folder(spark, "mixed"), shared_folder(spark, "two-sinks")
+    broken = clicks(spark, d).where("cast(event_id as long) % 71 = 3").select(F.lit("not json").alias("value"))
+    _lines(spark, d).unionByName(broken).write.text(folder)
+    rows = job.pipeline_with_refused(read_file_stream(spark, folder), GAP, "2 minutes", WIN)
+    table = upsert.SessionTable(spark, f"{where}/table", rows.select("session.*").schema)
+    known = lambda: recovery.query_id(spark, f"{where}/cp")
+    to_table = job.upsert_sink(table, query_id=known)
+    aside = job.refused_sink(spark, f"{where}/refused", known)
+    try:
+        job.start(rows, f"{where}/cp", sink=job.both_sinks(job.Stopping(to_table, 0, "after-merge"), aside)).awaitTermination()
+    except StreamingQueryException:
+        pass  # the planned stop
+    job.start(rows, f"{where}/cp", sink=job.both_sinks(to_table, aside)).awaitTermination()
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return job.read_refused(spark, f"{where}/refused").select(field("event_id"), field("user_id"), "reason")
 
 
 @_query("batch_latency")
 def _(spark, d):
-    return progress.batch_latency(_streamed(spark, d)[2])
+    return progress.batch_latency(progress.frame(spark, _late_run(spark, d)[1]))
+
+
+def _unflushed(spark, d) -> str:
+    """The checkpoint of a run that ends with its input: what the watermark hasn't passed stays open."""
+    folder, cp = shared_folder(spark, "open"), shared_folder(spark, "checkpoint")
+    to_json_lines(clicks(spark, d)).write.text(folder)
+    job.start(job.pipeline(read_file_stream(spark, folder), GAP, "2 minutes", WIN), cp, out=shared_folder(spark, "sessions")).awaitTermination()
+    return cp
+
+
+_MARK = "(select max(event_ts) - interval '2 minutes' from clicks)"
 
 
-@_query("generated_events")
+@_query("open_sessions", f"with {_CLICKS_MS}, {_sessions_sql(GAP)} select user_id, epoch_us(session_start) as session_start_us, epoch_us(session_end) as session_end_us, event_count from s where session_end > {_MARK}")
 def _(spark, d):
-    return generator.events(spark, rate=100, seconds=300, users=2000)
+    held = recovery.open_sessions(spark, _unflushed(spark, d))
+    return held.select("user_id", F.unix_micros("session_start").alias("session_start_us"), F.unix_micros("session_end").alias("session_end_us"), "event_count")
 
 
-@_query("generator_statistics")
+@_query("remembered_events", f"with {_CLICKS_MS}, {_dedupe()} select event_id, epoch_us(event_ts) + 120000000 as expires_us from d where event_ts + interval '2 minutes' > {_MARK}")
 def _(spark, d):
-    return generator.statistics(generator.all_events(spark, rate=100, seconds=300, users=2000))
+    return recovery.remembered_events(spark, _unflushed(spark, d))
 
 
 #: name, kind and SQL of the figures that are taken once from the clicks and once, without repeated events, from their wire form.

@@ -40,6 +40,14 @@ def population(spark: SparkSession, users: int, alpha: float = 1.0, seed: int =
     return spark.range(users).select(F.lower(ids).alias("user_id"), "id", F.pow(F.col("id") + 1.0, F.lit(-float(alpha))).alias("weight"))
 
 
+def total_weight(users: int, alpha: float, head: int = 64) -> float:
+    """The sum of i to the power -alpha for i from 1 to ``users``: the first terms one by one, the rest by Euler and Maclaurin to some ten digits."""
+    m = min(users, head)
+    first = math.fsum(i**-alpha for i in range(1, m + 1))
+    area = math.log(users / m) if alpha == 1 else (users ** (1 - alpha) - m ** (1 - alpha)) / (1 - alpha)
+    return first + area + (users**-alpha - m**-alpha) / 2 + alpha * (m ** (-alpha - 1) - users ** (-alpha - 1)) / 12
+
+
 def _arrivals(people: DataFrame, total: Column, visits: float, seed: int) -> DataFrame:
     """id, user_id, visit: each user's share of the arrivals, the fraction by chance."""
     share = F.col("weight") / total * visits
@@ -54,7 +62,7 @@ def visits(spark: SparkSession, *, rate: float, seconds: float, users: int, alph
     if pool > users // 2:
         raise ValueError(f"a pool of {pool} is more than half of the population of {users}")
     people = population(spark, users, alpha, population_seed)
-    total = F.lit(sum((i + 1.0) ** -alpha for i in range(users)) if users <= 100_000 else math.log(users) + 0.5772 if alpha == 1 else (users ** (1 - alpha) - 1) / (1 - alpha) + 1)
+    total = F.lit(total_weight(users, alpha))
     mean = visit_events * math.exp(visit_sigma**2 / 2)
     each = _arrivals(people, total, rate * seconds / mean, seed)
     size = F.greatest(F.floor(F.exp(normal(seed, F.lit("size"), "id", "visit") * visit_sigma + math.log(visit_events))), F.lit(1)).cast("int")

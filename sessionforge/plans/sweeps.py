@@ -53,7 +53,7 @@ def sweep_results(spark: SparkSession, results: str) -> DataFrame:
 
 
 def watermark_sweep(raw, combos, folder: str, conversion: str = "checkout") -> DataFrame:
-    """watermark, gap, sessions, events, dropped rows of the session window and of dedupe, each combination a streaming run with a checkpoint of its own. ``raw()`` opens the stream."""
+    """One row for each (watermark, gap), a streaming run with a checkpoint of its own: input rows, sessions and their events, rows that the session window and dedupe dropped as late, ids that dedupe holds at the end. ``raw()`` opens the stream."""
     out = []
     for i, (watermark, gap) in enumerate(combos):
         stream = pipeline(raw(), gap, watermark, conversion)
@@ -61,11 +61,11 @@ def watermark_sweep(raw, combos, folder: str, conversion: str = "checkout") -> D
         _, batches = watched(spark, lambda: start(stream, f"{folder}/cp{i}", out=f"{folder}/out{i}"))  # noqa: B023
         progress = frame(spark, batches)
         rows = without_sentinel(spark.read.schema(stream.schema).parquet(f"{folder}/out{i}"))
-        dropped = F.coalesce(F.sum("dropped"), F.lit(0)).alias("dropped")
-        late = operators(progress)
-        of = lambda name: late.where(F.col("operatorName").rlike(f"(?i){name}")).agg(dropped)  # noqa: E731,B023
         got = rows.agg(F.count(F.lit(1)).alias("sessions"), F.coalesce(F.sum("event_count"), F.lit(0)).alias("events"))
-        out.append(got.crossJoin(of("sessionWindow").withColumnRenamed("dropped", "dropped_by_window")).crossJoin(of("dedupe").withColumnRenamed("dropped", "dropped_by_dedupe")).select(F.lit(watermark).alias("watermark"), F.lit(gap).alias("gap"), "*"))
+        of = lambda name, what: F.coalesce(F.sum(F.when(F.col("operatorName").rlike(f"(?i){name}"), F.col(what))), F.lit(0))
+        late = operators(progress).agg(of("sessionWindow", "dropped").alias("dropped_by_window"), of("dedupe", "dropped").alias("dropped_by_dedupe"), of("dedupe", "state_rows").alias("dedupe_state_rows"))
+        read = progress.agg(F.coalesce(F.sum("numInputRows"), F.lit(0)).alias("input_rows"))
+        out.append(read.crossJoin(got).crossJoin(late).select(F.lit(watermark).alias("watermark"), F.lit(gap).alias("gap"), "*"))  # three single rows
     return reduce(DataFrame.unionByName, out)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,12 @@ def parse(raw: DataFrame, column: str = "value") -> DataFrame:
     return cast_times(raw.select(F.from_json(F.col(column).cast("string"), EVENT_SCHEMA).alias("e")).select("e.*"))
 
 
+def parse_keeping(raw: DataFrame, column: str = "value") -> DataFrame:
+    """As ``parse``, with the document itself in ``value``."""
+    text = F.col(column).cast("string")
+    return cast_times(raw.select(text.alias("value"), F.from_json(text, EVENT_SCHEMA).alias("e")).select("value", "e.*"))
+
+
 def parse_failures(events: DataFrame) -> DataFrame:
     """Rows without a readable event or ingest time."""
     return events.where("event_ts is null or ingest_ts is null")
@@ -50,3 +58,11 @@ def usable_row() -> Column:
 def quarantine(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, refused)."""
     return events.where(usable_row()), events.where(~usable_row())
+
+
+def refused(events: DataFrame) -> DataFrame:
+    """(value, reason) of the rows of ``parse_keeping`` that can't be used: the first field that is missing or can't be read, or ``document`` where none can."""
+    needed = [f.name for f in EVENT_SCHEMA.fields if not f.nullable]
+    none = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in needed])
+    reason = reduce(lambda found, c: found.when(F.col(c).isNull(), c), needed, F.when(none, "document"))
+    return events.where(~usable_row()).select("value", reason.alias("reason"))

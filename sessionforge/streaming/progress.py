@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from sessionforge.sources.files import Files
+
 SCHEMA = "batchId long, numInputRows long, durationMs map<string, long>, stateOperators array<struct<operatorName: string, numRowsTotal: long, memoryUsedBytes: long, numRowsDroppedByWatermark: long, customMetrics: map<string, long>>>, observedMetrics struct<parsed: struct<rows: long, refused: long>>"
 
 
@@ -35,13 +37,48 @@ class Progress(StreamingQueryListener):
             self._ended.add(str(event.runId))
             self._told.notify_all()
 
-    def of(self, query, seconds: float = 60) -> list[str]:
-        """All batches of a query that has ended. Its events come in order, but later than its end: the last of them is waited for."""
+    def wait(self, query, seconds: float = 60) -> None:
+        """Events come in order, but later than the end of their query: its own end is waited for."""
         run = str(query.runId)
         with self._told:
             if not self._told.wait_for(lambda: run in self._ended, seconds):
                 raise TimeoutError(f"the end of run {run} was not told within {seconds} seconds")
-            return list(self._batches.get(run, []))
+
+    def of(self, query, seconds: float = 60) -> list[str]:
+        """All batches of a query that has ended."""
+        self.wait(query, seconds)
+        return list(self._batches.get(str(query.runId), []))
+
+
+class ProgressLog(Progress):
+    """Appends every batch to ``<folder>/<run>/<batch>.json`` and keeps none in memory; ``history`` reads what all runs have left.
+
+    After ``many`` files of a run these become one. They go only when that one stands, so a stop between leaves a batch twice, which readers see once.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, many: int = 128):
+        super().__init__()
+        self.folder, self.many, self._files = folder.rstrip("/"), many, Files(spark, folder)
+        self._loose: dict[str, int] = {}
+        self._last: dict[str, int] = {}
+
+    def onQueryProgress(self, event):
+        run, batch = str(event.progress.runId), int(event.progress.batchId)
+        if self._last.get(run) == batch:  # told again while nothing new came
+            return
+        self._files.write(f"{run}/{batch:012d}.json", event.progress.json + "\n")
+        self._last[run], self._loose[run] = batch, self._loose.get(run, 0) + 1
+        if self._loose[run] >= self.many:
+            single = [n for n in self._files.names(run) if n.endswith(".json")]
+            self._files.write(f"{run}/upto-{batch:012d}.jsonl", "".join(self._files.read(f"{run}/{n}") for n in single))
+            for n in single:
+                self._files.delete(f"{run}/{n}")
+            self._loose[run] = 0
+
+    def onQueryTerminated(self, event):
+        for held in (self._loose, self._last):
+            held.pop(str(event.runId), None)
+        super().onQueryTerminated(event)
 
 
 def watched(spark: SparkSession, begin) -> tuple:
@@ -61,6 +98,16 @@ def frame(spark: SparkSession, batches: list[str]) -> DataFrame:
     return spark.createDataFrame([(b if isinstance(b, str) else json.dumps(b),) for b in batches], "value string").select(F.from_json("value", SCHEMA).alias("p")).select("p.*")
 
 
+def history(spark: SparkSession, folder: str, after: int = -1) -> DataFrame:
+    """One row for each run and batch beyond ``after`` of all runs that logged to ``folder``: the columns of ``frame``, query, runId and the document itself."""
+    head = "id string, runId string"
+    if not Files(spark, folder).names():
+        return spark.createDataFrame([], f"value string, query string, runId string, {SCHEMA}")
+    lines = spark.read.option("recursiveFileLookup", "true").text(folder)
+    read = lines.select("value", F.from_json("value", f"{head}, {SCHEMA}").alias("p")).select("value", F.col("p.id").alias("query"), "p.*").drop("id")
+    return read.where(F.col("batchId") > after).dropDuplicates(["runId", "batchId"])
+
+
 def batch_latency(progress: DataFrame) -> DataFrame:
     """Batches, rows, the first batch against the rest, addBatch quantiles and rows a second."""
     add, total = F.col("durationMs")["addBatch"], F.col("durationMs")["triggerExecution"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionforge.sources.files import Files
 
@@ -61,6 +62,25 @@ def source_offsets(spark: SparkSession, path: str, batch: int | None = None) ->
     return spark.createDataFrame(rows, "batch long, source int, offset string")
 
 
+def _state(spark: SparkSession, path: str, part: str) -> DataFrame:
+    """What the state store of the operator whose name has ``part`` held after the last committed batch; read by Spark's own reader, one task a partition of the state."""
+    found = spark.read.format("state-metadata").load(path).where(F.lower("operatorName").contains(part.lower())).select("operatorId").distinct().collect()
+    if len(found) != 1:
+        raise BrokenCheckpoint(f"{len(found)} operators named like {part!r} under {path}")
+    return spark.read.format("statestore").option("operatorId", found[0].operatorId).load(path)
+
+
+def open_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """user_id, session_start, session_end and event_count of the sessions that a run has left open in its checkpoint."""
+    held = F.col("value.session_window")
+    return _state(spark, path, "sessionWindow").select(F.col("value.user_id").alias("user_id"), held["start"].alias("session_start"), held["end"].alias("session_end"), F.col("value.count").alias("event_count"))
+
+
+def remembered_events(spark: SparkSession, path: str) -> DataFrame:
+    """event_id and expires_us of the events whose copies a run would still refuse."""
+    return _state(spark, path, "dedupe").select(F.col("key.event_id").alias("event_id"), F.col("value.expiresAtMicros").alias("expires_us"))
+
+
 def kafka_position(offset: str) -> dict[str, int]:
     """``topic:partition`` -> offset; empty for what isn't a Kafka position."""
     try:
@@ -73,10 +93,10 @@ def kafka_position(offset: str) -> dict[str, int]:
 
 
 def replay_scope(before: dict, after: dict) -> dict:
-    """Batches done again, batches added, where it resumed and finished, from two checkpoint states as dicts."""
-    old, new = before["last_committed"], after["last_committed"]
-    resumed = before["next_batch"]
-    return {"redone": sorted(before["uncommitted"]), "added": max((new if new is not None else -1) - (old if old is not None else -1), 0), "resumed_at": resumed, "finished_at": new}
+    """Batches done again, batches that were new, where it resumed and finished, from two checkpoint states as dicts."""
+    planned, new = before["last_planned"], after["last_committed"]
+    added = list(range((-1 if planned is None else planned) + 1, (-1 if new is None else new) + 1))
+    return {"redone": sorted(before["uncommitted"]), "added": added, "resumed_at": before["next_batch"], "finished_at": new}
 
 
 def compare(expected: str, got: str) -> str:

@@ -420,6 +420,75 @@ def test_refused_rows_are_counted(spark, tmp_path):
     assert sorted(map(json.loads, batches), key=str) == sorted((json.loads(x.json) for x in query.recentProgress), key=str)  # fewer than a hundred
 
 
+def _wire(i, user="u", minute=0):
+    return json.dumps({"event_id": str(i), "user_id": user, "event_ts": f"2024-01-01T{minute // 60:02d}:{minute % 60:02d}:00.000Z", "ingest_ts": f"2024-01-01T{minute // 60:02d}:{minute % 60:02d}:01.000Z"})
+
+
+@pytest.mark.parametrize("point", ["before-merge", "after-merge", "between", "after-both"])
+def test_two_sinks_hold_each_row_once_after_a_stop(spark, tmp_path, point):
+    (tmp_path / "in").mkdir()
+    for n in range(3):
+        (tmp_path / "in" / f"{n}.json").write_text("\n".join([_wire(10 * n + i, f"u{i}", 60 * n) for i in range(3)] + ["not json", _wire(n, None), '{"event_id":"x"}']) + "\n")
+    (tmp_path / "in" / "9.json").write_text(_wire(99, "u_flush0", 1200) + "\n")
+    at = f"file://{tmp_path}"
+    known = lambda: recovery.query_id(spark, f"{at}/cp")
+    rows = lambda: job.pipeline_with_refused(read_file_stream(spark, f"{at}/in", 1))
+    table = upsert.SessionTable(spark, f"{at}/table", rows().select("session.*").schema)
+    first, second = job.upsert_sink(table, query_id=known), job.refused_sink(spark, f"{at}/refused", known)
+    stopping = {
+        "before-merge": job.both_sinks(job.Stopping(first, 1, "before-merge"), second), "after-merge": job.both_sinks(job.Stopping(first, 1, "after-merge"), second),
+        "between": job.both_sinks(first, job.Stopping(second, 1, "before-merge")), "after-both": job.both_sinks(first, job.Stopping(second, 1, "after-merge")),
+    }[point]
+    with pytest.raises(Exception, match="batch 1"):
+        job.start(rows(), f"{at}/cp", sink=stopping).awaitTermination()
+    job.start(rows(), f"{at}/cp", sink=job.both_sinks(first, second)).awaitTermination()
+    told = job.read_refused(spark, f"{at}/refused")
+    assert sorted((r.value, r.reason) for r in told.collect()) == sorted([("not json", "document"), ('{"event_id":"x"}', "user_id")] * 3 + [(_wire(n, None), "user_id") for n in range(3)])
+    assert told.select("batch").distinct().count() == 3
+    assert sorted((r.user_id, r.session_start.hour) for r in table.read().collect()) == sorted((f"u{i}", n) for i in range(3) for n in range(3))
+
+
+def test_progress_log_keeps_one_history_of_two_runs(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    at, runs = f"file://{tmp_path}", []
+    for n in range(2):
+        (tmp_path / "in" / f"{n}.json").write_text(_wire(n, "u", n) + "\nnot json\n")
+        summary = job.main(["--path", f"{at}/in", "--checkpoint", f"{at}/cp", "--sink", "table", "--table", f"{at}/table", "--quarantine", f"{at}/refused", "--available-now", "--files-per-trigger", "1", "--summary-json", str(tmp_path / "summary"), "--progress-json", str(tmp_path / "progress")])
+        assert summary["refused_rows"] == 1 and summary["rows"] >= 1 and json.loads((tmp_path / "summary").read_text())["batches"] == summary["batches"]
+        runs.append(len(json.loads((tmp_path / "progress").read_text())))
+    seen = progress.history(spark, f"{at}/cp-progress")
+    assert seen.count() == sum(runs) and seen.select("runId").distinct().count() == 2 and seen.select("query").distinct().count() == 1
+    assert [r.batchId for r in seen.orderBy("batchId").collect()] == list(range(sum(runs))) and progress.history(spark, f"{at}/cp-progress", 1).count() == sum(runs) - 2
+    assert job.read_refused(spark, f"{at}/refused").count() == 2
+    assert progress.history(spark, f"{at}/nothing").count() == 0
+
+
+def test_main_writes_parquet_and_stops_where_told(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(_wire(1) + "\n" + _wire(2, "u_flush0", 600) + "\n")
+    at = f"file://{tmp_path}"
+    job.main(["--path", f"{at}/in", "--checkpoint", f"{at}/cp", "--out", f"{at}/out", "--seconds", "8"])
+    assert spark.read.parquet(f"{at}/out").count() == 1
+    with pytest.raises(Exception, match="batch 0"):
+        job.main(["--path", f"{at}/in", "--checkpoint", f"{at}/cp2", "--sink", "table", "--table", f"{at}/t", "--available-now", "--crash-batch", "0"])
+    for wrong in (["--quarantine", "q", "--out", "o"], ["--crash-batch", "1", "--out", "o"], ["--sink", "table"], []):
+        with pytest.raises(SystemExit):
+            job.main(["--path", "p", "--checkpoint", "c", *wrong])
+
+
+def test_progress_log_stays_small_over_many_batches(spark, tmp_path):
+    class Event:
+        def __init__(self, n):
+            self.progress = type("P", (), {"runId": "r", "batchId": n, "json": json.dumps({"id": "q", "runId": "r", "batchId": n, "numInputRows": 1})})
+
+    log = progress.ProgressLog(spark, f"file://{tmp_path}/log", many=50)
+    for n in range(1000):
+        log.onQueryProgress(Event(n))
+    log.onQueryProgress(Event(999))
+    assert not log._batches and log._loose == {"r": 0} and len(log._files.names("r")) == 20
+    assert progress.history(spark, log.folder).agg(F.count("*"), F.sum("numInputRows"), F.max("batchId")).first() == (1000, 1000, 999)
+
+
 def test_progress_of_a_run_that_does_not_end():
     class Open:
         runId = "r"
@@ -465,6 +534,12 @@ def test_generator(spark):
     assert generator.events(spark, users=100, pool=50, seconds=20).count() > 0
 
 
+@pytest.mark.parametrize("users", [1, 63, 64, 65, 100_000, 100_001])
+@pytest.mark.parametrize("alpha", [0.0, 1.0, 1.4, 2.0])
+def test_generator_weights_sum_alike_at_every_size(users, alpha):
+    assert generator.total_weight(users, alpha) == pytest.approx(sum(i**-alpha for i in range(1, users + 1)), rel=1e-9)
+
+
 def test_generator_deflects_arrivals_of_users_on_the_site(spark):
     how = dict(rate=50, seconds=600, pool=100, visit_events=6, visit_sigma=0.9, seed=1, population_seed=1)
     steep, flat = (generator.visits(spark, users=u, alpha=a, **how) for u, a in ((400, 2.5), (50_000, 0.0)))
