@@ -184,14 +184,16 @@ def near_pairs(counted: DataFrame, *, shortest: int = SHORTEST, segments: int =
     ensure_importable(spark)
     keyed = _keyed(counted, segments, shortest)
     buckets = max(1, math.ceil(2 * segments * counted.count() / bucket))
-    large = keyed.groupBy("key").count().where(F.col("count") > bucket).select(F.col("key").alias("large"), F.ceil(F.col("count") / bucket).cast("int").alias("blocks"))
-    both = keyed.join(large, F.col("key") == F.col("large"), "left")
-    plain = both.where("large is null").select("w", "n", "length", "part", "asks", F.lit(True).alias("asked"), F.pmod("key", F.lit(buckets)).alias("home"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
-    hot = both.where("large is not null").withColumn("block", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    row = hot.where("asks").select("w", "n", "length", "part", F.lit(True).alias("asks"), F.lit(False).alias("asked"), F.col("key").alias("home"), F.col("block").alias("i"), other.alias("j"))
-    column = hot.select("w", "n", "length", "part", F.lit(False).alias("asks"), F.lit(True).alias("asked"), F.col("key").alias("home"), other.alias("i"), F.col("block").alias("j"))
-    dealt = plain.unionByName(row).unionByName(column)
+    large = written(keyed.groupBy("key").count().where(F.col("count") > bucket).select(F.col("key").alias("large"), F.ceil(F.col("count") / bucket).cast("int").alias("blocks")), "large")
+    some = not large.isEmpty()
+    both = keyed.join(large, F.col("key") == F.col("large"), "left") if some else keyed.withColumn("large", F.lit(None).cast("long"))
+    dealt = both.where("large is null").select("w", "n", "length", "part", "asks", F.lit(True).alias("asked"), F.pmod("key", F.lit(buckets)).alias("home"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+    if some:
+        hot = keyed.join(large, F.col("key") == F.col("large")).withColumn("block", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        row = hot.where("asks").select("w", "n", "length", "part", F.lit(True).alias("asks"), F.lit(False).alias("asked"), F.col("key").alias("home"), F.col("block").alias("i"), other.alias("j"))
+        column = hot.select("w", "n", "length", "part", F.lit(False).alias("asks"), F.lit(True).alias("asked"), F.col("key").alias("home"), other.alias("i"), F.col("block").alias("j"))
+        dealt = dealt.unionByName(row).unionByName(column)
 
     def report(key, group):
         return _report(group, segments)
