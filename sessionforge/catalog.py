@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sessionforge.fixtures import CLICKS_SQL, clicks
 from sessionforge.functions.partitioners import crc32_partition, murmur2_partition
-from sessionforge.operators import latency, partitions, scoring, upsert
+from sessionforge.operators import digests, latency, partitions, scoring, upsert
 from sessionforge.operators import sessions as S
 from sessionforge.plans import repro, sweeps
 from sessionforge.schema import parse, parse_failures, seconds_between
@@ -313,14 +313,27 @@ def _(spark, d):
     return upsert.duplicate_keys(_built(spark, d)).select("user_id", F.unix_micros("session_start").alias("session_start_us"), F.col("count").alias("n"))
 
 
-@_query("session_fingerprint", f"""{_W}{_sessions_sql(GAP)}, r as ({_SESSION_ROWS}), k as (select greatest(0, ceil(ln(count(*) / 1000.0) / ln(16)))::int as digits from r),
-l as (select user_id, session_start_us, substr(md5(concat_ws('|', user_id, session_start_us)), 1, digits) as bucket, concat_ws('|', user_id, session_start_us, session_end_us, event_count, page_depth, duration_us, converted, bounce, window_span_us) as line from r, k),
-b as (select bucket, count(*) as n, md5(string_agg(line, chr(10) order by user_id, session_start_us, line)) as d from l group by bucket)
-select sum(n)::bigint as rows, md5(string_agg(d, chr(10) order by bucket)) as digest from b""")
+def _tree_sql(rows: str) -> str:
+    """``root``: rows and digest over ``rows`` with the columns of the sessions."""
+    up = "".join(f", d{n} as (select substr(path, 1, {n}) as path, sum(n) as n, md5(string_agg(path || '=' || d, ',' order by path)) as d from d{n + 1} group by 1)" for n in (2, 1, 0))
+    return f"""l as (select substr(md5(concat_ws('|', user_id, session_start_us)), 1, 3) as path, md5(concat_ws('|', user_id, session_start_us, session_end_us, event_count, page_depth, duration_us, converted, bounce, window_span_us)) as line from {rows}),
+d3 as (select path, count(*) as n, md5(concat_ws(':', count(*), sum(('0x' || substr(line, 1, 15))::bigint::hugeint), sum(('0x' || substr(line, 16, 15))::bigint::hugeint))) as d from l group by path){up}, root as (select n::bigint as rows, d as digest from d0)"""
+
+
+@_query("session_fingerprint", f"{_W}{_sessions_sql(GAP)}, r as ({_SESSION_ROWS}), {_tree_sql('r')} select * from root")
+def _(spark, d):
+    return digests.root(digests.leaves(_out(_built(spark, d)), ("user_id", "session_start_us")))
+
+
+@_query("differing_keys", f"""{_W}{_sessions_sql(GAP)}, r as ({_SESSION_ROWS}), n as (select *, row_number() over (order by user_id, session_start_us) as i from r)
+select user_id, session_start_us, case when i % 97 = 0 then 'both' when i % 101 = 0 then 'left' else 'right' end as side from n where i % 97 = 0 or i % 101 = 0 or i % 103 = 0""")
 def _(spark, d):
-    rows = _out(_built(spark, d))
-    line = F.concat_ws("|", *[F.col(c).cast("string") for c in rows.columns])
-    return upsert.digest(rows.select("user_id", "session_start_us", line.alias("line")), ("user_id", "session_start_us"), 1000)
+    """Of the sessions in order every 97th has another value on the right, every 101st is only left, every 103rd only right."""
+    i = F.row_number().over(Window.orderBy("user_id", "session_start_us"))
+    rows = staged(_out(_built(spark, d)).withColumn("i", i), "numbered")
+    left = rows.where("i % 97 = 0 or i % 101 = 0 or i % 103 != 0").drop("i")
+    right = rows.where("i % 97 = 0 or i % 101 != 0").withColumn("event_count", F.when(F.col("i") % 97 == 0, -1).otherwise(F.col("event_count"))).drop("i")
+    return digests.differing_keys(left, right, ("user_id", "session_start_us"))
 
 
 def _shards(spark, d) -> str:

@@ -12,13 +12,13 @@ one fails with ``Conflict``. Runs lie in folders named by chance, which nobody e
 from __future__ import annotations
 
 import json
-import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
+from sessionforge.operators import digests
 from sessionforge.schema import SESSION_COLUMNS, SESSION_KEY
 from sessionforge.sources.files import Files
 
@@ -48,35 +48,15 @@ def check_batch(rows: DataFrame, key=SESSION_KEY) -> None:
         raise DuplicateKeys(str(twice[0].asDict()))
 
 
-def merged(target: DataFrame, batch: DataFrame, key=SESSION_KEY) -> DataFrame:
-    return target.join(batch.select(*key), list(key), "left_anti").unionByName(batch)
-
-
 def accounting(target: DataFrame, batch: DataFrame, key=SESSION_KEY) -> DataFrame:
     """inserted and updated of a batch against the table before it."""
     known = target.select(*key).withColumn("known", F.lit(1))
     return batch.select(*key).join(known, list(key), "left").agg(F.count_if(F.col("known").isNull()).alias("inserted"), F.count("known").alias("updated"))
 
 
-def fingerprint(rows: DataFrame, key=SESSION_KEY, bucket_rows: int = 10_000) -> DataFrame:
-    """One row (fingerprint): count and MD5 over all columns but loaded_at, whatever the order of rows."""
-    columns = [c for c in rows.columns if c != "loaded_at"]
-    exact = [F.round(F.col(c) * 1e6).cast("long") if t == "double" else F.unix_micros(c) if t == "timestamp" else F.col(c) for c, t in rows.select(*columns).dtypes]
-    line = F.concat_ws("|", *[x.cast("string") for x in exact])
-    return digest(rows.select(*key, line.alias("line")), key, bucket_rows).select(F.concat(F.col("rows").cast("string"), F.lit(":"), F.col("digest")).alias("fingerprint"))
-
-
-def digest(lines: DataFrame, key, bucket_rows: int = 10_000) -> DataFrame:
-    """rows and digest of (key, line): an MD5 for each bucket, then the MD5 of these in order.
-
-    Buckets follow the first hexadecimal digits of the key's MD5, as many digits as keep about ``bucket_rows`` rows in one, so
-    no task holds more than a bucket and the last one holds a line for each bucket.
-    """
-    digits = max(0, math.ceil(math.log(max(lines.count(), 1) / bucket_rows, 16)))
-    bucket = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key])), 1, digits)
-    in_order = lambda c, *by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*by, c))), lambda x: x[c]), "\n")
-    each = lines.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.md5(in_order("line", *key)).alias("d"))
-    return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.md5(in_order("d", "bucket")).alias("digest"))
+def fingerprint(rows: DataFrame, key=SESSION_KEY, depth: int = digests.DEPTH) -> DataFrame:
+    """One row (fingerprint): count and digest over all columns but loaded_at, whatever the order of rows."""
+    return digests.root(digests.leaves(rows, key, depth), depth).select(F.concat(F.col("rows").cast("string"), F.lit(":"), F.col("digest")).alias("fingerprint"))
 
 
 class SessionTable:
@@ -198,6 +178,27 @@ class SessionTable:
             if n < whole[-2:][0]:
                 self.files.delete(f"pointers/{n}")
 
+    def tree(self) -> DataFrame:
+        """The table's digest tree. Leaves are kept by day, and only days whose runs have changed since the last call are read again."""
+        days = (self.current() or {"days": {}})["days"]
+        runs = {day: [r["run"] for r in held] for day, held in days.items()}
+        made = sorted(int(n) for n in self.files.names("trees") if n.isdigit())
+        last = json.loads(self.files.read(f"trees/{made[-1]}")) if made else {"runs": {}}
+        same = [day for day, held in runs.items() if last["runs"].get(day) == held]
+        rows = self._newest({day: held for day, held in days.items() if day not in set(same)}).drop("_n")
+        sums = digests.leaves(rows.withColumn("day", F.expr(f"cast(unix_micros({self.key[-1]}) div {DAY_US} as string)")), self.key, digests.DEPTH, "day")
+        if same:
+            sums = sums.unionByName(self.spark.read.schema(sums.schema).parquet(f"{self.path}/leaves/{last['leaves']}").where(F.col("day").isin(same)))
+        if len(same) < len(runs) or runs.keys() != last["runs"].keys():
+            name = uuid.uuid4().hex
+            sums.write.parquet(f"{self.path}/leaves/{name}")
+            self.files.create(f"trees/{made[-1] + 1 if made else 1}", json.dumps({"runs": runs, "leaves": name}))
+            for n in made[:-1]:  # the last but one may still be read
+                self.files.delete(f"leaves/{json.loads(self.files.read(f'trees/{n}'))['leaves']}")
+                self.files.delete(f"trees/{n}")
+            sums = self.spark.read.schema(sums.schema).parquet(f"{self.path}/leaves/{name}")
+        return digests.tree(sums)
+
     def refuse_drift(self, last_committed: int | None, query_id: str | None) -> None:
         """Stops where a checkpoint of the query ``query_id`` has committed batches but the table is gone, older or last written by another query."""
         now = self.current()

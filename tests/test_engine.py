@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from sessionforge import catalog
 from sessionforge.functions import durations
 from sessionforge.functions.partitioners import crc32_partition, murmur2_partition
-from sessionforge.operators import generator, latency, partitions, running, scoring, sessions, upsert
+from sessionforge.operators import digests, generator, latency, partitions, running, scoring, sessions, upsert
 from sessionforge.plans import repro, sweeps
 from sessionforge.schema import parse, parse_failures, quarantine
 from sessionforge.sources.files import Files, read_file_stream, staged
@@ -323,8 +323,42 @@ def test_upsert_lets_one_of_two_writers_win(spark, tmp_path, monkeypatch):
 
 def test_fingerprint_follows_the_rows(spark):
     rows = sessions.sessions(clicks(spark, [(str(i), f"u{i}", 0, "/", "v") for i in range(60)]))
-    assert upsert.fingerprint(rows.repartition(5), bucket_rows=2).first() == upsert.fingerprint(rows, bucket_rows=2).first()
+    assert upsert.fingerprint(rows.repartition(5)).first() == upsert.fingerprint(rows).first()
+    assert upsert.fingerprint(rows.withColumn("event_count", F.col("event_count") + (F.col("user_id") == "u7").cast("int"))).first() != upsert.fingerprint(rows).first()
     assert upsert.fingerprint(rows.limit(0)).first()[0].startswith("0:")
+    plan = upsert.fingerprint(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "MergingSessions" not in plan  # the leaves were kept after one pass
+
+
+def test_differing_keys_descends_along_unlike_nodes(spark, monkeypatch):
+    rows = staged(_sessions_of(spark, 3000, 9), "rows")
+    key = ("user_id", "session_start")
+    other = rows.where("user_id != 'u5'").withColumn("event_count", F.when(F.col("user_id") == "u77", 9).otherwise(F.col("event_count"))).unionByName(rows.where("user_id = 'u6'").withColumn("user_id", F.lit("new")))
+    assert {(r.user_id, r.side) for r in digests.differing_keys(rows, other, key).collect()} == {("u5", "left"), ("u77", "both"), ("new", "right")}
+    a, b = (digests.tree(digests.leaves(x, key)) for x in (rows, other))
+    assert len(digests.unlike(a, b)) == 3 and digests.unlike(a, a) == []
+    assert digests.differing_keys(rows, rows.repartition(7), key).count() == 0
+    assert digests.differing_keys(rows.limit(0), rows, key).count() == 3000
+    nulls = rows.withColumn("event_count", F.lit(None).cast("long"))
+    assert digests.differing_keys(rows, nulls, key).where("side = 'both'").count() == 3000
+
+
+def test_table_keeps_its_tree_and_reads_changed_days_only(spark, tmp_path, monkeypatch):
+    rows = _sessions_of(spark, 500, 5)
+    table = upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema)
+    root = lambda t: t.where("level = 0").select("rows", "digest").first()
+    fresh = lambda: root(digests.tree(digests.leaves(table.read(), table.key)))
+    assert root(table.tree())["rows"] == 0
+    table.apply(rows, "q", 0)
+    assert root(table.tree()) == fresh()
+    read, newest = [], table._newest
+    monkeypatch.setattr(table, "_newest", lambda days: read.append(sorted(days)) or newest(days))
+    table.tree()
+    table.apply(rows.where("user_id = 'u7'").withColumn("event_count", F.lit(4).cast("long")), "q", 1)
+    got = root(table.tree())
+    assert read == [[], ["19725"]] and got == fresh()
+    table.apply(rows.limit(0), "q", 2)
+    assert root(table.tree()) == got and len(table.files.names("trees")) <= 2 and len(table.files.names("leaves")) <= 2
 
 
 def test_crash_points():
