@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sessionforge.fixtures import CLICKS_SQL, clicks
+from sessionforge.functions import sql
 from sessionforge.functions.partitioners import crc32_partition, murmur2_partition
 from sessionforge.operators import digests, latency, partitions, scoring, upsert
 from sessionforge.operators import sessions as S
@@ -357,6 +358,46 @@ def _(spark, d):
     return _out(scoring.without_sentinel(_streamed(spark, d)[0]))
 
 
+_OWN = "case when cast(substr(user_id, 3) as bigint) % 7 = 0 then 6 else 2 + cast(substr(user_id, 3) as bigint) % 5 end"
+
+
+@_query("stream_sessions_own_gap", f"""with {_CLICKS_MS}, {_dedupe()}, g as (select *, event_ts + to_hours({_OWN}) as until from d),
+nb as (select *, case when event_ts <= max(until) over (partition by user_id order by event_ts, event_id rows between unbounded preceding and 1 preceding) then 0 else 1 end as nb from g),
+si as (select *, sum(nb) over (partition by user_id order by event_ts, event_id rows unbounded preceding) as sid from nb),
+s as (select user_id, min(event_ts) as session_start, max(until) as session_end, count(*) as event_count, count(distinct page) as page_depth, epoch_us(max(event_ts)) - epoch_us(min(event_ts)) as duration_us, max(case when event_type = 'purchase' then 1 else 0 end)::int as converted from si group by user_id, sid)
+{_SESSION_ROWS}""")
+def _(spark, d):
+    """Six users in seven have a gap of their own, from two to six hours; the rest have the common one."""
+    out = shared_folder(spark, "sessions")
+    users = clicks(spark, d).select("user_id").distinct().where("cast(substr(user_id, 3) as long) % 7 != 0")
+    gaps = users.withColumn("own_gap", F.concat(F.expr(_OWN).cast("string"), F.lit(" hours")))
+    stream = job.pipeline(read_file_stream(spark, _shards(spark, d)), GAP, "2 minutes", WIN, gaps)
+    job.start(stream, shared_folder(spark, "checkpoint"), out=out).awaitTermination()
+    return _out(scoring.without_sentinel(spark.read.schema(stream.schema).parquet(out)))
+
+
+@_query("sessions_sql", f"{_W}{_sessions_sql(GAP)} {_SESSION_ROWS}")
+def _(spark, d):
+    """The sessions as SQL text, by the table function."""
+    S.dedupe(clicks(spark, d)).createOrReplaceTempView("clicks_once")
+    sql.register_sessions(spark, "clicks_once")
+    return _out(spark.sql(f"select * from sessions_of('{GAP}', '{WIN}')"))
+
+
+@_query("partition_murmur2_sql", f"{_PLACED} select mp as partition, sum(events)::bigint as events, count(*) as users from placed group by mp")
+def _(spark, d):
+    sql.register(spark)
+    clicks(spark, d).createOrReplaceTempView("clicks")
+    return spark.sql("select partition, sum(events) as events, count(*) as users from (select murmur2_partition(user_id, 6) as partition, count(*) as events from clicks group by user_id) group by partition")
+
+
+@_query("replay_matrix", f"with {_CLICKS_MS}, {_sessions_sql(GAP)}, n as (select count(*) as rows from s) select arm, verdict, case when verdict = 'identical' then rows end as rows from n, (values ('clean', 'identical'), ('crash-after', 'identical'), ('crash-before', 'identical'), ('fresh-checkpoint', 'identical'), ('wiped-table', 'REFUSED')) as arms(arm, verdict)")
+def _(spark, d):
+    """Runs that were stopped after and before a batch's merge, begun again from nothing, or robbed of their table, each against a clean one."""
+    shards, where = _shards(spark, d), shared_folder(spark, "arms")
+    return sweeps.replay_matrix(spark, lambda: read_file_stream(spark, shards, 2), where, GAP)
+
+
 #: The clicks in ten files by three days of arrival; every 53rd event comes one file later, every 59th two.
 _FILE = "least(9, (unix_micros(ingest_ts) - 1704067200000000) div 259200000000 + case when cast(event_id as bigint) % 59 = 0 then 2 when cast(event_id as bigint) % 53 = 0 then 1 else 0 end)"
 

@@ -76,7 +76,7 @@ def build_batch(events: DataFrame, gap: str | Column = "30 minutes", conversion:
     return split_sessions(dedupe(events), gap, conversion)
 
 
-def build_stream(events: DataFrame, gap: str = "30 minutes", watermark: str = "2 minutes", conversion: str = CONVERSION) -> DataFrame:
+def build_stream(events: DataFrame, gap: str | Column = "30 minutes", watermark: str = "2 minutes", conversion: str = CONVERSION) -> DataFrame:
     """Watermark, then duplicates, then sessions: in this order and no other."""
     return sessions(dedupe_streaming(events.withWatermark("event_ts", watermark)), gap, conversion)
 

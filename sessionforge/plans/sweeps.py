@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sessionforge.functions.durations import emission_floor
 from sessionforge.operators.scoring import scorecard, without_sentinel
 from sessionforge.operators.sessions import build_batch, dedupe, split_sessions
-from sessionforge.operators.upsert import SessionTable, fingerprint
+from sessionforge.operators.upsert import Drift, SessionTable, fingerprint
 from sessionforge.sources.files import Files, staged
 from sessionforge.streaming.job import Stopping, pipeline, start, upsert_sink
 from sessionforge.streaming.progress import frame, operators, watched
@@ -86,7 +86,7 @@ def replay_arm(spark: SparkSession, raw, folder: str, arm: str, batch: int = 1,
     at_crash = (table.current() or {"rows": 0})["rows"]
     before = checkpoint_state(spark, cp).first().asDict()
     if arm == "wiped-table":
-        for part in ("pointers", "data"):
+        for part in ("pointers", "data", "trees", "leaves"):
             table.files.delete(part)
     if arm == "fresh-checkpoint":
         cp = f"{folder}/cp2"
@@ -97,10 +97,23 @@ def replay_arm(spark: SparkSession, raw, folder: str, arm: str, batch: int = 1,
     return {"arm": arm, "rows_at_crash": at_crash, "rows": table.current()["rows"], "fingerprint": fingerprint(table.read()).first()[0], **replay_scope(before, after)}
 
 
+def replay_matrix(spark: SparkSession, raw, folder: str, gap: str = "30 minutes") -> DataFrame:
+    """(arm, verdict, rows) of all arms: identical to ``clean`` or in what it differs, REFUSED where a start was stopped on drift."""
+    ran = []
+    for arm in ARMS:
+        try:
+            ran.append(replay_arm(spark, raw, f"{folder}/{arm}", arm, gap=gap))
+        except Drift:
+            ran.append({"arm": arm, "fingerprint": None, "rows": None})
+    by = {a["arm"]: a["rows"] for a in ran}
+    return spark.createDataFrame([(r["arm"], r["verdict"], by[r["arm"]]) for r in replay_report(ran)], "arm string, verdict string, rows long")
+
+
 def replay_report(arms: list[dict]) -> list[dict]:
-    """Each arm against ``clean``; an arm that is missing is said to be so."""
-    by = {a["arm"]: a for a in arms}
-    return [{"arm": n, "verdict": compare(by["clean"]["fingerprint"], by[n]["fingerprint"]) if n in by and "clean" in by else "NOT RUN"} for n in ARMS]
+    """Each arm against ``clean``; an arm that is missing, or was stopped on drift, is said to be so."""
+    by = {a["arm"]: a["fingerprint"] for a in arms}
+    said = lambda n: "NOT RUN" if n not in by or "clean" not in by else "REFUSED" if by[n] is None else compare(by["clean"], by[n])
+    return [{"arm": n, "verdict": said(n)} for n in ARMS]
 
 
 __all__ = ["ARMS", "build_batch", "gap_sweep", "replay_arm", "replay_report", "resumable_gap_sweep", "sweep_results", "watermark_sweep"]

@@ -299,6 +299,23 @@ def test_upsert_survives_a_crash_inside_compaction(spark, tmp_path, monkeypatch)
     assert len(next(iter(table.current()["days"].values()))) == 1 and set(table.files.names("data")) == _live(table)
 
 
+def test_sql_functions(spark):
+    from sessionforge.functions import sql
+
+    sql.register(spark)
+    keys = spark.createDataFrame([(k,) for k in ("", "a", "é", "abc", "abcd", "abcde", "u_004ae5", None)], "k string")
+    keys.createOrReplaceTempView("keys_of_test")
+    got = spark.sql("select k, murmur2_partition(k, 6) as m, crc32_partition(k, 6) as c from keys_of_test")
+    want = keys.select("k", murmur2_partition(F.col("k"), 6).alias("m"), crc32_partition(F.col("k"), 6).alias("c"))
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert spark.sql("select duration_seconds('1.5 hours') as a, emission_floor('30 minutes', '2 minutes') as b").first() == (5400.0, durations.emission_floor("30 minutes", "2 minutes"))
+    with pytest.raises(Exception, match="not a duration"):
+        spark.sql("select duration_seconds('3 fortnights')").collect()
+    clicks(spark, [("1", "a", 0, "/", "won"), ("2", "a", 1800, "/", "view"), ("3", "a", 3601, "/x", "view")]).createOrReplaceTempView("events_of_test")
+    sql.register_sessions(spark, "events_of_test", "my_sessions")
+    assert sorted((r.event_count, r.converted, r.bounce, r.window_span_s) for r in spark.sql("select * from my_sessions('30 minutes', 'won')").collect()) == [(1, 0, 1, 1800.0), (2, 1, 0, 3600.0)]
+
+
 def test_upsert_lets_one_of_two_writers_win(spark, tmp_path, monkeypatch):
     rows = _sessions_of(spark, 4, 1)
     one, two = (upsert.SessionTable(spark, f"file://{tmp_path}/t", rows.schema) for _ in range(2))
@@ -381,6 +398,7 @@ def test_replay_arms(spark, sf, tmp_path):
     arms = [sweeps.replay_arm(spark, raw, f"file://{tmp_path}/{a}", a, batch=1, gap="6 hours") for a in ("clean", "crash-after", "crash-before", "fresh-checkpoint")]
     said = {r["arm"]: r["verdict"] for r in sweeps.replay_report(arms)}
     assert said == {"clean": "identical", "crash-after": "identical", "crash-before": "identical", "fresh-checkpoint": "identical", "wiped-table": "NOT RUN"}
+    assert next(a for a in arms if a["arm"] == "crash-after")["redone"] == [1] and isinstance(arms[1]["added"], list)
     with pytest.raises(upsert.Drift):
         sweeps.replay_arm(spark, raw, f"file://{tmp_path}/w", "wiped-table", gap="6 hours")
 
@@ -404,6 +422,7 @@ def test_checkpoint_reading(spark, tmp_path):
     bare = _checkpoint(spark, f"file://{tmp_path}/bare", [0], [], "17")
     assert recovery.source_offsets(spark, bare).first().offset == "17"
     assert recovery.kafka_position('{"t":{"0":5}}') == {"t:0": 5}
+    assert recovery.replay_scope({"last_planned": 3, "last_committed": 2, "uncommitted": [3], "next_batch": 3}, {"last_committed": 5}) == {"redone": [3], "added": [4, 5], "resumed_at": 3, "finished_at": 5}
     assert recovery.kafka_position('{"logOffset":3}') == recovery.kafka_position("7") == recovery.kafka_position("x") == {}
 
 
