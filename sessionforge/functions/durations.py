@@ -1,4 +1,4 @@
-"""Durations as text, emission floors, and the driver-side quantile."""
+"""Durations as text and emission floors."""
 
 from __future__ import annotations
 
@@ -23,22 +23,3 @@ def emission_floor(gap: str, watermark: str) -> float:
 
 def first_event_floor(gap: str, watermark: str, duration_s: float) -> float:
     return emission_floor(gap, watermark) + duration_s
-
-
-def quantile(values, q: float) -> float:
-    """Interpolated between the two nearest ranks; q in (0, 1]."""
-    if not 0 < q <= 1:
-        raise ValueError(f"q must be in (0, 1], not {q}")
-    ordered = sorted(values)
-    if not ordered:
-        raise ValueError("no values")
-    at = (len(ordered) - 1) * q
-    low = int(at)
-    high = min(low + 1, len(ordered) - 1)
-    return ordered[low] + (ordered[high] - ordered[low]) * (at - low)
-
-
-def nearest_index(values, q: float):
-    """The value at floor(n * q), as the generator's statistics use it; not the interpolated quantile."""
-    ordered = sorted(values)
-    return ordered[min(int(len(ordered) * q), len(ordered) - 1)]

@@ -2,8 +2,10 @@
 
 import datetime as dt
 import json
+import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,7 +139,7 @@ def test_latency(spark):
     rows = clicks(spark, [("1", "a", 0, "/", "v", "h", 0), ("2", "a", 10, "/", "v", "h", 10), ("3", "a", 20, "/", "v", "h", 100), ("4", "a", 30, "/", "v", "h", 5)])
     r = latency.ingest_lag(rows).first()
     assert (r.rows, r.late, r.max_s, r.p50_s, r.late_share) == (4, 3, 100.0, 7.5, 0.75)
-    assert r.p95_s == pytest.approx(durations.quantile([0, 10, 100, 5], 0.95))
+    assert r.p95_s == pytest.approx(np.quantile([0, 10, 100, 5], 0.95))
     f = latency.floor_check(rows, sessions.sessions(rows)).first()
     assert (f.least_s, f.largest_s) == (1800.0, 1800.0)
     assert latency.quantiles(rows.limit(0), F.unix_micros("event_ts")).first().rows == 0
@@ -146,8 +148,6 @@ def test_latency(spark):
 
 
 def test_quantiles_are_exact(spark):
-    import numpy as np
-
     rng = np.random.default_rng(5)
     # Many bins, few bins, ties, negative values, one value.
     for values in (rng.integers(-(10**9), 10**11, 501), rng.integers(0, 1000, 400), np.repeat([7_000_000, -3_000_000], 50), np.array([5])):
@@ -168,9 +168,6 @@ def test_durations():
     for bad in (30, None, []):
         with pytest.raises(TypeError):
             durations.seconds(bad)
-    for q in (0, 1.1):
-        with pytest.raises(ValueError):
-            durations.quantile([1], q)
 
 
 def test_partitioner_goldens(spark):
@@ -238,8 +235,6 @@ def test_upsert_writes_as_much_as_the_batch_holds(spark, tmp_path):
 
 
 def test_upsert_equals_a_dict_after_many_batches(spark, tmp_path):
-    import random
-
     rng, kind = random.Random(7), "user_id string, session_start timestamp, event_count long"
     table = upsert.SessionTable(spark, f"file://{tmp_path}/t", spark.createDataFrame([], kind).schema)
     model, most = {}, 0
