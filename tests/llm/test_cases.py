@@ -13,7 +13,7 @@ from test_llm import brute_fp, brute_top, classes, docs, vec
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sessionforge.llm import ann, bpe, pii, queries, secret_scan, topk, toxicity
+from sessionforge.llm import ann, bpe, pii, queries, secret_scan, topk, toxicity, wordpiece
 
 LONG = "plain words of a long text " * 40_000
 
@@ -207,3 +207,29 @@ def test_forest_without_labelled_secrets_keeps_nothing(spark):
     for findings in ([], [("password = ", f"hunter{i}hunter", "", 0) for i in range(20)]):
         forest = secret_scan.train(spark.createDataFrame(findings, kind))
         assert secret_scan.scan(docs, forest).count() == 0 and secret_scan.redact(docs, forest).first().text == "password = hunter2hunter2X9"
+
+
+def test_registered_token_counts_are_those_of_greedy_matching(spark, sf, texts):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = {"".join(map(chr, p)) for p in wordpiece.read_pieces(path)}
+    longest = max(map(len, pieces))
+    library, back, known = Tokenizer.from_file(path), {c: b for b, c in enumerate(wordpiece.byte_letters())}, {}
+
+    def greedy(word):
+        """The pieces of a word, longest first; 0 where it can't be finished."""
+        if word not in known:
+            s, i, n = "".join(chr(back[c]) for c in word) + chr(wordpiece.END), 0, 0
+            while i < len(s):
+                i = next((j for j in range(min(len(s), i + longest), i, -1) if s[i:j] in pieces), 0)
+                n += 1
+                if not i:
+                    n = 0
+                    break
+            known[word] = n
+        return known[word]
+
+    got = {r.doc_id: (r.n_words, r.n_pieces, r.n_unknown) for r in queries.op7_token_counts(spark, sf).collect()}
+    assert set(got) == set(texts)
+    for i, t in texts.items():
+        each = [greedy(w) for w, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(t))]
+        assert got[i] == (len(each), sum(max(n, 1) for n in each), each.count(0)), i
