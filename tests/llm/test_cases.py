@@ -13,7 +13,7 @@ from test_llm import brute_fp, brute_top, classes, docs, vec
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sessionforge.llm import ann, bpe, pii, queries, secret_scan, topk, toxicity, wordpiece
+from sessionforge.llm import ann, bpe, packing, pii, queries, secret_scan, topk, toxicity, urls, wordpiece
 
 LONG = "plain words of a long text " * 40_000
 
@@ -233,3 +233,34 @@ def test_registered_token_counts_are_those_of_greedy_matching(spark, sf, texts):
     for i, t in texts.items():
         each = [greedy(w) for w, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(t))]
         assert got[i] == (len(each), sum(max(n, 1) for n in each), each.count(0)), i
+
+
+def test_links_in_very_long_pages(spark):
+    link = lambda u: f'<link rel="canonical" href="{u}">'
+    junk = "<p class='a'>text &amp; more</p>\n" * 60_000
+    rows = [(1, "http://a.com/x", junk + link("http://b.net/y") + junk), (2, "http://b.net/y", "<" * 500_000), (3, "http://c.com/", "<link " + "x=1 " * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in urls.judge(pages).collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
+def test_packing_gives_the_ids_themselves(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Good day to you", "", None, "words " * 9000, "twice", "twice"]
+    made = spark.createDataFrame([(i, t, "s", "ids") for i, t in enumerate(texts)], "doc_id long, text string, source string, ids string")
+    library, left = Tokenizer.from_file(path), {}
+    for r in sorted(packing.pack(made, path, with_ids=True).collect(), key=lambda r: (r.doc_id, r.start)):
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length and zlib.crc32(r.ids) == r.ids_crc32
+        left.setdefault(r.doc_id, []).extend(ids)
+    assert left == {i: [*library.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+
+
+def test_toxicity_learns_from_one_text_and_the_largest_label_of_a_doc_id(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    once = toxicity.learn(docs, labels)
+    conflicting = labels.unionByName(labels.where("toxic = 1").withColumn("toxic", F.lit(0))).unionByName(labels.withColumn("toxic", F.lit(None).cast("int")))
+    several = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" and more")))).unionByName(docs)
+    assert toxicity.learn(several, conflicting) == once
+    held_out = labels.withColumn("toxic", F.when(F.expr("crc32(cast(doc_id as string)) % 5 = 0"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert toxicity.learn(docs, held_out) == once
