@@ -1,6 +1,6 @@
 """Whitening of embeddings by a tiled covariance.
 
-Pairs of dimensions are dealt to tiles of ``TILE`` by ``TILE``; the rows of the fit list are dealt to blocks by a hash. A task gets the two column
+Pairs of dimensions are dealt to tiles (``TILE`` wide, or a quarter of a width beyond four of them, since every row goes to every tile); the rows of the fit list are dealt to blocks by a hash. A task gets the two column
 blocks of one tile and one row block, centres and multiplies them; products are summed per tile by an aggregate, and only the assembled matrix,
 whose size follows the width of the vectors and not their number, goes to the driver for its eigenvectors. The covariance of the
 whitened rows is measured in the same way afterwards, which gives ``identity_error``.
@@ -123,7 +123,7 @@ def _rows(batches, n: int, sums: np.ndarray, axes: np.ndarray, alive: list[bool]
         yield pa.RecordBatch.from_arrays(cols, names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
 
-def whiten(rows: DataFrame, *, components: int = 4, tile: int = TILE, row_block: int = ROW_BLOCK) -> DataFrame:
+def whiten(rows: DataFrame, *, components: int = 4, tile: int | None = None, row_block: int = ROW_BLOCK) -> DataFrame:
     """One row for each vector of ``rows`` (vec_id, embedding) and component, the strongest first."""
     spark = rows.sparkSession
     ensure_importable(spark)
@@ -138,6 +138,7 @@ def whiten(rows: DataFrame, *, components: int = 4, tile: int = TILE, row_block:
     n = fit.count()
     sums = _summed(fit, width)
     centre = (sums / n).astype(float)
+    tile = tile or max(TILE, -(-width // 4))
     v = covariance(fit, "x", n, centre, tile=tile, row_block=row_block)
     values, vectors = np.linalg.eigh(v)
     values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]

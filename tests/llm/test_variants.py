@@ -139,7 +139,7 @@ def _holds(got, rows):
     assert all(r.identity_error < 1e-9 for r in got)
 
 
-@pytest.mark.parametrize("tile, row_block", [(32, 4096), (3, 7), (1, 100)])
+@pytest.mark.parametrize("tile, row_block", [(None, 4096), (3, 7), (1, 100)])
 def test_whitening_by_tiles_equals_one_matrix(spark, tile, row_block):
     rng = np.random.default_rng(0)
     rows = [(i, [float(c) for c in rng.normal(size=7) * np.arange(1, 8)]) for i in range(90)]
