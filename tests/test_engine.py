@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 
 import duckdb
@@ -330,7 +331,7 @@ def test_upsert_lets_one_of_two_writers_win(spark, tmp_path, monkeypatch):
     two.TORN_S = one.TORN_S = -1
     assert two.apply(rows, "q", 2)["updated"] == 4 and two.current()["n"] == 10 and two.current()["parent"] == 2
     two.apply(rows, "q", 3)
-    assert two.files.names("pointers") == ["10", "11"]
+    assert two.files.names("pointers") == ["11", "12"] and {r.event_count for r in one.read().collect()} == {1}  # four runs have become one
 
 
 def test_fingerprint_follows_the_rows(spark):
@@ -478,6 +479,8 @@ def test_two_sinks_hold_each_row_once_after_a_stop(spark, tmp_path, point):
     for n in range(3):
         (tmp_path / "in" / f"{n}.json").write_text("\n".join([_wire(10 * n + i, f"u{i}", 60 * n) for i in range(3)] + ["not json", _wire(n, None), '{"event_id":"x"}']) + "\n")
     (tmp_path / "in" / "9.json").write_text(_wire(99, "u_flush0", 1200) + "\n")
+    for n in (0, 1, 2, 9):  # files are read in the order of their times
+        os.utime(tmp_path / "in" / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
     at = f"file://{tmp_path}"
     known = lambda: recovery.query_id(spark, f"{at}/cp")
     rows = lambda: job.pipeline_with_refused(read_file_stream(spark, f"{at}/in", 1))
