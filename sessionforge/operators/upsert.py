@@ -109,7 +109,10 @@ class SessionTable:
         """A new run: its name, and for each of its days the rows and bytes."""
         run = uuid.uuid4().hex
         day = F.expr(f"unix_micros({self.key[-1]}) div {DAY_US}")  # whatever the session's time zone
-        rows.withColumn("day", day).sortWithinPartitions("day", *self.key).write.partitionBy("day").parquet(f"{self.path}/data/{run}")
+        rows = rows.withColumn("day", day)
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":  # not in a streaming batch, which has few days
+            rows = rows.hint("rebalance", "day")
+        rows.sortWithinPartitions("day", *self.key).write.partitionBy("day").parquet(f"{self.path}/data/{run}")
         found = self.spark.read.schema("day long").parquet(f"{self.path}/data/{run}").groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()
         if not found:
             self.files.delete(f"data/{run}")
@@ -159,7 +162,7 @@ class SessionTable:
         due = {day: k for day in touched if (k := self._piled(days[day]))}
         if not due:
             return
-        run, merged_days = self._write(self._newest({day: days[day][-k:] for day, k in due.items()}).hint("rebalance"))
+        run, merged_days = self._write(self._newest({day: days[day][-k:] for day, k in due.items()}))
         rest = {day: [*days[day][: -due[day]], merged_days[day]] for day in due}
         self._point({"n": n + 1, "parent": n, **told, "days": days | rest})
 
