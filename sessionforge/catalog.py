@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionforge.fixtures import CLICKS_SQL, clicks
@@ -326,11 +326,11 @@ def _(spark, d):
     return digests.root(digests.leaves(_out(_built(spark, d)), ("user_id", "session_start_us")))
 
 
-@_query("differing_keys", f"""{_W}{_sessions_sql(GAP)}, r as ({_SESSION_ROWS}), n as (select *, row_number() over (order by user_id, session_start_us) as i from r)
+@_query("differing_keys", f"""{_W}{_sessions_sql(GAP)}, r as ({_SESSION_ROWS}), n as (select *, ('0x' || substr(md5(concat_ws('|', user_id, session_start_us)), 1, 8))::bigint as i from r)
 select user_id, session_start_us, case when i % 97 = 0 then 'both' when i % 101 = 0 then 'left' else 'right' end as side from n where i % 97 = 0 or i % 101 = 0 or i % 103 = 0""")
 def _(spark, d):
-    """Of the sessions in order every 97th has another value on the right, every 101st is only left, every 103rd only right."""
-    i = F.row_number().over(Window.orderBy("user_id", "session_start_us"))
+    """By a hash of the key one session in 97 has another value on the right, one in 101 is only left, one in 103 only right."""
+    i = F.conv(F.substring(F.md5(F.concat_ws("|", "user_id", F.col("session_start_us").cast("string"))), 1, 8), 16, 10).cast("long")
     rows = staged(_out(_built(spark, d)).withColumn("i", i), "numbered")
     left = rows.where("i % 97 = 0 or i % 101 = 0 or i % 103 != 0").drop("i")
     right = rows.where("i % 97 = 0 or i % 101 != 0").withColumn("event_count", F.when(F.col("i") % 97 == 0, -1).otherwise(F.col("event_count"))).drop("i")
