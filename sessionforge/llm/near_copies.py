@@ -17,6 +17,9 @@ each and prune nothing, so the dealt method alone can't give right results here.
    shingles of their prefixes, and differ in so few shingles that their sketches, the parities of the numbers of shingles in 512 buckets,
    differ in no more. After this no similar pair is missing.
 
+On 10,000 documents (sf0.1) most of the 752 rows that go have sets equal to another's. Of the 48 links between different sets the second step gives 9,
+the first at least the other 39, the third none.
+
 Every candidate is verified on both whole texts: each text goes once to its partner with more candidates (the hub), whose text is sent to as many
 places as its candidates fill, ``hub_rows`` each. Large groups of documents that share most of their shingles and still stay
 below ``similarity`` are compared pair by pair: time grows with the square of such a group; memory doesn't.
