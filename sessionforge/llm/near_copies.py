@@ -22,7 +22,8 @@ the first at least the other 39, the third none.
 
 Every candidate is verified on both whole texts: each text goes once to its partner with more candidates (the hub), whose text is sent to as many
 places as its candidates fill, ``hub_rows`` each. Large groups of documents that share most of their shingles and still stay
-below ``similarity`` are compared pair by pair: time grows with the square of such a group; memory doesn't.
+below ``similarity`` are compared pair by pair: time grows with the square of such a group; memory doesn't, and a shingle that very many
+have is dealt to pairs of blocks, so neither does a task.
 
 Defined cases: as for ``simhash``; wordless texts are alike. Distinct shingles with one hash (2^-64 a pair) are taken as equal.
 """
@@ -224,16 +225,33 @@ def could_be(met: Column, left: Column, right: Column, share: Fraction) -> Colum
     return common * F.lit(p + q) >= (left + right).cast("long") * F.lit(p)
 
 
-def meeting(shared: DataFrame, nodes: DataFrame, roots: DataFrame, share: Fraction) -> DataFrame:
-    """The pairs (a, b) of nodes that hang on different roots and could be similar; no similar pair is missing."""
+def block_pairs(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, blocks, ...) once for each pair of blocks that theirs is in, its own with itself included, as a number ``pair``."""
+    own, other = block_of("node"), F.col("other")
+    each = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return each.withColumn("pair", F.least(own, other) * F.col("blocks").cast("long") + F.greatest(own, other)).drop("other")
+
+
+def block_of(node: str) -> Column:
+    return F.pmod(F.xxhash64(node), F.col("blocks"))
+
+
+def meeting(shared: DataFrame, nodes: DataFrame, roots: DataFrame, share: Fraction, cell_rows: int) -> DataFrame:
+    """The pairs (a, b) of nodes that hang on different roots and could be similar; no similar pair is missing.
+
+    A shingle that more than ``cell_rows`` nodes have is dealt to pairs of blocks, so no task compares more than some ``cell_rows`` squared for it.
+    """
     hung = shared.join(roots, "node", "left").select("shingle", "node", "size", F.coalesce("root", "node").alias("root"))
-    mixed = hung.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("shingle")
-    x = hung.join(mixed, "shingle").join(nodes.select("node", *SKETCH), "node")
-    y = x.select([F.col(c).alias(c if c == "shingle" else f"{c}_2") for c in x.columns])
+    ends = hung.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n"))
+    mixed = ends.where("x != y").select("shingle", F.ceil(F.col("n") / cell_rows).cast("int").alias("blocks"))
+    x = block_pairs(hung.join(mixed, "shingle").join(nodes.select("node", *SKETCH), "node"))
+    y = x.select([F.col(c).alias(c if c in ("shingle", "pair") else f"{c}_2") for c in x.columns])
     p, q = share.numerator, share.denominator
     differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in SKETCH), F.lit(0))
     alike = differ * F.lit(p + q) <= (F.col("size") + F.col("size_2")).cast("long") * F.lit(q - p)
-    both = x.join(y, "shingle").where((F.col("node") < F.col("node_2")) & (F.col("root") != F.col("root_2")) & could_be(F.col("size"), F.col("size"), F.col("size_2"), share) & alike)
+    # Two of one block meet in that block's pair with itself only.
+    once = (block_of("node") != block_of("node_2")) | (F.col("pair") == block_of("node") * (F.col("blocks") + 1))
+    both = x.join(y, ["shingle", "pair"]).where((F.col("node") < F.col("node_2")) & once & (F.col("root") != F.col("root_2")) & could_be(F.col("size"), F.col("size"), F.col("size_2"), share) & alike)
     pairs = both.groupBy(F.col("node").alias("a"), F.col("node_2").alias("b"), "size", "size_2").agg(F.count(F.lit(1)).alias("met"))
     return pairs.where(could_be(F.col("met"), F.col("size"), F.col("size_2"), share)).select("a", "b")
 
@@ -254,7 +272,7 @@ def marked_rows(docs: DataFrame, *, words: int = 5, similarity: float = 0.8, max
     close = links(prints, max_bits, cell_rows).join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b").select("x", "y")
     near = similar(close.union(alike).union(first_partners(shared, share)).toDF("a", "b"), nodes, docs, words, share, hub_rows)
     first = components(near)
-    rest = similar(meeting(shared, nodes, first, share), nodes, docs, words, share, hub_rows)
+    rest = similar(meeting(shared, nodes, first, share, cell_rows), nodes, docs, words, share, hub_rows)
     roots = components(first.toDF("a", "b").union(rest))
     hung = nodes.join(roots, "node", "left").select("node", "least_id", "n", F.coalesce("root", "node").alias("root"))
     class_of = hung.groupBy("root").agg(F.min("least_id").alias("component_id"), F.sum("n").alias("rows"))

@@ -439,6 +439,26 @@ def test_near_copies_of_one_text_take_few_comparisons(spark, monkeypatch):
     assert got == jaccard_classes(sets) and sum(asked) < 3 * len(texts)
 
 
+def test_hot_shingles_meet_in_pairs_of_blocks(spark):
+    """Each pair of nodes meets once for each shingle it shares, whatever the blocks, and no pair of blocks holds more than two blocks."""
+    rng, share = np.random.default_rng(5), Fraction("0.8")
+    n, size = 90, 12
+    held = [sorted({0, *rng.choice(np.arange(1, 9), rng.integers(1, 5), replace=False).tolist()}) for _ in range(n)]
+    shared = spark.createDataFrame([(s, i, size) for i, own in enumerate(held) for s in own], "shingle long, node long, size int")
+    nodes = spark.createDataFrame([(i, *[0] * 8) for i in range(n)], "node long, " + ", ".join(f"{c} long" for c in near_copies.SKETCH))
+    roots = spark.createDataFrame([(i, i - i % 3) for i in range(n)], "node long, root long")
+    after = -(-size * share.numerator // share.denominator) - 1
+    fits = {k for k in range(size + 1) if min(k + after, size) * 9 >= 2 * size * 4}
+    want = {(a, b) for a in range(n) for b in range(a + 1, n) if a // 3 != b // 3 and len(set(held[a]) & set(held[b])) in fits}
+    assert 1000 < len(want) < 3000  # of 3,915 pairs with unlike roots
+    for cell_rows in (8, 10**6):
+        got = [(r.a, r.b) for r in near_copies.meeting(shared, nodes, roots, share, cell_rows).collect()]
+        assert len(got) == len(want) and set(got) == want
+    hot = near_copies.block_pairs(shared.where("shingle = 0").withColumn("blocks", F.lit(12)))
+    assert hot.groupBy("pair").count().agg(F.max("count")).first()[0] < 40
+    assert hot.select("node", "pair").distinct().count() == hot.count() == n * 12
+
+
 def test_near_copies_defined_cases(spark, odd):
     assert near_copies.near_copies(odd[0]).count() == odd[0].count()
     assert near_copies.near_copies(odd[0].limit(0)).count() == 0
