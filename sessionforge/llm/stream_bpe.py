@@ -14,6 +14,9 @@ Decoding is a state machine over token bytes whose state is the beginning of a c
 Defined cases: a null text counts as empty; an empty text has no ids; repeated and null doc_ids are kept as they are; an empty table gives no
 rows; other columns are ignored. Null ids give a null text, ids that the vocabulary lacks (null, negative, too large) decode to nothing, bytes that are no
 UTF-8 to U+FFFD, as the library has it. Truncation and padding of the file are not applied.
+
+Most words of a large table are rare, so a memo alone doesn't spare their merges: before transducers run over the new chunks of some texts, the
+pre-tokens in them that aren't known yet are merged together, one merge in each of them at a time (``merge_all``).
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 from functools import partial
+from itertools import accumulate, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,9 +40,12 @@ from .word_tokens import byte_letters
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Characters that are fed at once, and from which an unfinished pre-token is passed on in parts.
 FEED, LONG = 1 << 16, 1 << 10
+#: Bytes of the longest pre-token that is merged together with others, how many of them at a time, and characters of chunks whose pre-tokens are learnt at once.
+SHORT, ROWS, LEARN = 64, 1 << 13, 1 << 19
 _MARK = "\0"
 _RUN = re.compile(r"\s\s")
 _EDGE = re.compile(r"(?<=\S) (?=\S)")
+_STOP = re.compile(r"[.,](?<=[A-Za-z][.,])")
 _SPACE = r"[\t-\r ]"
 # Fixed value: the pre-tokens of byte-level vocabularies, over the stand-ins of ``Shadow``.
 _PRE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|{_SPACE}+(?![^\t-\r ])|{_SPACE}+")
@@ -56,6 +64,15 @@ class Shadow(dict):
         return self.setdefault(code, kinds[0] if kinds else "\n")
 
 
+def _marked(text: str) -> str:
+    """``text`` with marks where a pre-token surely ends: before a single space between two other characters, around such a line break, between a letter and a full stop or comma."""
+    if _RUN.search(text) or text[:1].isspace() or text[-1:].isspace():
+        text = _EDGE.sub(f"{_MARK} ", text)
+    else:
+        text = text.replace(" ", f"{_MARK} ").replace("\n", f"{_MARK}\n{_MARK}")
+    return _STOP.sub(rf"{_MARK}\g<0>", text)
+
+
 def _kind(c: str) -> str:
     return "a" if c.isalpha() else "1" if c.isdigit() else "\n" if c in "\t\n\v\f\r " else "!"
 
@@ -100,10 +117,17 @@ class StreamBpe:
         self.window = 8 * max(self.lookahead, 64)
         self._pairs = {(vocab[u], vocab[v]): (rank, vocab[u + v]) for rank, (u, v) in enumerate(merges)}
         self._byte = [vocab[c] for c in letters]
+        # The same for arrays: pairs as sorted numbers with their ranks, and what each rank makes; ``_none`` is no token.
+        self._none = max(vocab.values()) + 1
+        self._made = np.array([vocab[u + v] for u, v in merges], np.int32)
+        key = np.array([vocab[u] * (self._none + 1) + vocab[v] for u, v in merges], np.int64)
+        self._rank = np.argsort(key).astype(np.int32)
+        self._key = key[self._rank]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         if any(t[k] for t in file["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("special tokens that take their surroundings along are not handled")
         self.names = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        self._split = any(c in name for name in self.special for c in " \n.,")  # marks would cut such a name
         self.longest_name = max(map(len, self.special), default=1)
         self.shadow = Shadow(Tokenizer.from_file(path).pre_tokenizer)
         back = {c: b for b, c in enumerate(letters)}
@@ -112,6 +136,7 @@ class StreamBpe:
             self.pieces[i] = bytes(map(back.__getitem__, token)) if all(c in back for c in token) else token.encode()
         self.size = {i: len(p) for i, p in self.pieces.items()}
         self._words: dict[str, list[int]] = {}
+        self._learnt: dict[str, list[int]] = {}
         self._chunks: dict[str, bytes] = {}
         self._limit = limit
 
@@ -137,31 +162,115 @@ class StreamBpe:
                     heapq.heappush(heap, (new[0], a))
         return [x for x in ids if x >= 0]
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair; the number of merges where there is none."""
+        if not len(self._key):
+            return np.zeros(left.shape, np.int32)
+        key = left.astype(np.int64) * (self._none + 1) + right
+        at = np.minimum(np.searchsorted(self._key, key), len(self._key) - 1)
+        return np.where(self._key[at] == key, self._rank[at], np.int32(len(self._key)))
+
+    def merge_all(self, pieces: list[bytes]) -> list[list[int]]:
+        """``merge`` of each piece: in every round each piece that still has a pair makes its next merge."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(sizes, kind="stable")
+        out: list = [None] * len(pieces)
+        short = int((sizes <= SHORT).sum())
+        for i in order[short:].tolist():
+            out[i] = self.merge(pieces[i])
+        for a in range(0, short, ROWS):
+            some = order[a : min(a + ROWS, short)]
+            got = self._together([pieces[i] for i in some.tolist()], sizes[some])
+            ends = np.cumsum((got != self._none).sum(axis=1)).tolist()
+            flat = got[got != self._none].tolist()
+            for i, x, y in zip(some.tolist(), [0, *ends], ends, strict=False):
+                out[i] = flat[x:y]
+        return out
+
+    def _together(self, pieces: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """A row for each piece with its tokens, each where its first byte stands, and ``_none`` elsewhere."""
+        n, width, lacks = len(pieces), int(sizes.max(initial=0)), len(self._key)
+        ids = np.full((n, width + 1), self._none, np.int32)
+        ids[:, :-1][np.arange(width) < sizes[:, None]] = np.array(self._byte, np.int32)[np.frombuffer(b"".join(pieces), np.uint8)]
+        ranks = np.full((n, width + 1), lacks, np.int32)
+        ranks[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
+        after = np.tile(np.arange(1, width + 2, dtype=np.int32), (n, 1))
+        before = after - 2
+        rows = np.arange(n)
+        while True:
+            at = ranks[rows].argmin(axis=1)  # the leftmost of equal ones
+            rank = ranks[rows, at]
+            on = rank < lacks
+            rows, at, rank = rows[on], at[on], rank[on]
+            if not len(rows):
+                return ids
+            gone = after[rows, at]
+            then = after[rows, gone]  # a place without a token at the end of each row: ids and ranks of its own
+            ids[rows, at], ids[rows, gone], ranks[rows, gone] = self._made[rank], self._none, lacks
+            after[rows, at] = then
+            then = np.minimum(then, width)
+            before[rows, then] = at
+            ranks[rows, at] = self._ranks(ids[rows, at], ids[rows, then])
+            has = before[rows, at] >= 0
+            rows_, at = rows[has], at[has]
+            prior = before[rows_, at]
+            ranks[rows_, prior] = self._ranks(ids[rows_, prior], ids[rows_, at])
+
+    def learn(self, text: str) -> None:
+        """Merges the pre-tokens of a text that aren't known yet together, so that a transducer over it finds them. A piece that is cut otherwise there only goes unused."""
+        cut = _PRE.findall(text if text.isascii() else text.translate(self.shadow))
+        if not text.isascii():
+            ends = list(accumulate(map(len, cut)))
+            cut = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        new = [p for p in set(cut) if p not in self._words and len(p) < LONG]
+        self._learnt = dict(zip(new, self.merge_all([p.encode() for p in new]), strict=True))
+        if len(self._words) + len(new) <= self._limit:
+            self._words |= self._learnt
+
     def word(self, piece: str) -> list[int]:
         """A whole pre-token that isn't long."""
         ids = self._words.get(piece)
+        if ids is None:
+            ids = self._learnt.get(piece)
         if ids is None:
             ids = self.merge(piece.encode())
             if len(self._words) < self._limit:
                 self._words[piece] = ids
         return ids
 
-    def _chunk(self, chunk: str) -> bytes:
-        run, out = Transducer(self), []
+    def _chunk(self, chunk: str, run: Transducer) -> bytes:
+        """The ids of a chunk from a transducer that stands at the beginning, and does so again afterwards."""
+        if len(chunk) < LONG:
+            ids = run.end(chunk)
+            ids = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self._chunks) < self._limit:
+                self._chunks[chunk] = ids
+            return ids
+        out = []
         for i in range(0, len(chunk), FEED):
+            self.learn(chunk[i : i + FEED])
             out.append(np.array(run.feed(chunk[i : i + FEED]), "<u4").tobytes())
         out.append(np.array(run.end(), "<u4").tobytes())
-        ids = b"".join(out)
-        if len(self._chunks) < self._limit and len(chunk) < LONG:
-            self._chunks[chunk] = ids
-        return ids
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text. Before a single space between two other characters a pre-token surely ends, so each different chunk between such places runs through a transducer once."""
-        odd = {i: np.frombuffer(self._chunk(t), "<u4") for i, t in enumerate(texts) if _MARK in t}
-        ready = ["" if i in odd else _EDGE.sub(f"{_MARK} ", t) if _RUN.search(t) or t[:1].isspace() or t[-1:].isspace() else t.replace(" ", f"{_MARK} ") for i, t in enumerate(texts)]
+        """The ids of each text. Each different chunk between places where a pre-token surely ends runs through a transducer once."""
+        run = Transducer(self)
+        odd = {i: np.frombuffer(self._chunk(t, run), "<u4") for i, t in enumerate(texts) if _MARK in t or self._split and self.names.search(t)}
+        ready = ["" if i in odd else _marked(t) for i, t in enumerate(texts)]
         codes, bounds, words = coded(ready, _MARK)
-        ids = [self._chunk(w) if x is None else x for w, x in zip(words, map(self._chunks.get, words), strict=True)]
+        ids = list(map(self._chunks.get, words))
+        short = [i for i, x in enumerate(ids) if x is None and len(words[i]) < LONG]
+        ends = np.cumsum([len(words[i]) for i in short])
+        a = 0
+        while a < len(short):
+            b = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + LEARN, "right")), a + 1)
+            # A line break between chunks cuts as their own ends do.
+            self.learn("\n".join([words[i] for i in short[a:b]]))
+            for i in short[a:b]:
+                ids[i] = self._chunk(words[i], run)
+            a = b
+        ids = [self._chunk(w, run) if x is None else x for w, x in zip(words, ids, strict=True)]
         flat, ends = spread(codes, ids, "<u4")
         cuts = np.concatenate(([0], ends))[bounds]
         return [odd.get(i, flat[a:b]) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
@@ -177,7 +286,9 @@ class Transducer:
         self._held += chars
         return self._drain(False)
 
-    def end(self) -> list[int]:
+    def end(self, chars: str = "") -> list[int]:
+        """After the last characters, if some are still to come."""
+        self._held += chars
         return self._drain(True)
 
     def _drain(self, last: bool) -> list[int]:
@@ -251,7 +362,7 @@ class Decoder:
         self._pieces, self._state = bpe.pieces, codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids) -> str:
-        return self._state.decode(b"".join([self._pieces.get(i, b"") for i in ids]))
+        return self._state.decode(b"".join(map(self._pieces.get, ids, repeat(b""))))
 
     def end(self) -> str:
         return self._state.decode(b"", True)
@@ -266,18 +377,14 @@ def model(path: str) -> StreamBpe:
     return _models[path]
 
 
-def _parts(ids: np.ndarray):
-    for i in range(0, len(ids), FEED):
-        yield ids[i : i + FEED].tolist()
-
-
-def _sums(own: StreamBpe, ids: np.ndarray, decimals: list[bytes]) -> tuple[str, str]:
+def _sums(own: StreamBpe, ids: np.ndarray, decimals: np.ndarray) -> tuple[str, str]:
     """SHA-256 of the ids as decimal numbers between commas, and of the text that they decode to."""
     a, b, back = hashlib.sha256(), hashlib.sha256(), Decoder(own)
-    for i, part in enumerate(_parts(ids)):
-        said = b"".join(map(decimals.__getitem__, part))
+    for i in range(0, len(ids), FEED):
+        part = ids[i : i + FEED]
+        said = decimals[part].tobytes().translate(None, b"\0")  # without the padding of the shorter ones
         a.update(said if i else said[1:])
-        b.update(back.feed(part).encode())
+        b.update(back.feed(part.tolist()).encode())
     b.update(back.end().encode())
     return a.hexdigest(), b.hexdigest()
 
@@ -286,7 +393,7 @@ def _encode(batches, path: str, digest: bool):
     import pyarrow as pa
 
     own = model(path)
-    decimals = [b",%d" % i for i in range(max(own.pieces, default=-1) + 1)]
+    decimals = np.array([b",%d" % i for i in range(max(own.pieces, default=0) + 1)])
     for batch in batches:
         for a, b, texts in slices(batch.column(1)):
             some = own.encode(texts)

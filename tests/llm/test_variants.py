@@ -1,6 +1,7 @@
 """Whitening, spelling variants and the streaming BPE against brute force, SQL and the library."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -103,6 +104,39 @@ def test_bpe_refuses_other_files():
         stream_bpe.StreamBpe(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def test_new_words_are_merged_together(bpe, library):
+    rng = random.Random(6)
+    own, alone = stream_bpe.StreamBpe(PATH, limit=50), []  # a memo that is full at once
+    own.merge = lambda data: alone.append(data) or bpe.merge(data)
+    words = ["".join(rng.choice(["re", "in", "ät", "ion", "er", "s", "th", "é", "7", "!"]) for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    texts = [" ".join(words[i : i + 40]) + ",\nEnd." for i in range(0, len(words), 40)]
+    assert [x.tolist() for x in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not alone
+
+
+def test_merges_together_equal_merges_alone(bpe):
+    rng = random.Random(7)
+    pieces = ["".join(rng.choice(["a", "the", "ing", "aaaa", " ", "é", "你", "1", "\n", "!"]) for _ in range(rng.randint(0, 30))).encode() for _ in range(3000)]
+    pieces += [b"", b"\xff\x00", b"a" * stream_bpe.SHORT, b"a" * (stream_bpe.SHORT + 1), b"z" * 63]
+    assert bpe.merge_all(pieces) == [bpe.merge(p) for p in pieces] and bpe.merge_all([]) == []
+
+
+def test_marks_stand_where_the_library_cuts(bpe, library):
+    rng = random.Random(8)
+    parts = ["a", "Z", "é", "1", ".", ",", "..", "'s", "'", " ", "\n", "\r\n", "\t", "\x1c", "\x85", "<|endoftext|>", "ʰ"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    assert [x.tolist() for x in bpe.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_names_that_marks_would_cut_stay_whole(tmp_path):
+    file = json.load(open(PATH, encoding="utf-8"))
+    file["added_tokens"].append(file["added_tokens"][0] | {"id": 50257, "content": "<end. of it>"})
+    path = str(tmp_path / "named.json")
+    json.dump(file, open(path, "w", encoding="utf-8"))
+    text = "so <end. of it> it goes"
+    assert stream_bpe.StreamBpe(path).encode([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_registered_bpe(spark, sf, library):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = queries.op13_bpe(spark, sf).collect()
